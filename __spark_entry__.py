@@ -15,9 +15,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
-from dimkeeper.functions import email_org, empty_frame  # noqa: E402
+from dimkeeper.functions import email_org  # noqa: E402
 from dimkeeper.operators.clean import clean_nulls, dedup_latest, normalise_types, union_parts  # noqa: E402
 from dimkeeper.operators.diff import (  # noqa: E402
     attribute_changes,
@@ -38,12 +37,7 @@ from dimkeeper.plans.daily_snapshots import (  # noqa: E402
     D3,
     ORDER_KEYS,
     customer_base,
-    customer_day1,
-    customer_day2,
-    customer_day3,
     customer_days,
-    orders_day1,
-    orders_day2,
     orders_days,
     table,
 )
@@ -71,10 +65,10 @@ PREVIOUS = {"hometown": "pre_hometown", "phone_number": "pre_phone_number"}
 ORDER_PREVIOUS = {"o_orderstatus": "pre_orderstatus", "o_orderpriority": "pre_orderpriority"}
 
 
-def _empty(spark: SparkSession, like: DataFrame, *dates: str, text: tuple[str, ...] = ()) -> DataFrame:
+def _empty(like: DataFrame, *dates: str, text: tuple[str, ...] = ()) -> DataFrame:
     """An empty dimension: the columns of ``like`` and the given technical ones."""
-    fields = [*like.schema.fields, *[T.StructField(c, T.StringType()) for c in text]]
-    return empty_frame(spark, T.StructType([*fields, *[T.StructField(c, T.DateType()) for c in dates]]))
+    technical = [f"CAST(NULL AS string) AS {c}" for c in text] + [f"CAST(NULL AS date) AS {c}" for c in dates]
+    return like.selectExpr("*", *technical).where("false")
 
 
 def _new_database(spark: SparkSession) -> str:
@@ -87,7 +81,12 @@ def _new_database(spark: SparkSession) -> str:
 
 
 def _days_1_2(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return customer_day1(spark, sf_dir), customer_day2(spark, sf_dir)
+    (_, first), (_, second), _ = customer_days(spark, sf_dir)
+    return first, second
+
+
+def _day_3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customer_days(spark, sf_dir)[-1][1]
 
 
 def q_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,27 +130,28 @@ def q_deleted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = _empty(spark, customer_base(spark, sf_dir), "etl_date")
-    for day, snapshot in customer_days(spark, sf_dir):
+    days = customer_days(spark, sf_dir)
+    state = _empty(days[0][1], "etl_date")
+    for day, snapshot in days:
         state = scd1(state, snapshot, CUSTOMER_KEYS, day)
     return state
 
 
-def _scd2_after(spark: SparkSession, days: list, keys: list[str]) -> DataFrame:
+def _scd2_after(days: list, keys: list[str]) -> DataFrame:
     """Apply the days in turn. Each state is read twice by the next day (open and closed versions),
     so it is stored in between, as a dimension table would be."""
-    state = _empty(spark, days[0][1], "start_date", "end_date", "etl_date")
+    state = _empty(days[0][1], "start_date", "end_date", "etl_date")
     for n, (day, snapshot) in enumerate(days):
         state = scd2(materialise(state) if n > 1 else state, snapshot, keys, day)
     return state
 
 
 def q_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd2_after(spark, customer_days(spark, sf_dir), CUSTOMER_KEYS)
+    return _scd2_after(customer_days(spark, sf_dir), CUSTOMER_KEYS)
 
 
 def q_scd2_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd2_after(spark, customer_days(spark, sf_dir)[:2], CUSTOMER_KEYS)
+    return _scd2_after(customer_days(spark, sf_dir)[:2], CUSTOMER_KEYS)
 
 
 def q_scd2_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,14 +168,15 @@ def _with_previous(like: DataFrame, previous: dict[str, str]) -> DataFrame:
 
 
 def q_scd3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = _empty(spark, _with_previous(customer_base(spark, sf_dir), PREVIOUS), "etl_date")
-    for day, snapshot in customer_days(spark, sf_dir):
+    days = customer_days(spark, sf_dir)
+    state = _empty(_with_previous(days[0][1], PREVIOUS), "etl_date")
+    for day, snapshot in days:
         state = scd3(state, snapshot, CUSTOMER_KEYS, day, PREVIOUS)
     return state
 
 
-def _scd4_after(spark: SparkSession, days: list, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    state = _empty(spark, days[0][1], "etl_date")
+def _scd4_after(days: list, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    state = _empty(days[0][1], "etl_date")
     archives = []
     for day, snapshot in days:
         state, archive = scd4(state, snapshot, keys, day)
@@ -184,11 +185,11 @@ def _scd4_after(spark: SparkSession, days: list, keys: list[str]) -> tuple[DataF
 
 
 def q_scd4_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd4_after(spark, customer_days(spark, sf_dir), CUSTOMER_KEYS)[0]
+    return _scd4_after(customer_days(spark, sf_dir), CUSTOMER_KEYS)[0]
 
 
 def q_scd4_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd4_after(spark, customer_days(spark, sf_dir), CUSTOMER_KEYS)[1]
+    return _scd4_after(customer_days(spark, sf_dir), CUSTOMER_KEYS)[1]
 
 
 def q_top_dim_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,20 +248,20 @@ def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(*_days_1_2(spark, sf_dir), CUSTOMER_KEYS)
 
 
-def _soft_delete_after(spark: SparkSession, days: list, keys: list[str]) -> DataFrame:
-    state = _empty(spark, days[0][1], "etl_date", text=("is_active",))
+def _soft_delete_after(days: list, keys: list[str]) -> DataFrame:
+    state = _empty(days[0][1], "etl_date", text=("is_active",))
     for day, snapshot in days:
         state = merge_soft_delete(state, snapshot, keys, day)
     return state
 
 
 def q_merge_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _soft_delete_after(spark, customer_days(spark, sf_dir), CUSTOMER_KEYS)
+    return _soft_delete_after(customer_days(spark, sf_dir), CUSTOMER_KEYS)
 
 
 def q_merge_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = customer_days(spark, sf_dir)[:2]
-    state = _soft_delete_after(spark, days, CUSTOMER_KEYS)
+    state = _soft_delete_after(days, CUSTOMER_KEYS)
     again = soft_delete_changes(state, days[1][1], CUSTOMER_KEYS, D2)
     return again.agg(F.count(F.lit(1)).alias("n"))
 
@@ -288,7 +289,7 @@ def q_cdc_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day 1 plus the stored change feed of the two following days gives day 3."""
     feed = materialise(q_cdc_feed(spark, sf_dir))
-    state = customer_day1(spark, sf_dir)
+    state, _ = _days_1_2(spark, sf_dir)
     for day in (D2, D3):
         state = apply_changes(state, feed.where(F.col("change_date") == F.lit(day)), CUSTOMER_KEYS)
     return state
@@ -305,7 +306,7 @@ def q_stg_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_prc_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(stamp_source(customer_day3(spark, sf_dir), D3), customer_columns(), D3)
+    return conform(stamp_source(_day_3(spark, sf_dir), D3), customer_columns(), D3)
 
 
 def _curated(spark: SparkSession, sf_dir: str) -> str:
@@ -355,13 +356,12 @@ def q_dedup_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_normalise_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = customer_base(spark, sf_dir).join(
-        table(spark, sf_dir, "customer").selectExpr("c_custkey AS customer_id", "c_acctbal"), "customer_id"
-    )
-    text = raw.selectExpr(
-        "concat(' ', customer_id, '  ') AS customer_id",
-        "concat(full_name, ' ') AS full_name",
-        "IF(hometown = 'N0', 'unknown', date_format(date_of_birth, 'yyyyMMdd')) AS date_of_birth",
+    """Customers as raw text, padded and partly malformed, turned into typed columns."""
+    text = table(spark, sf_dir, "customer").selectExpr(
+        "concat(' ', c_custkey, '  ') AS customer_id",
+        "concat(c_name, ' ') AS full_name",
+        """IF(c_nationkey = 0, 'unknown',
+              date_format(date_add(DATE'1970-01-01', CAST(c_custkey % 10000 AS int)), 'yyyyMMdd')) AS date_of_birth""",
         "IF(c_acctbal < 0, 'n/a', concat(' ', CAST(c_acctbal AS decimal(12, 2)))) AS balance",
     )
     types = {
@@ -381,7 +381,7 @@ def q_union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "concat('S', s_suppkey) AS party_id", "s_name AS party_name", "s_nationkey AS nation_id"
     )
-    state = scd1(_empty(spark, customers, "etl_date"), customers, ["party_id"], D1)
+    state = scd1(_empty(customers, "etl_date"), customers, ["party_id"], D1)
     return scd1(state, union_parts([customers, suppliers]), ["party_id"], D2)
 
 
@@ -398,7 +398,7 @@ def _orders_with_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_cur_customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = conform(customer_day3(spark, sf_dir), customer_columns(), D3)
+    customers = conform(_day_3(spark, sf_dir), customer_columns(), D3)
     metrics = {
         "n_orders": F.count(F.lit(1)),
         "revenue": F.sum("revenue").cast("double"),
@@ -411,7 +411,7 @@ def q_cur_customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dmt_sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state = _soft_delete_after(spark, customer_days(spark, sf_dir), CUSTOMER_KEYS)
+    state = _soft_delete_after(customer_days(spark, sf_dir), CUSTOMER_KEYS)
     dimension = active_rows(state).select("customer_id", email_org("email").alias("customer_source"), "gender")
     fact = sales_by_attributes(
         _orders_with_revenue(spark, sf_dir),
@@ -428,39 +428,40 @@ def q_dmt_sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_orders_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshot_diff(orders_day1(spark, sf_dir), orders_day2(spark, sf_dir), ORDER_KEYS)
+    (_, first), (_, second) = orders_days(spark, sf_dir)
+    return snapshot_diff(first, second, ORDER_KEYS)
 
 
 def q_orders_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = orders_days(spark, sf_dir)
-    state = _empty(spark, days[0][1], "etl_date")
+    state = _empty(days[0][1], "etl_date")
     for day, snapshot in days:
         state = scd1(state, snapshot, ORDER_KEYS, day)
     return state
 
 
 def q_orders_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd2_after(spark, orders_days(spark, sf_dir), ORDER_KEYS)
+    return _scd2_after(orders_days(spark, sf_dir), ORDER_KEYS)
 
 
 def q_orders_scd3(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = orders_days(spark, sf_dir)
-    state = _empty(spark, _with_previous(days[0][1], ORDER_PREVIOUS), "etl_date")
+    state = _empty(_with_previous(days[0][1], ORDER_PREVIOUS), "etl_date")
     for day, snapshot in days:
         state = scd3(state, snapshot, ORDER_KEYS, day, ORDER_PREVIOUS)
     return state
 
 
 def q_orders_scd4_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd4_after(spark, orders_days(spark, sf_dir), ORDER_KEYS)[0]
+    return _scd4_after(orders_days(spark, sf_dir), ORDER_KEYS)[0]
 
 
 def q_orders_scd4_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scd4_after(spark, orders_days(spark, sf_dir), ORDER_KEYS)[1]
+    return _scd4_after(orders_days(spark, sf_dir), ORDER_KEYS)[1]
 
 
 def q_orders_merge_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _soft_delete_after(spark, orders_days(spark, sf_dir), ORDER_KEYS)
+    return _soft_delete_after(orders_days(spark, sf_dir), ORDER_KEYS)
 
 
 # --- contract -----------------------------------------------------------------------------------------------

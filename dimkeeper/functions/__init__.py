@@ -2,7 +2,6 @@ from dimkeeper.functions.columns import (
     OPEN_END,
     align_to,
     date_literal,
-    empty_frame,
     parse_run_date,
     quoted,
     require_columns,
@@ -10,15 +9,15 @@ from dimkeeper.functions.columns import (
     same_values,
     tracked_columns,
 )
-from dimkeeper.functions.guards import key_violations, with_unique_keys
+from dimkeeper.functions.guards import counted_keys, key_violations, with_unique_keys, without_null_keys
 from dimkeeper.functions.text import email_org
 
 __all__ = [
     "OPEN_END",
     "align_to",
+    "counted_keys",
     "date_literal",
     "email_org",
-    "empty_frame",
     "key_violations",
     "parse_run_date",
     "quoted",
@@ -27,4 +26,5 @@ __all__ = [
     "same_values",
     "tracked_columns",
     "with_unique_keys",
+    "without_null_keys",
 ]

@@ -5,9 +5,12 @@ forms cost differently:
 
 ``with_unique_keys``  adds no shuffle when a join on the same keys follows, because window
                       and join need the same distribution and sort order.
-``key_violations``    is a branch to union to a result whose rows are not shuffled by key. It
-                      reads only the key columns and counts them with map-side partial sums, so
-                      a key repeated very often stays cheap.
+``counted_keys`` with ``key_violations``
+                      is for results whose rows are not shuffled by key. The key columns alone are
+                      counted, with map-side partial sums, so a key repeated very often stays
+                      cheap. The counted keys serve an anti-join as well, so that both uses share
+                      one scan and one shuffle.
+``without_null_keys`` adds a filter only.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dimkeeper.functions.columns import quoted
 
@@ -42,16 +46,26 @@ def with_unique_keys(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame
     )
 
 
-def key_violations(df: DataFrame, keys: Sequence[str], what: str, like: DataFrame) -> DataFrame:
-    """No rows, in the columns of ``like``; fails at run time on a NULL or repeated key."""
+def without_null_keys(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """``df`` unchanged; fails at run time on a NULL key."""
+    return df.where(
+        f"CASE WHEN {_any_null(keys)} THEN CAST({_fail(what + ', NULL in key', keys)} AS boolean) ELSE true END"
+    )
+
+
+def counted_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``df``, each once, with ``key__copies``."""
+    # The filter is always true. It keeps the count in the plan where only the keys are wanted, so
+    # that Spark sees the same subtree in every use and computes it once.
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key__copies")).where("key__copies > 0")
+
+
+def key_violations(counted: DataFrame, keys: Sequence[str], what: str, like: DataFrame) -> DataFrame:
+    """A branch to union: no rows, in the columns of ``like``; fails on a NULL or repeated key."""
     # One condition, as a separate error condition on the keys alone would be pushed below the count.
-    bad = (
-        df.groupBy(*keys)
-        .count()
-        .where(
-            f"CASE WHEN {_any_null(keys)} OR `count` > 1 "
-            f"THEN CAST({_fail(what + ', NULL or repeated key', keys)} AS boolean) ELSE false END"
-        )
+    bad = counted.where(
+        f"CASE WHEN {_any_null(keys)} OR key__copies > 1 "
+        f"THEN CAST({_fail(what + ', NULL or repeated key', keys)} AS boolean) ELSE false END"
     )
     return bad.selectExpr(
         *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in like.schema.fields]

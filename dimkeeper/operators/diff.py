@@ -21,6 +21,7 @@ from dimkeeper.functions import (
     same_values,
     tracked_columns,
     with_unique_keys,
+    without_null_keys,
 )
 
 
@@ -160,12 +161,12 @@ def unchanged_rows(
 
 def new_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New-side rows whose key the old side lacks."""
-    return new.join(old.select(*keys), list(keys), "left_anti")
+    return without_null_keys(new, keys, "new snapshot").join(old.select(*keys), list(keys), "left_anti")
 
 
 def deleted_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Old-side rows whose key the new side lacks."""
-    return old.join(new.select(*keys), list(keys), "left_anti")
+    return without_null_keys(old, keys, "old snapshot").join(new.select(*keys), list(keys), "left_anti")
 
 
 def attribute_changes(

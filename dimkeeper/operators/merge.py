@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from dimkeeper.functions import (
     align_to,
+    counted_keys,
     date_literal,
     key_violations,
     quoted,
@@ -36,10 +37,11 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], chec
     keys = list(keys)
     require_columns(source, target.columns, "source")
     incoming = source.selectExpr(*align_to(source, target, target.columns))
-    kept = target.join(incoming.select(*keys), keys, "left_anti").select(*target.columns)
+    written = counted_keys(incoming, keys) if check_keys else incoming.select(*keys)
+    kept = target.join(written, keys, "left_anti").select(*target.columns)
     result = kept.unionByName(incoming)
     if check_keys:
-        result = result.unionByName(key_violations(source, keys, "source", result))
+        result = result.unionByName(key_violations(written, keys, "source", result))
     return result
 
 
@@ -49,11 +51,12 @@ def apply_changes(
     """Apply a change feed (one row per key; op I, U or D) to a snapshot."""
     keys = list(keys)
     require_columns(feed, [op_col, *target.columns], "change feed")
-    kept = target.join(feed.selectExpr(*align_to(feed, target, keys)), keys, "left_anti").select(*target.columns)
-    written = feed.where(f"{quoted(op_col)} <> 'D'").selectExpr(*align_to(feed, target, target.columns))
-    result = kept.unionByName(written)
+    incoming = feed.selectExpr(*align_to(feed, target, target.columns), quoted(op_col))
+    named = counted_keys(incoming, keys) if check_keys else incoming.select(*keys)
+    kept = target.join(named, keys, "left_anti").select(*target.columns)
+    result = kept.unionByName(incoming.where(f"{quoted(op_col)} <> 'D'").select(*target.columns))
     if check_keys:
-        result = result.unionByName(key_violations(feed, keys, "change feed", result))
+        result = result.unionByName(key_violations(named, keys, "change feed", result))
     return result
 
 

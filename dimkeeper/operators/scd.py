@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from dimkeeper.functions import (
     OPEN_END,
     align_to,
+    counted_keys,
     date_literal,
     key_violations,
     quoted,
@@ -41,8 +42,8 @@ def scd1(
 
     Every source row is in the result whether it changed or not, so nothing is compared: the
     source passes through without a shuffle, and only its keys meet the target, in an anti-join
-    that finds the keys the source no longer has. The source is read once in full and twice for
-    its keys; hand in a stored snapshot, not a live view.
+    that finds the keys the source no longer has. The source is read once in full and once for its
+    keys; hand in a stored snapshot, not a live view.
     """
     _check_on_delete(on_delete)
     keys = list(keys)
@@ -51,13 +52,14 @@ def scd1(
     require_columns(source, cols, "source")
     stamp = f"{date_literal(run_date)} AS {quoted(date_col)}"
 
-    result = source.selectExpr(*align_to(source, target, cols), stamp)
+    incoming = source.selectExpr(*align_to(source, target, cols), stamp)
+    live = counted_keys(incoming, keys)
+    result = incoming
     if on_delete == "keep":
-        live = source.selectExpr(*align_to(source, target, keys))
         gone = target.join(live, keys, "left_anti")
         result = result.unionByName(gone.selectExpr(*[quoted(c) for c in cols], stamp))
     if check_keys:
-        result = result.unionByName(key_violations(source, keys, "source", result))
+        result = result.unionByName(key_violations(live, keys, "source", result))
     return result.select(*target.columns)
 
 

@@ -15,10 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # The three run dates.
 D1, D2, D3 = dt.date(2025, 11, 30), dt.date(2025, 12, 1), dt.date(2025, 12, 2)
-RUN_DATES = (D1, D2, D3)
 
 CUSTOMER_KEYS = ["customer_id"]
-CUSTOMER_ATTRIBUTES = ["full_name", "date_of_birth", "hometown", "phone_number", "email", "gender"]
 ORDER_KEYS = ["o_orderkey"]
 
 
@@ -39,60 +37,43 @@ def customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_day1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_base(spark, sf_dir).where("customer_id % 10 <> 9")
-
-
-def customer_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        customer_base(spark, sf_dir)
-        .where("customer_id % 11 <> 4")
-        .selectExpr(
-            "customer_id",
-            "full_name",
-            "IF(customer_id % 7 = 4, date_add(date_of_birth, 1), date_of_birth) AS date_of_birth",
-            """CASE WHEN customer_id % 7 IN (1, 3) THEN 'MOVED'
-                    WHEN customer_id % 58 = 0 THEN 'FILLED' ELSE hometown END AS hometown""",
-            "IF(customer_id % 7 IN (2, 3), concat('08', substr(phone_number, 3)), phone_number) AS phone_number",
-            "email",
-            "IF(customer_id % 7 = 1, 'Khac', gender) AS gender",
-        )
+def _day1(base: DataFrame) -> DataFrame:
+    return base.where("customer_id % 10 <> 9")
+
+
+def _day2(base: DataFrame) -> DataFrame:
+    return base.where("customer_id % 11 <> 4").selectExpr(
+        "customer_id",
+        "full_name",
+        "IF(customer_id % 7 = 4, date_add(date_of_birth, 1), date_of_birth) AS date_of_birth",
+        """CASE WHEN customer_id % 7 IN (1, 3) THEN 'MOVED'
+                WHEN customer_id % 58 = 0 THEN 'FILLED' ELSE hometown END AS hometown""",
+        "IF(customer_id % 7 IN (2, 3), concat('08', substr(phone_number, 3)), phone_number) AS phone_number",
+        "email",
+        "IF(customer_id % 7 = 1, 'Khac', gender) AS gender",
     )
 
 
-def customer_day3(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _day3(base: DataFrame) -> DataFrame:
     """Some keys return to their first day's values, some deleted keys come back."""
     reverts = "(customer_id % 14 = 1 OR customer_id % 22 = 4)"
-    first, second = customer_day1(spark, sf_dir), customer_day2(spark, sf_dir)
-    return first.where(reverts).unionByName(second.where(f"NOT {reverts}"))
+    return _day1(base).where(reverts).unionByName(_day2(base).where(f"NOT {reverts}"))
 
 
 def customer_days(spark: SparkSession, sf_dir: str) -> list[tuple[dt.date, DataFrame]]:
-    return [
-        (D1, customer_day1(spark, sf_dir)),
-        (D2, customer_day2(spark, sf_dir)),
-        (D3, customer_day3(spark, sf_dir)),
-    ]
-
-
-def orders_day1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").where("o_orderkey % 10 <> 9")
-
-
-def orders_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "orders")
-        .where("o_orderkey % 11 <> 4")
-        .selectExpr(
-            "o_orderkey",
-            "o_custkey",
-            "IF(o_orderkey % 7 = 1, 'F', o_orderstatus) AS o_orderstatus",
-            "o_totalprice",
-            "o_orderdate",
-            "IF(o_orderkey % 13 = 0, NULL, o_orderpriority) AS o_orderpriority",
-        )
-    )
+    base = customer_base(spark, sf_dir)
+    return [(D1, _day1(base)), (D2, _day2(base)), (D3, _day3(base))]
 
 
 def orders_days(spark: SparkSession, sf_dir: str) -> list[tuple[dt.date, DataFrame]]:
-    return [(D1, orders_day1(spark, sf_dir)), (D2, orders_day2(spark, sf_dir))]
+    orders = table(spark, sf_dir, "orders")
+    first = orders.where("o_orderkey % 10 <> 9")
+    second = orders.where("o_orderkey % 11 <> 4").selectExpr(
+        "o_orderkey",
+        "o_custkey",
+        "IF(o_orderkey % 7 = 1, 'F', o_orderstatus) AS o_orderstatus",
+        "o_totalprice",
+        "o_orderdate",
+        "IF(o_orderkey % 13 = 0, NULL, o_orderpriority) AS o_orderpriority",
+    )
+    return [(D1, first), (D2, second)]

@@ -100,10 +100,13 @@ def finish_replace(
         rest = ", ".join(f"`{c}`" for c in columns if c != partition_col)
         buckets = bucket_columns(spark, table)
         spread = f" DISTRIBUTE BY {', '.join(f'`{c}`' for c in buckets)}" if buckets else ""
-        for value in dict.fromkeys([*map(str, always), *staged]):
+        standing = [str(v) for v in always]
+        for value in dict.fromkeys([*standing, *staged]):
+            # Rows that one run adds are few and come from every task: bring them into even files.
+            hint = "" if spread or value in standing else "/*+ REBALANCE */ "
             spark.sql(
                 f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION (`{partition_col}` = '{value}') BY NAME "
-                f"SELECT {rest} FROM {_quoted(staging)} WHERE `{partition_col}` = CAST('{value}' AS {kind}){spread}"
+                f"SELECT {hint}{rest} FROM {_quoted(staging)} WHERE `{partition_col}` = CAST('{value}' AS {kind}){spread}"
             )
     drop_table(spark, staging)
     return True

@@ -197,7 +197,7 @@ ORACLE_SQL: dict[str, str] = {
         select 1 from events f where f.user_id = e.user_id
           and (f.ts > e.ts or (f.ts = e.ts and f.event_id > e.event_id)))""",
     "normalise_types": """select c_custkey as customer_id, c_name as full_name,
-        case when c_nationkey = 0 and c_custkey % 29 <> 0 then null
+        case when c_nationkey = 0 then null
              else date '1970-01-01' + cast(c_custkey % 10000 as int) end as date_of_birth,
         case when c_acctbal >= 0 then cast(cast(c_acctbal as decimal(12, 2)) as double) end as balance from customer""",
     "union_parts": """select concat('C', c_custkey) party_id, c_name party_name, c_nationkey nation_id,
