@@ -7,6 +7,7 @@ from dimkeeper.functions.columns import (
     require_columns,
     require_comparable,
     same_values,
+    text_literal,
     tracked_columns,
 )
 from dimkeeper.functions.guards import counted_keys, key_violations, with_unique_keys, without_null_keys
@@ -24,6 +25,7 @@ __all__ = [
     "require_columns",
     "require_comparable",
     "same_values",
+    "text_literal",
     "tracked_columns",
     "with_unique_keys",
     "without_null_keys",

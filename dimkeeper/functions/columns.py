@@ -32,6 +32,10 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def date_literal(day: dt.date) -> str:
     return f"DATE'{day.isoformat()}'"
 
@@ -69,13 +73,8 @@ def require_comparable(df: DataFrame, cols: Iterable[str]) -> None:
 
 def same_values(left: Sequence[str], right: Sequence[str]) -> str:
     """NULL-safe equality of two equally long lists of expressions, exact (no hash)."""
-    if not left:
-        return "true"
-
-    def pack(exprs: Sequence[str]) -> str:
-        return "struct(" + ", ".join(f"{e} AS c{i}" for i, e in enumerate(exprs)) + ")"
-
-    return f"({pack(left)} <=> {pack(right)})"
+    pairs = [f"{a} <=> {b}" for a, b in zip(left, right, strict=True)]
+    return f"({' AND '.join(pairs)})" if pairs else "true"
 
 
 def align_to(df: DataFrame, like: DataFrame, cols: Sequence[str]) -> list[str]:

@@ -19,6 +19,7 @@ from dimkeeper.functions import (
     require_columns,
     require_comparable,
     same_values,
+    text_literal,
     tracked_columns,
     with_unique_keys,
     without_null_keys,
@@ -36,6 +37,8 @@ class Match:
     in_old = "(in__old IS NOT NULL)"
     in_new = "(in__new IS NOT NULL)"
     both = "(in__old IS NOT NULL AND in__new IS NOT NULL)"
+    # Tracked values equal, NULL equal to NULL. Meaningful where ``both`` holds.
+    same = "same__values"
     only_old = "(in__old IS NOT NULL AND in__new IS NULL)"
     only_new = "(in__old IS NULL AND in__new IS NOT NULL)"
 
@@ -45,11 +48,6 @@ class Match:
     def new(self, name: str) -> str:
         return quoted(name if name in self.keys else f"new__{name}")
 
-    @property
-    def same(self) -> str:
-        """Tracked values equal, NULL equal to NULL. Meaningful where ``both`` holds."""
-        return same_values([self.old(c) for c in self.tracked], [self.new(c) for c in self.tracked])
-
     def old_columns(self, cols: Sequence[str]) -> list[str]:
         return [f"{self.old(c)} AS {quoted(c)}" for c in cols]
 
@@ -105,7 +103,9 @@ def match_snapshots(
     if check_keys:
         left = with_unique_keys(left, keys, "old snapshot")
         right = with_unique_keys(right, keys, "new snapshot")
-    return Match(left.join(right, keys, "full_outer"), tuple(keys), tuple(tracked))
+    same = same_values([quoted(f"old__{c}") for c in tracked], [quoted(f"new__{c}") for c in tracked])
+    joined = left.join(right, keys, "full_outer").selectExpr("*", f"{same} AS same__values")
+    return Match(joined, tuple(keys), tuple(tracked))
 
 
 def snapshot_diff(
@@ -155,8 +155,11 @@ def unchanged_rows(
 ) -> DataFrame:
     """Old-side rows that the new side does not overwrite."""
     m = match_snapshots(old, new, keys, tracked)
-    kept = f"{m.in_old} AND ({m.only_old} OR {m.same})" if include_deleted else f"{m.both} AND {m.same}"
-    return m.rows.where(kept).selectExpr(*m.old_columns([*m.keys, *m.tracked]))
+    # A plain "both AND same" would make every compared column a join key, and Spark would shuffle
+    # once more by all of them. As one CASE the comparison stays a filter behind the join.
+    absent = "true" if include_deleted else "false"
+    kept = f"CASE WHEN {m.only_old} THEN {absent} WHEN {m.same} THEN true ELSE false END"
+    return m.rows.where(f"{m.in_old} AND {kept}").selectExpr(*m.old_columns([*m.keys, *m.tracked]))
 
 
 def new_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -175,7 +178,7 @@ def attribute_changes(
     """One row per key and changed column: ``keys, attribute, old_value, new_value`` (text)."""
     m = match_snapshots(old, new, keys, tracked)
     each = ", ".join(
-        f"named_struct('attribute', {_text(c)}, 'old_value', CAST({m.old(c)} AS string), "
+        f"named_struct('attribute', {text_literal(c)}, 'old_value', CAST({m.old(c)} AS string), "
         f"'new_value', CAST({m.new(c)} AS string), 'same', {m.old(c)} <=> {m.new(c)})"
         for c in m.tracked
     )
@@ -186,7 +189,3 @@ def attribute_changes(
         .where("NOT same")
         .selectExpr(*names, "attribute", "old_value", "new_value")
     )
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -19,6 +19,7 @@ from dimkeeper.functions import (
     quoted,
     require_columns,
     tracked_columns,
+    without_null_keys,
 )
 from dimkeeper.operators.diff import Match, match_snapshots
 
@@ -39,7 +40,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], chec
     incoming = source.selectExpr(*align_to(source, target, target.columns))
     written = counted_keys(incoming, keys) if check_keys else incoming.select(*keys)
     kept = target.join(written, keys, "left_anti").select(*target.columns)
-    result = kept.unionByName(incoming)
+    result = kept.unionByName(without_null_keys(incoming, keys, "source") if check_keys else incoming)
     if check_keys:
         result = result.unionByName(key_violations(written, keys, "source", result))
     return result
@@ -54,6 +55,8 @@ def apply_changes(
     incoming = feed.selectExpr(*align_to(feed, target, target.columns), quoted(op_col))
     named = counted_keys(incoming, keys) if check_keys else incoming.select(*keys)
     kept = target.join(named, keys, "left_anti").select(*target.columns)
+    if check_keys:
+        incoming = without_null_keys(incoming, keys, "change feed")
     result = kept.unionByName(incoming.where(f"{quoted(op_col)} <> 'D'").select(*target.columns))
     if check_keys:
         result = result.unionByName(key_violations(named, keys, "change feed", result))

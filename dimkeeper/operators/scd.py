@@ -20,6 +20,7 @@ from dimkeeper.functions import (
     quoted,
     require_columns,
     tracked_columns,
+    without_null_keys,
 )
 from dimkeeper.operators.diff import Match, match_snapshots
 
@@ -54,7 +55,7 @@ def scd1(
 
     incoming = source.selectExpr(*align_to(source, target, cols), stamp)
     live = counted_keys(incoming, keys)
-    result = incoming
+    result = without_null_keys(incoming, keys, "source") if check_keys else incoming
     if on_delete == "keep":
         gone = target.join(live, keys, "left_anti")
         result = result.unionByName(gone.selectExpr(*[quoted(c) for c in cols], stamp))

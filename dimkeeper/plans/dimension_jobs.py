@@ -56,7 +56,8 @@ def run_scd2(
     """The table is partitioned by ``end_date``.
 
     A run reads and replaces two partitions only, the open versions and those closed on the run
-    date, so its cost follows the size of the current dimension and not that of the history.
+    date, so its cost follows the size of the current dimension and not that of the history. With
+    ``buckets`` (at least the number of shuffle partitions) the stored side is never shuffled.
     """
     day = parse_run_date(run_date)
     ensure_table(
@@ -70,7 +71,7 @@ def run_scd2(
     finish_replace(spark, table, "end_date", [open_end])
     stored = spark.table(table).where(F.col("end_date").isin(open_end, day))
     result = scd2(stored, source, keys, day, open_end=open_end)
-    staged_replace(spark, result, table, "end_date", [open_end])
+    staged_replace(spark, result, table, "end_date", [open_end], clustered=True)
 
 
 def run_scd3(

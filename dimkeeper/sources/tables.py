@@ -35,8 +35,9 @@ def ensure_table(
 ) -> None:
     """Create the table if it is absent.
 
-    Bucketed by its key (with at least as many buckets as shuffle partitions) a dimension is not
-    shuffled when it is compared with a snapshot.
+    Bucketed by its key (into at least as many buckets as there are shuffle partitions) a dimension
+    is not shuffled when it is compared with a snapshot. Spark makes no use of sorted buckets, so
+    they are not sorted.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     ddl = f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({columns}) USING {using}"
@@ -44,7 +45,7 @@ def ensure_table(
         ddl += f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})"
     if bucket_by:
         names = ", ".join(f"`{c}`" for c in bucket_by)
-        ddl += f" CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets} BUCKETS"
+        ddl += f" CLUSTERED BY ({names}) INTO {buckets} BUCKETS"
     spark.sql(ddl)
 
 
@@ -61,22 +62,41 @@ def staging_name(table: str) -> str:
     return f"{table}__staging"
 
 
+def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """Number of buckets and bucket columns."""
+    names = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
+    if not names:
+        return None
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Num Buckets'")
+    return int(detail.first()["data_type"]), names
+
+
 def staged_replace(
     spark: SparkSession,
     df: DataFrame,
     table: str,
     partition_col: str | None = None,
     always: Sequence[object] = (),
+    clustered: bool = False,
 ) -> None:
     """Replace the table's content by ``df``, which may read the table.
 
     With ``partition_col`` only the partitions that ``df`` has rows for are replaced, and those
     named in ``always`` even if ``df`` has none for them. Columns go by name.
+
+    The staging table has the buckets of the table. Rows are brought together by bucket first, or
+    every task would write a file into every bucket; ``clustered=True`` says that they are together
+    already, as after a join on the bucket columns, and saves that shuffle.
     """
     columns = spark.table(table).columns
+    buckets = bucket_spec(spark, table)
+    if buckets and not clustered:
+        df = df.repartition(buckets[0], *buckets[1])
     writer = df.select(*columns).write.mode("overwrite")
     if partition_col:
         writer = writer.partitionBy(partition_col)
+    if buckets:
+        writer = writer.bucketBy(buckets[0], *buckets[1])
     writer.saveAsTable(staging_name(table))
     finish_replace(spark, table, partition_col, always)
 
@@ -88,44 +108,35 @@ def finish_replace(
     staging = staging_name(table)
     if not spark.catalog.tableExists(staging):
         return False
-    columns = spark.table(table).columns
     if partition_col is None:
         overwrite_from(spark, spark.table(staging), table)
     else:
-        kind = spark.table(table).schema[partition_col].dataType.simpleString()
-        staged = [
-            r["partition"].split("=", 1)[1]
-            for r in spark.sql(f"SHOW PARTITIONS {_quoted(staging)}").collect()
-        ]
-        rest = ", ".join(f"`{c}`" for c in columns if c != partition_col)
-        buckets = bucket_columns(spark, table)
-        spread = f" DISTRIBUTE BY {', '.join(f'`{c}`' for c in buckets)}" if buckets else ""
-        standing = [str(v) for v in always]
-        for value in dict.fromkeys([*standing, *staged]):
-            # Rows that one run adds are few and come from every task: bring them into even files.
-            hint = "" if spread or value in standing else "/*+ REBALANCE */ "
-            spark.sql(
-                f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION (`{partition_col}` = '{value}') BY NAME "
-                f"SELECT {hint}{rest} FROM {_quoted(staging)} WHERE `{partition_col}` = CAST('{value}' AS {kind}){spread}"
-            )
+        _overwrite_partitions(spark, table, partition_col, [str(v) for v in always])
     drop_table(spark, staging)
     return True
 
 
-def bucket_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
+def _overwrite_partitions(spark: SparkSession, table: str, partition_col: str, always: list[str]) -> None:
+    staging = staging_name(table)
+    kind = spark.table(table).schema[partition_col].dataType.simpleString()
+    rest = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != partition_col)
+    staged = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {_quoted(staging)}").collect()]
+    buckets = bucket_spec(spark, table)
+    # The rows that one run adds to other partitions than the standing ones are few and come from
+    # every task, so they are brought together into files of even size, or by bucket.
+    hint = "" if buckets else "/*+ REBALANCE */ "
+    together = f" DISTRIBUTE BY {', '.join(f'`{c}`' for c in buckets[1])}" if buckets else ""
+    for value in dict.fromkeys([*always, *staged]):
+        source = f"{_quoted(staging)} WHERE `{partition_col}` = CAST('{value}' AS {kind})"
+        rows = f"{rest} FROM {source}" if value in always else f"{hint}{rest} FROM {source}{together}"
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION (`{partition_col}` = '{value}') BY NAME SELECT {rows}"
+        )
 
 
 def overwrite_from(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """INSERT OVERWRITE the whole table, by name, in any session's partition-overwrite mode.
-
-    For a bucketed table the rows are first brought together by bucket, or every task would write
-    a file of its own into every bucket.
-    """
+    """INSERT OVERWRITE the whole table, by name, in any session's partition-overwrite mode."""
     df = df.select(*spark.table(table).columns)
-    buckets = bucket_columns(spark, table)
-    if buckets:
-        df = df.repartition(*buckets)
     df.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
 
 

@@ -177,7 +177,9 @@ ORACLE_SQL: dict[str, str] = {
     "scd4_job_history": _SCD4_HISTORY,
     "merge_upsert": _MERGED,
     "merge_soft_delete": _SOFT_DELETE,
-    "merge_noop": "select count(*) n from customer where c_custkey is null",
+    "merge_noop": f"""{_ACTIVITY} select count(*) n
+        from s2 full join (select customer_id, row({_ATTRS}) v from d2) t using (customer_id)
+        where a is distinct from (t.v is not null) or (a and s2.v is distinct from t.v)""",
     "staged_replace": _MERGED,
     "cdc_feed": f"""{SNAPSHOTS} select *, date '2025-12-01' change_date from ({_feed('d1', 'd2')})
         union all select *, date '2025-12-02' from ({_feed('d2', 'd3')})""",

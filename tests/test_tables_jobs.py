@@ -15,7 +15,7 @@ from dimkeeper.sources.read import JdbcSource, jdbc_write_options, read_source
 from dimkeeper.sources.scratch import materialise, scratch_dir
 from dimkeeper.sources.tables import (
     append_missing,
-    bucket_columns,
+    bucket_spec,
     drop_table,
     ensure_table,
     finish_replace,
@@ -86,7 +86,7 @@ def test_ensure_and_drop(spark, database):
     name = f"{database}.t"
     ensure_table(spark, name, day1(spark).schema, partition_by=["gender"], bucket_by=KEYS, buckets=4)
     ensure_table(spark, name, day1(spark).schema)
-    assert bucket_columns(spark, name) == KEYS
+    assert bucket_spec(spark, name) == (4, KEYS)
     drop_table(spark, name)
     drop_table(spark, name)
     assert not spark.catalog.tableExists(name)
@@ -173,6 +173,22 @@ def test_bucketed_dimension_is_not_shuffled(spark, database):
     assert "Exchange" not in left
 
 
+def test_bucketed_tables_get_one_file_per_bucket(spark, database):
+    many = spark.range(4000).selectExpr("id AS customer_id", "id % 7 AS v")
+    name = f"{database}.dim"
+    run_scd2(spark, many, name, KEYS, DAY1, buckets=8)
+    changed = many.selectExpr("customer_id", "IF(customer_id % 5 = 0, -1, v) AS v")
+    run_scd2(spark, changed, name, KEYS, DAY2, buckets=8)
+    for end, n in ((OPEN_END, 4000), (DAY2, 800)):
+        part = spark.table(name).where(f"end_date = DATE'{end}'")
+        assert part.count() == n and len(part.inputFiles()) <= 8
+
+    plain = f"{database}.plain"
+    ensure_table(spark, plain, many.schema, bucket_by=KEYS, buckets=8)
+    staged_replace(spark, many.repartition(16), plain)
+    assert spark.table(plain).count() == 4000 and len(spark.table(plain).inputFiles()) <= 8
+
+
 def test_scd4_job(spark, database):
     current, history = f"{database}.dim", f"{database}.dim_his"
     for day, snapshot in ((DAY1, day1(spark)), (DAY2, day2(spark)), (DAY2, day2(spark)), (DAY3, day1(spark))):
