@@ -376,7 +376,10 @@ def q_normalise_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two entities processed apart, brought together, then kept as one dimension."""
     customers = table(spark, sf_dir, "customer").selectExpr(
-        "concat('C', c_custkey) AS party_id", "c_name AS party_name", "c_nationkey AS nation_id", "c_mktsegment AS segment"
+        "concat('C', c_custkey) AS party_id",
+        "c_name AS party_name",
+        "c_nationkey AS nation_id",
+        "c_mktsegment AS segment",
     )
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "concat('S', s_suppkey) AS party_id", "s_name AS party_name", "s_nationkey AS nation_id"

@@ -73,13 +73,16 @@ def match_snapshots(
     tracked: Sequence[str] | None = None,
     carry: Sequence[str] = (),
     check_keys: bool = True,
+    check_old: bool = True,
 ) -> Match:
     """Join two snapshots on ``keys``.
 
     ``tracked`` are the compared columns (default: all that both sides have), ``carry`` further
     columns of the old side to keep. Each side is shuffled once, on the key; a side stored
     bucketed by the key is not shuffled at all. Keys are unique, so no key can make a partition
-    hot. ``check_keys=False`` skips the uniqueness check where the store already guarantees it.
+    hot. ``check_keys=False`` leaves out the checks where the store guarantees unique keys;
+    ``check_old=False`` checks the old side for NULL keys only, as is enough for a table that is
+    itself kept by these operators.
     """
     keys = list(keys)
     if tracked is None:
@@ -101,7 +104,7 @@ def match_snapshots(
         "true AS in__new",
     )
     if check_keys:
-        left = with_unique_keys(left, keys, "old snapshot")
+        left = (with_unique_keys if check_old else without_null_keys)(left, keys, "old snapshot")
         right = with_unique_keys(right, keys, "new snapshot")
     same = same_values([quoted(f"old__{c}") for c in tracked], [quoted(f"new__{c}") for c in tracked])
     joined = left.join(right, keys, "full_outer").selectExpr("*", f"{same} AS same__values")

@@ -73,7 +73,7 @@ def _soft_delete_match(
 ) -> tuple[Match, str, str]:
     """The match, and which of its rows become active anew or inactive."""
     tracked = tracked_columns(target, [*keys, active_col, date_col])
-    m = match_snapshots(target, source, keys, tracked, [active_col, date_col], check_keys)
+    m = match_snapshots(target, source, keys, tracked, [active_col, date_col], check_keys, check_old=False)
     was_active = f"({m.old(active_col)} <=> '{ACTIVE}')"
     written = f"({m.in_new} AND ({m.only_new} OR NOT {was_active} OR NOT {m.same}))"
     retired = f"({m.only_old} AND {was_active})"

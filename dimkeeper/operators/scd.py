@@ -94,7 +94,7 @@ def scd2(
     start, end = quoted(start_col), quoted(end_col)
     is_open = f"{end} <=> {forever}"
     carry = [start_col] + ([date_col] if date_col else [])
-    m = match_snapshots(target.where(is_open), source, keys, tracked, carry, check_keys)
+    m = match_snapshots(target.where(is_open), source, keys, tracked, carry, check_keys, check_old=False)
 
     # One input row becomes one or two versions; the exploded arrays are constants.
     versions = m.rows.selectExpr(
@@ -142,7 +142,7 @@ def scd3(
     keys = list(keys)
     cols = tracked_columns(target, [*keys, *previous.values(), date_col])
     require_columns(target, [*previous.keys(), *previous.values(), date_col], "target")
-    m = match_snapshots(target, source, keys, cols, list(previous.values()), check_keys)
+    m = match_snapshots(target, source, keys, cols, list(previous.values()), check_keys, check_old=False)
 
     def shifted(col: str, pre: str) -> str:
         moved = f"{m.both} AND NOT ({m.old(col)} <=> {m.new(col)})"
@@ -160,7 +160,7 @@ def _scd4_match(
     target: DataFrame, source: DataFrame, keys: Sequence[str], date_col: str, check_keys: bool
 ) -> Match:
     tracked = tracked_columns(target, [*keys, date_col])
-    return match_snapshots(target, source, keys, tracked, [date_col], check_keys)
+    return match_snapshots(target, source, keys, tracked, [date_col], check_keys, check_old=False)
 
 
 def _scd4_stamp(m: Match, run_date: dt.date, date_col: str) -> str:

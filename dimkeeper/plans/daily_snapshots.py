@@ -32,7 +32,8 @@ def customer_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_add(DATE'1970-01-01', CAST(c_custkey % 10000 AS int)) AS date_of_birth",
         "CASE WHEN c_custkey % 29 <> 0 THEN concat('N', c_nationkey) END AS hometown",
         "concat('09', lpad(c_custkey, 8, '0')) AS phone_number",
-        "CASE WHEN c_custkey % 31 <> 0 THEN concat('c', c_custkey, '@', lower(c_mktsegment), '.example.org') END AS email",
+        """CASE WHEN c_custkey % 31 <> 0
+                THEN concat('c', c_custkey, '@', lower(c_mktsegment), '.example.org') END AS email""",
         "CASE c_custkey % 3 WHEN 0 THEN 'Nam' WHEN 1 THEN 'Nu' ELSE 'Khac' END AS gender",
     )
 
