@@ -269,7 +269,7 @@ def q_merge_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_staged_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = _days_1_2(spark, sf_dir)
     name = f"{_new_database(spark)}.customer"
-    save_table(first, name)
+    save_table(spark, first, name)
     staged_replace(spark, merge_upsert(spark.table(name), second, CUSTOMER_KEYS), name)
     return spark.table(name)
 
@@ -301,7 +301,7 @@ def q_cdc_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stg_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{_new_database(spark)}.customer"
     for day, snapshot in customer_days(spark, sf_dir):
-        load_staging(snapshot, name, day)
+        load_staging(spark, snapshot, name, day)
     return spark.table(name)
 
 

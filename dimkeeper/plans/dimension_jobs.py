@@ -19,10 +19,11 @@ from dimkeeper.sources.tables import (
     append_missing,
     drop_table,
     ensure_table,
+    find_staging,
     finish_replace,
+    new_staging_name,
     overwrite_from,
     staged_replace,
-    staging_name,
 )
 
 
@@ -115,13 +116,13 @@ def run_scd4(
     ensure_table(spark, history, _with_dates(source.schema, "start_date", "end_date"), partition_by=["end_date"])
     _land_scd4(spark, table, history, keys)
     parts = scd4_parts(spark.table(table), source, keys, day, on_delete=on_delete)
-    parts.write.mode("overwrite").partitionBy("part").saveAsTable(staging_name(table))
+    parts.write.mode("overwrite").partitionBy("part").saveAsTable(new_staging_name(table))
     _land_scd4(spark, table, history, keys)
 
 
 def _land_scd4(spark: SparkSession, table: str, history: str, keys: Sequence[str]) -> None:
-    staging = staging_name(table)
-    if not spark.catalog.tableExists(staging):
+    staging = find_staging(spark, table)
+    if staging is None:
         return
     parts = spark.table(staging)
     archive = parts.where(F.col("part") == "archive")

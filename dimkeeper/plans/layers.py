@@ -73,14 +73,14 @@ def active_rows(curated: DataFrame) -> DataFrame:
     return curated.where(F.col("is_active") == ACTIVE)
 
 
-def load_staging(source: DataFrame, table: str, run_date: dt.date) -> None:
-    save_table(stamp_source(source, run_date), table)
+def load_staging(spark: SparkSession, source: DataFrame, table: str, run_date: dt.date) -> None:
+    save_table(spark, stamp_source(source, run_date), table)
 
 
 def load_processing(
     spark: SparkSession, staging_table: str, table: str, columns: Mapping[str, Column], run_date: dt.date
 ) -> None:
-    save_table(conform(spark.table(staging_table), columns, run_date), table)
+    save_table(spark, conform(spark.table(staging_table), columns, run_date), table)
 
 
 def load_curated(
@@ -102,7 +102,7 @@ def load_curated(
     ensure_table(spark, table, processed.schema)
     finish_replace(spark, table)
     unfinished = spark.catalog.tableExists(changes)
-    save_table(soft_delete_changes(spark.table(table), processed, keys, run_date), changes)
+    save_table(spark, soft_delete_changes(spark.table(table), processed, keys, run_date), changes)
     n = spark.table(changes).count()
     if n:
         merged = merge_upsert(spark.table(table), spark.table(changes), keys, check_keys=False)
@@ -114,7 +114,7 @@ def load_curated(
 
 
 def load_mart(spark: SparkSession, curated_table: str, table: str) -> None:
-    save_table(active_rows(spark.table(curated_table)), table)
+    save_table(spark, active_rows(spark.table(curated_table)), table)
 
 
 def run_layers(
@@ -131,7 +131,7 @@ def run_layers(
     layers.create(spark)
     stg, prc = f"{layers.stg}.{entity}", f"{layers.prc}.{entity}"
     cur, dmt = f"{layers.cur}.{entity}", f"{layers.dmt}.{entity}_dim"
-    load_staging(source, stg, day)
+    load_staging(spark, source, stg, day)
     load_processing(spark, stg, prc, customer_columns() if columns is None else columns, day)
     load_curated(spark, spark.table(prc), cur, keys, day)
     load_mart(spark, cur, dmt)

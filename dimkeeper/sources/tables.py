@@ -1,13 +1,15 @@
 """Creating and replacing catalog tables.
 
 A file table cannot be overwritten by a query that reads it, so the next state is first written
-to a staging table. The staging table exists in the catalog only once its data is complete;
-until the replace has finished it stays there, and ``finish_replace`` can repeat the second half
-as often as needed. Jobs call it before they read the target.
+to a staging table. A staging table enters the catalog only once its data is complete, and stays
+until the replace has finished: ``finish_replace`` can repeat the second half as often as needed,
+and jobs call it before they read the target. Its name is new each time, so files that a killed
+driver left half-written are in nobody's way.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,13 +55,28 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(table)}")
 
 
-def save_table(df: DataFrame, table: str, mode: str = "overwrite") -> None:
-    """Write a table that the frame does not read: full overwrite or append."""
-    df.write.mode(mode).saveAsTable(table)
+def save_table(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Overwrite a table that the frame does not read; created if absent, anew if columns changed."""
+    if spark.catalog.tableExists(table):
+        have = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+        if have != [(f.name, f.dataType) for f in df.schema.fields]:
+            drop_table(spark, table)
+    ensure_table(spark, table, df.schema)
+    overwrite_from(spark, df, table)
 
 
-def staging_name(table: str) -> str:
-    return f"{table}__staging"
+def new_staging_name(table: str) -> str:
+    return f"{table}__staging_{uuid.uuid4().hex[:12]}"
+
+
+def find_staging(spark: SparkSession, table: str) -> str | None:
+    """The complete staging table that waits to be put in place of ``table``, if there is one."""
+    database, _, name = table.rpartition(".")
+    scope = f" IN {_quoted(database)}" if database else ""
+    found = spark.sql(f"SHOW TABLES{scope} LIKE '{name}__staging_*'").where("NOT isTemporary").collect()
+    if len(found) > 1:
+        raise RuntimeError(f"several runs left a staged state of {table}; drop all but one")
+    return f"{database}.{found[0]['tableName']}".lstrip(".") if found else None
 
 
 def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
@@ -97,7 +114,7 @@ def staged_replace(
         writer = writer.partitionBy(partition_col)
     if buckets:
         writer = writer.bucketBy(buckets[0], *buckets[1])
-    writer.saveAsTable(staging_name(table))
+    writer.saveAsTable(new_staging_name(table))
     finish_replace(spark, table, partition_col, always)
 
 
@@ -105,19 +122,20 @@ def finish_replace(
     spark: SparkSession, table: str, partition_col: str | None = None, always: Sequence[object] = ()
 ) -> bool:
     """Second half of ``staged_replace``; says whether there was a staged state to put in place."""
-    staging = staging_name(table)
-    if not spark.catalog.tableExists(staging):
+    staging = find_staging(spark, table)
+    if staging is None:
         return False
     if partition_col is None:
         overwrite_from(spark, spark.table(staging), table)
     else:
-        _overwrite_partitions(spark, table, partition_col, [str(v) for v in always])
+        _overwrite_partitions(spark, staging, table, partition_col, [str(v) for v in always])
     drop_table(spark, staging)
     return True
 
 
-def _overwrite_partitions(spark: SparkSession, table: str, partition_col: str, always: list[str]) -> None:
-    staging = staging_name(table)
+def _overwrite_partitions(
+    spark: SparkSession, staging: str, table: str, partition_col: str, always: list[str]
+) -> None:
     kind = spark.table(table).schema[partition_col].dataType.simpleString()
     rest = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != partition_col)
     staged = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {_quoted(staging)}").collect()]

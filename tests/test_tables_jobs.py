@@ -18,11 +18,12 @@ from dimkeeper.sources.tables import (
     bucket_spec,
     drop_table,
     ensure_table,
+    find_staging,
     finish_replace,
     merge_into,
+    new_staging_name,
     save_table,
     staged_replace,
-    staging_name,
 )
 from tests.scenario import DAY1, DAY2, DAY3, KEYS, PREVIOUS, by_key, day1, day2, rows
 
@@ -36,14 +37,14 @@ def plan_of(df):
 
 def test_a_file_table_cannot_overwrite_itself_but_can_through_staging(spark, database):
     name = f"{database}.customer"
-    save_table(day1(spark), name)
+    save_table(spark, day1(spark), name)
     merged = merge_upsert(spark.table(name), day2(spark), KEYS)
     expected = rows(merged)
     with pytest.raises(AnalysisException):
         merged.write.mode("overwrite").saveAsTable(name)
     staged_replace(spark, merged, name)
     assert rows(spark.table(name)) == expected
-    assert not spark.catalog.tableExists(staging_name(name))
+    assert find_staging(spark, name) is None
 
 
 def test_columns_go_by_name(spark, database):
@@ -55,7 +56,7 @@ def test_columns_go_by_name(spark, database):
 
 def test_replace_is_completed_after_a_break(spark, database, monkeypatch):
     name = f"{database}.customer"
-    save_table(day1(spark), name)
+    save_table(spark, day1(spark), name)
     with monkeypatch.context() as m:
         m.setattr(tables, "finish_replace", lambda *a: (_ for _ in ()).throw(RuntimeError("executor lost")))
         with pytest.raises(RuntimeError):
@@ -66,6 +67,35 @@ def test_replace_is_completed_after_a_break(spark, database, monkeypatch):
     assert not finish_replace(spark, name)
 
 
+def test_files_of_a_killed_run_are_in_nobodys_way(spark, database, tmp_path):
+    name = f"{database}.customer"
+    save_table(spark, day1(spark), name)
+    for leftover in ("customer__staging", "customer__staging_0", "customer/_temporary"):
+        day1(spark).write.parquet(f"{tmp_path}/db/{leftover}/0/part")
+    staged_replace(spark, merge_upsert(spark.table(name), day2(spark), KEYS), name)
+    assert spark.table(name).count() == 11
+    save_table(spark, day2(spark), name)
+    assert rows(spark.table(name)) == rows(day2(spark))
+
+
+def test_two_staged_states_are_not_guessed_between(spark, database):
+    name = f"{database}.customer"
+    save_table(spark, day1(spark), name)
+    save_table(spark, day1(spark), f"{database}.customer_his__staging_1")
+    assert find_staging(spark, name) is None
+    for n in "12":
+        save_table(spark, day2(spark), f"{name}__staging_{n}")
+    with pytest.raises(RuntimeError, match="several runs"):
+        finish_replace(spark, name)
+
+
+def test_save_table_follows_changed_columns(spark, database):
+    name = f"{database}.customer"
+    save_table(spark, day1(spark), name)
+    save_table(spark, day1(spark).drop("gender"), name)
+    assert spark.table(name).columns == day1(spark).columns[:-1]
+
+
 def test_append_twice_adds_once(spark, database):
     name = f"{database}.h"
     ensure_table(spark, name, day1(spark).schema)
@@ -77,7 +107,7 @@ def test_append_twice_adds_once(spark, database):
 
 def test_row_level_merge_is_left_to_the_catalog(spark, database):
     name = f"{database}.customer"
-    save_table(day1(spark), name)
+    save_table(spark, day1(spark), name)
     with pytest.raises(UnsupportedOperationException, match="MERGE INTO"):
         merge_into(spark, day2(spark), name, KEYS)
 
@@ -139,12 +169,13 @@ def test_scd2_job_completes_a_run_that_broke_off(spark, database):
     run_scd2(spark, day1(spark), name, KEYS, DAY1)
     expected = rows(scd2(spark.table(name), day2(spark), KEYS, DAY2))
     staged = scd2(spark.table(name), day2(spark), KEYS, DAY2)
-    staged.write.partitionBy("end_date").saveAsTable(staging_name(name))
+    staging = new_staging_name(name)
+    staged.write.partitionBy("end_date").saveAsTable(staging)
     # Only the open partition got its new content; the versions closed on day 2 are still missing.
     columns = ", ".join(c for c in spark.table(name).columns if c != "end_date")
     spark.sql(
         f"INSERT OVERWRITE TABLE {name} PARTITION (end_date = '{OPEN_END}') BY NAME "
-        f"SELECT {columns} FROM {staging_name(name)} WHERE end_date = DATE'{OPEN_END}'"
+        f"SELECT {columns} FROM {staging} WHERE end_date = DATE'{OPEN_END}'"
     )
     run_scd2(spark, day2(spark), name, KEYS, DAY2)
     assert rows(spark.table(name)) == expected
@@ -202,8 +233,9 @@ def test_scd4_job_completes_a_run_that_broke_off(spark, database):
     current, history = f"{database}.dim", f"{database}.dim_his"
     run_scd4(spark, day1(spark), current, history, KEYS, DAY1)
     parts = scd4_parts(spark.table(current), day2(spark), KEYS, DAY2)
-    parts.write.partitionBy("part").saveAsTable(staging_name(current))
-    archive = spark.table(staging_name(current)).where("part = 'archive'")
+    staging = new_staging_name(current)
+    parts.write.partitionBy("part").saveAsTable(staging)
+    archive = spark.table(staging).where("part = 'archive'")
     append_missing(spark, archive, history, [*KEYS, "start_date"])  # and then the run broke off
     run_scd4(spark, day2(spark), current, history, KEYS, DAY2)
     assert spark.table(history).count() == 3
@@ -268,7 +300,7 @@ def test_curated_load_publishes_after_a_run_that_broke_off(spark, database):
 def test_read_source(spark, database, tmp_path):
     path = str(tmp_path / "files")
     day1(spark).write.parquet(path)
-    save_table(day1(spark), f"{database}.customer")
+    save_table(spark, day1(spark), f"{database}.customer")
     for source in (path, f"{database}.customer"):
         assert read_source(spark, source, ["customer_id", "email"]).columns == ["customer_id", "email"]
     typed = read_source(spark, path, schema=day1(spark).schema)
