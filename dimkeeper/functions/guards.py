@@ -67,6 +67,4 @@ def key_violations(counted: DataFrame, keys: Sequence[str], what: str, like: Dat
     bad = counted.where(
         f"CASE WHEN key__copies > 1 THEN CAST({_fail(what + ', repeated key', keys)} AS boolean) ELSE false END"
     )
-    return bad.selectExpr(
-        *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in like.schema.fields]
-    )
+    return bad.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema.fields])

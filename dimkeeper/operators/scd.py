@@ -102,15 +102,15 @@ def scd2(
         f"""explode(CASE WHEN {m.both} AND {m.same} THEN array('kept')
                          WHEN {m.both} THEN array('ended', 'begun')
                          WHEN {m.in_old} THEN array('ended')
-                         ELSE array('begun') END) AS version""",
+                         ELSE array('begun') END) AS scd__version""",
     )
     columns = [
-        *m.columns_where("version = 'begun'", [*keys, *m.tracked]),
-        f"IF(version = 'begun', {today}, {m.old(start_col)}) AS {start}",
-        f"IF(version = 'ended', {today}, {forever}) AS {end}",
+        *m.columns_where("scd__version = 'begun'", [*keys, *m.tracked]),
+        f"IF(scd__version = 'begun', {today}, {m.old(start_col)}) AS {start}",
+        f"IF(scd__version = 'ended', {today}, {forever}) AS {end}",
     ]
     if date_col:
-        columns.append(f"IF(version = 'kept', {m.old(date_col)}, {today}) AS {quoted(date_col)}")
+        columns.append(f"IF(scd__version = 'kept', {m.old(date_col)}, {today}) AS {quoted(date_col)}")
     late = f"raise_error('run date {run_date} lies before the start of an open version')"
     lasting = f"CASE WHEN {end} < {start} THEN CAST({late} AS boolean) WHEN {end} = {start} THEN false ELSE true END"
     current = versions.selectExpr(*columns).where(lasting)
@@ -210,7 +210,7 @@ def scd4_parts(
     on_delete: str = "keep",
     check_keys: bool = True,
 ) -> DataFrame:
-    """Both results of ``scd4`` in one frame, told apart by ``part`` ('current' or 'archive').
+    """Both results of ``scd4`` in one frame, told apart by ``scd__part`` ('current' or 'archive').
 
     Current rows have NULL ``start_date`` and ``end_date``, archive rows a NULL ``date_col``.
     """
@@ -219,12 +219,12 @@ def scd4_parts(
     rows = m.rows if on_delete == "keep" else m.rows.where(m.in_new)
     superseded = _superseded(m, run_date, date_col)
     rows = rows.selectExpr(
-        "*", f"explode(IF({superseded}, array('current', 'archive'), array('current'))) AS part"
+        "*", f"explode(IF({superseded}, array('current', 'archive'), array('current'))) AS scd__part"
     )
     return rows.selectExpr(
-        *m.columns_where(f"{m.in_new} AND part = 'current'", [*m.keys, *m.tracked]),
-        f"IF(part = 'current', {_scd4_stamp(m, run_date, date_col)}, NULL) AS {quoted(date_col)}",
-        f"IF(part = 'archive', {m.old(date_col)}, NULL) AS start_date",
-        f"IF(part = 'archive', {date_literal(run_date)}, NULL) AS end_date",
-        "part",
+        *m.columns_where(f"{m.in_new} AND scd__part = 'current'", [*m.keys, *m.tracked]),
+        f"IF(scd__part = 'current', {_scd4_stamp(m, run_date, date_col)}, NULL) AS {quoted(date_col)}",
+        f"IF(scd__part = 'archive', {m.old(date_col)}, NULL) AS start_date",
+        f"IF(scd__part = 'archive', {date_literal(run_date)}, NULL) AS end_date",
+        "scd__part",
     )

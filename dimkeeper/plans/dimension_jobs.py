@@ -116,7 +116,7 @@ def run_scd4(
     ensure_table(spark, history, _with_dates(source.schema, "start_date", "end_date"), partition_by=["end_date"])
     _land_scd4(spark, table, history, keys)
     parts = scd4_parts(spark.table(table), source, keys, day, on_delete=on_delete)
-    parts.write.mode("overwrite").partitionBy("part").saveAsTable(new_staging_name(table))
+    parts.write.mode("overwrite").partitionBy("scd__part").saveAsTable(new_staging_name(table))
     _land_scd4(spark, table, history, keys)
 
 
@@ -125,9 +125,9 @@ def _land_scd4(spark: SparkSession, table: str, history: str, keys: Sequence[str
     if staging is None:
         return
     parts = spark.table(staging)
-    archive = parts.where(F.col("part") == "archive")
+    archive = parts.where(F.col("scd__part") == "archive")
     closed_on = archive.agg(F.max("end_date")).first()[0]
     if closed_on is not None:
         append_missing(spark, archive, history, [*keys, "start_date"], f"end_date = DATE'{closed_on}'")
-    overwrite_from(spark, parts.where(F.col("part") == "current"), table)
+    overwrite_from(spark, parts.where(F.col("scd__part") == "current"), table)
     drop_table(spark, staging)

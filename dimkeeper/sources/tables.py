@@ -80,12 +80,13 @@ def find_staging(spark: SparkSession, table: str) -> str | None:
 
 
 def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
-    """Number of buckets and bucket columns."""
-    names = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
-    if not names:
+    """Number of buckets and bucket columns, from the table's description."""
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}")
+    found = dict(detail.where("col_name IN ('Num Buckets', 'Bucket Columns')").select("col_name", "data_type").collect())
+    if "Num Buckets" not in found:
         return None
-    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where("col_name = 'Num Buckets'")
-    return int(detail.first()["data_type"]), names
+    names = found["Bucket Columns"].strip("[]").split(", ")
+    return int(found["Num Buckets"]), [n.strip("`") for n in names]
 
 
 def staged_replace(

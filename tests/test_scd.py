@@ -79,8 +79,8 @@ def test_scd4_parts_equal_the_two_results(spark, on_delete):
     first, _ = scd4(dimension(spark, "etl_date date"), day1(spark), KEYS, DAY1)
     current, archive = scd4(first, day2(spark), KEYS, DAY2, on_delete=on_delete)
     parts = scd4_parts(first, day2(spark), KEYS, DAY2, on_delete=on_delete)
-    assert rows(parts.where("part = 'current'").select(*current.columns)) == rows(current)
-    assert rows(parts.where("part = 'archive'").select(*archive.columns)) == rows(archive)
+    assert rows(parts.where("scd__part = 'current'").select(*current.columns)) == rows(current)
+    assert rows(parts.where("scd__part = 'archive'").select(*archive.columns)) == rows(archive)
 
 
 # --- repeated runs ----------------------------------------------------------------------------------
@@ -206,3 +206,20 @@ def test_missing_column_is_named(spark):
         scd1(dimension(spark, "etl_date date"), day1(spark).drop("hometown"), KEYS, DAY1)
     with pytest.raises(ValueError, match="on_delete"):
         scd1(dimension(spark, "etl_date date"), day1(spark), KEYS, DAY1, on_delete="erase")
+
+
+def test_column_names_that_need_quoting(spark):
+    schema = "`the key` int, version string, part string, `it's` struct<`a b`:int>"
+    old = spark.createDataFrame([(1, "v", "p", (1,)), (2, "v", "p", (1,))], schema)
+    new = spark.createDataFrame([(1, "v", "q", (2,)), (2, "v", "p", (1,))], schema)
+    keys = ["the key", "version"]
+    dates = ", start_date date, end_date date, etl_date date"
+    state = scd2(scd2(spark.createDataFrame([], schema + dates), old, keys, DAY1), new, keys, DAY2)
+    assert state.count() == 3
+    one = scd1(spark.createDataFrame([], schema + ", etl_date date"), old, keys, DAY1)
+    assert rows(scd1(one, new, keys, DAY2).drop("etl_date")) == rows(new)
+    current, archive = scd4(one, new, keys, DAY2)
+    parts = scd4_parts(one, new, keys, DAY2)
+    assert (current.count(), archive.count(), parts.count()) == (2, 1, 3)
+    with pytest.raises(Exception, match="repeated key"):
+        scd1(one, new.union(new), keys, DAY2).collect()

@@ -234,8 +234,8 @@ def test_scd4_job_completes_a_run_that_broke_off(spark, database):
     run_scd4(spark, day1(spark), current, history, KEYS, DAY1)
     parts = scd4_parts(spark.table(current), day2(spark), KEYS, DAY2)
     staging = new_staging_name(current)
-    parts.write.partitionBy("part").saveAsTable(staging)
-    archive = spark.table(staging).where("part = 'archive'")
+    parts.write.partitionBy("scd__part").saveAsTable(staging)
+    archive = spark.table(staging).where("scd__part = 'archive'")
     append_missing(spark, archive, history, [*KEYS, "start_date"])  # and then the run broke off
     run_scd4(spark, day2(spark), current, history, KEYS, DAY2)
     assert spark.table(history).count() == 3
