@@ -168,9 +168,15 @@ def _scd4_stamp(m: Match, run_date: dt.date, date_col: str) -> str:
     return f"IF({m.only_old} OR ({m.both} AND {m.same}), {m.old(date_col)}, {date_literal(run_date)})"
 
 
-def _superseded(m: Match, run_date: dt.date, date_col: str) -> str:
-    """Changed rows, but for those that began on this very date and so were valid for no day."""
-    return f"({m.both} AND NOT {m.same} AND NOT ({m.old(date_col)} <=> {date_literal(run_date)}))"
+def _superseded(m: Match, run_date: dt.date, date_col: str, on_delete: str) -> str:
+    """Rows that leave the current table: changed ones and, with 'drop', deleted ones.
+
+    A row that began on this very date was valid for no day and is not one of them.
+    """
+    leaves = f"({m.both} AND NOT {m.same})"
+    if on_delete == "drop":
+        leaves = f"({leaves} OR {m.only_old})"
+    return f"({leaves} AND NOT ({m.old(date_col)} <=> {date_literal(run_date)}))"
 
 
 def scd4(
@@ -185,7 +191,8 @@ def scd4(
     """Type 4: the current rows, and the superseded rows to append to the history table.
 
     History rows carry ``start_date`` (when the version began) and ``end_date`` (the run date).
-    The two frames share one plan; to write both from one evaluation use ``scd4_parts``.
+    Deleted keys stay current, or with ``on_delete='drop'`` go to the history. The two frames share
+    one plan; to write both from one evaluation use ``scd4_parts``.
     """
     _check_on_delete(on_delete)
     m = _scd4_match(target, source, keys, date_col, check_keys)
@@ -193,7 +200,7 @@ def scd4(
     current = rows.selectExpr(
         *m.newest_columns(), f"{_scd4_stamp(m, run_date, date_col)} AS {quoted(date_col)}"
     ).select(*target.columns)
-    archive = m.rows.where(_superseded(m, run_date, date_col)).selectExpr(
+    archive = m.rows.where(_superseded(m, run_date, date_col, on_delete)).selectExpr(
         *m.old_columns([*m.keys, *m.tracked]),
         f"{m.old(date_col)} AS start_date",
         f"{date_literal(run_date)} AS end_date",
@@ -216,10 +223,13 @@ def scd4_parts(
     """
     _check_on_delete(on_delete)
     m = _scd4_match(target, source, keys, date_col, check_keys)
-    rows = m.rows if on_delete == "keep" else m.rows.where(m.in_new)
-    superseded = _superseded(m, run_date, date_col)
-    rows = rows.selectExpr(
-        "*", f"explode(IF({superseded}, array('current', 'archive'), array('current'))) AS scd__part"
+    superseded = _superseded(m, run_date, date_col, on_delete)
+    stays = "true" if on_delete == "keep" else m.in_new
+    rows = m.rows.where(f"{stays} OR {superseded}").selectExpr(
+        "*",
+        f"""explode(CASE WHEN NOT {stays} THEN array('archive')
+                         WHEN {superseded} THEN array('current', 'archive')
+                         ELSE array('current') END) AS scd__part""",
     )
     return rows.selectExpr(
         *m.columns_where(f"{m.in_new} AND scd__part = 'current'", [*m.keys, *m.tracked]),

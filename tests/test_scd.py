@@ -78,6 +78,8 @@ def test_scd4_scenario(spark):
 def test_scd4_parts_equal_the_two_results(spark, on_delete):
     first, _ = scd4(dimension(spark, "etl_date date"), day1(spark), KEYS, DAY1)
     current, archive = scd4(first, day2(spark), KEYS, DAY2, on_delete=on_delete)
+    assert (4 in by_key(current)) == (on_delete == "keep")
+    assert (4 in by_key(archive)) == (on_delete == "drop")
     parts = scd4_parts(first, day2(spark), KEYS, DAY2, on_delete=on_delete)
     assert rows(parts.where("scd__part = 'current'").select(*current.columns)) == rows(current)
     assert rows(parts.where("scd__part = 'archive'").select(*archive.columns)) == rows(archive)

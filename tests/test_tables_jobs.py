@@ -330,3 +330,17 @@ def test_scratch_is_in_the_folder_the_session_names(spark):
     stored = materialise(day1(spark))
     assert rows(stored) == rows(day1(spark))
     assert all(base in f for f in stored.inputFiles())
+
+
+def test_jobs_start_from_and_return_to_empty_snapshots(spark, database):
+    nothing = day1(spark).where("false")
+    for day, snapshot in ((DAY1, nothing), (DAY2, day1(spark)), (DAY3, nothing)):
+        run_scd1(spark, snapshot, f"{database}.s1", KEYS, day, on_delete="drop")
+        run_scd2(spark, snapshot, f"{database}.s2", KEYS, day)
+        run_scd3(spark, snapshot, f"{database}.s3", KEYS, PREVIOUS, day, on_delete="drop")
+        run_scd4(spark, snapshot, f"{database}.s4", f"{database}.s4_his", KEYS, day, on_delete="drop")
+        load_curated(spark, conform(snapshot, customer_columns(), day), f"{database}.cur", KEYS, day)
+    for name, n in (("s1", 0), ("s3", 0), ("s4", 0), ("s4_his", 10)):
+        assert spark.table(f"{database}.{name}").count() == n
+    assert {(r["start_date"], r["end_date"]) for r in spark.table(f"{database}.s2").collect()} == {(DAY2, DAY3)}
+    assert {r["is_active"] for r in spark.table(f"{database}.cur").collect()} == {"0"}
