@@ -6,6 +6,8 @@ a DataFrame. Queries that write use new databases below the session's shared scr
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 import uuid
@@ -475,9 +477,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_layered_run(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def library_queries() -> dict[str, Query]:
+    """The queries of this module; each has a statement in ``oracle_queries.py``."""
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
 
 
+def _extras() -> list:
+    """The modules with further queries, as far as they are part of this copy of the library."""
+    there = importlib.util.find_spec
+    names = ["dimkeeper.llm.queries"] if there("dimkeeper.llm") and there("dimkeeper.llm.queries") else []
+    names += ["corpus_pipeline"] if names and there("corpus_pipeline") else []
+    return [importlib.import_module(name) for name in names]
+
+
+def queries() -> dict[str, Query]:
+    return library_queries() | {name: fn for module in _extras() for name, fn in module.queries().items()}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return dict(ORACLE_SQL) | {name: sql for module in _extras() for name, sql in module.oracle_sql().items()}

@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle: columns, row count and exact values."""
+"""Every query of the library itself against its DuckDB oracle: columns, row count and exact values."""
 
 from __future__ import annotations
 
@@ -24,14 +24,14 @@ def oracle_rows(sf_dir, sql):
     return columns, result.fetchall()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.library_queries()))
 def test_query_equals_oracle(spark, name):
     sf_dir = "/root/testdata/sf0.01" if name.startswith("orders") else "/root/testdata/sf0.001"
-    df = driver.queries()[name](spark, sf_dir)
-    columns, rows = oracle_rows(sf_dir, driver.oracle_sql()[name])
+    df = driver.library_queries()[name](spark, sf_dir)
+    columns, rows = oracle_rows(sf_dir, driver.ORACLE_SQL[name])
     assert sorted(df.columns) == sorted(columns)
     assert normalised(df.columns, [tuple(r) for r in df.collect()]) == normalised(columns, rows)
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.library_queries()) == set(driver.ORACLE_SQL)
