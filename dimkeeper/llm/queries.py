@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimkeeper.llm.decontamination import contaminated, find_contamination
 from dimkeeper.llm.substring_dedup import remove_repeated_words
 from dimkeeper.llm.suffix_dedup import remove_repeated_bytes
 
@@ -18,6 +19,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def q_op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
 def q_op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_words(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
