@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimkeeper.llm.decontamination import contaminated, find_contamination
+from dimkeeper.llm.ngram_join import ngram_components
 from dimkeeper.llm.substring_dedup import remove_repeated_words
 from dimkeeper.llm.suffix_dedup import remove_repeated_bytes
 
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def q_op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def q_op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
