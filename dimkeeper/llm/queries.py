@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from dimkeeper.llm.decontamination import contaminated, find_contamination
 from dimkeeper.llm.ngram_join import ngram_components
+from dimkeeper.llm.secrets import KINDS, find_secrets, joined
 from dimkeeper.llm.substring_dedup import remove_repeated_words
 from dimkeeper.llm.suffix_dedup import remove_repeated_bytes
 
@@ -24,6 +25,13 @@ def q_op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def q_op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_of = [F.expr(f"CAST(size(filter(base_spans, s -> s.kind = {k})) AS long) AS n_{name}") for k, name in enumerate(KINDS[:3])]
+    base = F.sha2(joined(F.col("base_spans")), 256).alias("base_sha256")
+    return found.select("doc_id", *n_of, base, joined(F.col("secret_spans")).alias("spans"))
+
+
 def q_op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(

@@ -152,7 +152,7 @@ def _found(unit: Unit, n_buckets: int, dtype: type, width: int) -> Callable:
         done, left = same_segments(out["twin"], out["doc_id"], out["mark"], out["start"], unit)
         bucket = sh.bucket_of(out["anchor"], n_buckets)
         rows: dict[str, list] = {n: [] for n in ("bucket", "anchor", "doc_id", "mark", "start", "size", "twin", "payload", "done")}
-        order = np.argsort(bucket, kind="stable")
+        order = np.lexsort((out["anchor"], bucket))  # like beside like, for the shuffle's compression
         at = tx.groups(bucket[order])
         for a, b in zip(at[:-1], at[1:], strict=True):
             mine = order[a:b]

@@ -1,0 +1,178 @@
+"""Secret scans: fixed patterns, and random-looking strings by the likelihood ratio of Markov models.
+
+Built-in expressions only. Places come from splitting a text at the matches of a pattern: lengths of
+the pieces between and of the matches add up to code-point offsets.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# The base patterns, their kinds in the order in which they are listed, least lengths.
+ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = "AKIA[A-Z0-9]+"
+HEX = "[0-9a-f]+"
+KINDS = ("assign", "access", "hex", "markov")
+ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 12, 18, 16
+
+#: Characters of strings that the models judge; any other character ends a string.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+STRING = "[A-Za-z0-9+/_=-]"
+
+SPANS = "array<struct<start:int,kind:int,end:int>>"
+
+
+def _places(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
+    """Matches of which the group has a least length, as (start, kind, end)."""
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    valued = hits if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    gaps = F.split(text, pattern, -1)
+    parts = F.arrays_zip(hits.alias("hit"), valued.alias("value"), F.slice(gaps, 1, F.size(hits)).alias("gap"))
+    parts = F.transform(
+        parts,
+        lambda p: F.struct(F.length(p["gap"]).alias("gap"), F.length(p["hit"]).alias("hit"), (F.length(p["value"]) >= least).alias("ok")),
+    )
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
+
+    def step(acc: Column, p: Column) -> Column:
+        begin = acc["at"] + p["gap"]
+        end = begin + p["hit"]
+        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+        return F.struct(end.alias("at"), F.when(p["ok"], F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
+
+    return F.aggregate(parts, start, step, lambda acc: acc["found"])
+
+
+def _none() -> Column:
+    return F.array().cast(SPANS)
+
+
+def base_spans(text: Column) -> dict[str, Column]:
+    """Arrays of (start, kind, end) by kind; a cheap test spares most texts the costly pattern."""
+    low = F.lower(text)
+    named = F.lit(False)
+    for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+        named = named | low.contains(word)
+    return {
+        "assign": F.when(named, _places(text, ASSIGN, 0, 2, ASSIGN_LENGTH)).otherwise(_none()),
+        "access": F.when(text.contains("AKIA"), _places(text, ACCESS, 1, 0, ACCESS_LENGTH)).otherwise(_none()),
+        # A run is matched whole, so that a shorter one can be left out of the pattern at once.
+        "hex": F.when(text.rlike(f"[0-9a-f]{{{HEX_LENGTH}}}"), _places(text, f"[0-9a-f]{{{HEX_LENGTH},}}", 2, 0, HEX_LENGTH)).otherwise(_none()),
+    }
+
+
+def with_base(docs: DataFrame, text: str) -> DataFrame:
+    found = base_spans(F.col(text))
+    return docs.select(*docs.columns, *(column.alias(f"{kind}_spans") for kind, column in found.items()))
+
+
+def samples(found: DataFrame, text: str) -> DataFrame:
+    """(string, label): values of base matches as random strings, 1, and the other long strings of the same texts, 0."""
+    hits = found.where("size(assign_spans) + size(access_spans) + size(hex_spans) > 0")
+    spans = F.concat("assign_spans", "access_spans", "hex_spans")
+    body = F.col(text)
+    cut = F.transform(spans, lambda s: F.substring(body, s["start"] + 1, s["end"] - s["start"]))
+    value = F.transform(cut, lambda c: F.regexp_extract(c, f"({STRING}+)$", 1))
+    secret = hits.select(F.explode(value).alias("string"), F.lit(1).alias("label"))
+    words = F.regexp_extract_all(body, F.lit(f"{STRING}{{6,}}"), F.lit(0))
+    ordinary = hits.select(F.explode(F.array_except(words, value)).alias("string"), F.lit(0).alias("label"))
+    return secret.where("length(string) >= 12").unionByName(ordinary)
+
+
+def train(labelled: DataFrame, smoothing: float = 0.5) -> list[float]:
+    """Log-likelihood ratios of all character pairs, from labelled strings.
+
+    Counts are summed in Spark; what comes to the driver is bounded by the square of the alphabet.
+    An alphabet index is a character's place in ``ALPHABET``. Without strings of both labels all
+    ratios are 0.
+    """
+    n = len(ALPHABET)
+    chars = F.split("string", "")
+    pair = F.zip_with(chars, F.slice(chars, 2, F.length("string")), lambda x, y: F.concat(x, y))
+    pairs = labelled.where("length(string) >= 2").select("label", F.explode(pair).alias("pair")).where("length(pair) = 2")
+    first, second = (F.instr(F.lit(ALPHABET), F.substring("pair", k, 1)) for k in (1, 2))
+    counts = pairs.select("label", first.alias("a"), second.alias("b")).where("a > 0 AND b > 0").groupBy("label", "a", "b").count().collect()
+    table = [[[smoothing] * n for _ in range(n)] for _ in (0, 1)]
+    seen = [0, 0]
+    for label, a, b, k in counts:
+        table[label][a - 1][b - 1] += k
+        seen[label] += k
+    if not all(seen):
+        return [0.0] * (n * n)
+    sums = [[sum(row) for row in one] for one in table]
+    return [math.log(table[1][a][b] / sums[1][a]) - math.log(table[0][a][b] / sums[0][a]) for a in range(n) for b in range(n)]
+
+
+def likelihood_ratio(string: Column, ratios: list[float]) -> Column:
+    """log P(string | random) - log P(string | ordinary), over its character pairs."""
+    weights = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
+
+    def step(acc: Column, char: Column) -> Column:
+        code = F.instr(F.lit(ALPHABET), char)
+        known = (acc["last"] > 0) & (code > 0) & (F.length(char) > 0)
+        gain = F.when(known, F.element_at(weights, (acc["last"] - 1) * len(ALPHABET) + code)).otherwise(0.0)
+        return F.struct(F.when(F.length(char) > 0, code).otherwise(0).alias("last"), (acc["sum"] + gain).alias("sum"))
+
+    start = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("sum"))
+    return F.aggregate(F.split(string, ""), start, step, lambda acc: acc["sum"])
+
+
+def _markov(text: Column, base: Column, ratios: list[float], least: int, threshold: float) -> Column:
+    """Long strings with a letter and a digit that look random and touch no base span."""
+    found = F.when(text.rlike(f"{STRING}{{{least}}}"), _places(text, f"{STRING}{{{least},}}", 3, 0, least)).otherwise(_none())
+
+    def random(span: Column) -> Column:
+        string = F.substring(text, span["start"] + 1, span["end"] - span["start"])
+        mixed = string.rlike("[0-9]") & string.rlike("[A-Za-z]")
+        apart = ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+        return mixed & apart & F.coalesce(likelihood_ratio(string, ratios) > threshold, F.lit(False))
+
+    return F.filter(found, random)
+
+
+def joined(spans: Column) -> Column:
+    """``kind:start:end`` of sorted spans, comma-joined."""
+    kinds = F.array(*map(F.lit, KINDS))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["end"])), ",")
+
+
+def find_secrets(docs: DataFrame, text: str = "text", labelled: DataFrame | None = None, least: int = 20, threshold: float = 10.0) -> DataFrame:
+    """``docs`` with the columns base_spans and secret_spans: arrays of (start, kind, end), sorted.
+
+    ``kind`` is a place in ``KINDS``; places are code points, the end exclusive. Base spans are the
+    matches of the fixed patterns. To these the models add strings of ``least`` or more characters
+    with letters and digits whose log-likelihood ratio is above ``threshold``. ``labelled`` holds
+    the samples (string, label: 1 random, 0 ordinary); by default the base matches of ``docs`` and
+    the other strings of the same texts.
+
+    * null or empty text: no spans; repeated rows: each has its result
+    * no labelled samples of one kind: base spans only
+    * other columns of ``docs`` stay; one with the name of a new column is an error
+    """
+    names = {"base_spans", "secret_spans", "assign_spans", "access_spans", "hex_spans", "__body"}
+    if clash := names & set(docs.columns):
+        raise ValueError(f"columns with the names of new ones: {sorted(clash)}")
+    body = docs.withColumn("__body", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    found = with_base(body, "__body")
+    ratios = train(samples(with_base(body.select("__body"), "__body"), "__body") if labelled is None else labelled)
+    base = found.withColumn("base_spans", F.array_sort(F.concat("assign_spans", "access_spans", "hex_spans")))
+    more = _markov(F.col("__body"), F.col("base_spans"), ratios, least, threshold)
+    both = base.withColumn("secret_spans", F.array_sort(F.concat("base_spans", more)))
+    return both.select(*docs.columns, "base_spans", "secret_spans")
+
+
+def redacted(text: Column, spans: Column, label: str = "[SECRET]") -> Column:
+    """The text with each stretch of sorted spans, where they overlap their union, replaced by a label."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        fresh = (s["start"] >= acc["at"]) | ((acc["at"] == 0) & (s["start"] == 0))
+        between = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
+        out = F.when(fresh, F.concat(acc["out"], between, F.lit(label))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+
+    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
