@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from dimkeeper.llm.decontamination import contaminated, find_contamination
 from dimkeeper.llm.ngram_join import ngram_components
-from dimkeeper.llm.secrets import KINDS, find_secrets, joined
+from dimkeeper.llm.preference import conversations, format_preferences, pair_by_opening
+from dimkeeper.llm.quality import resample
+from dimkeeper.llm.secret_scan import KINDS, find_secrets, joined
 from dimkeeper.llm.substring_dedup import remove_repeated_words
 from dimkeeper.llm.suffix_dedup import remove_repeated_bytes
 
@@ -32,6 +34,16 @@ def q_op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *n_of, base, joined(F.col("secret_spans")).alias("spans"))
 
 
+def q_op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = conversations(_table(spark, sf_dir, "conversations"))
+    return format_preferences(pair_by_opening(talks))
+
+
+def q_op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_features", "weight", "key", "selected")
+
+
 def q_op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
