@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimkeeper.llm.decontamination import contaminated, find_contamination
+from dimkeeper.llm.html_text import extract_text
+from dimkeeper.llm.mixing import mix_sources
+from dimkeeper.llm.neighbour_graph import near_duplicates
 from dimkeeper.llm.ngram_join import ngram_components
 from dimkeeper.llm.preference import conversations, format_preferences, pair_by_opening
 from dimkeeper.llm.quality import resample
@@ -34,6 +37,18 @@ def q_op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *n_of, base, joined(F.col("secret_spans")).alias("spans"))
 
 
+def q_op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def q_op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
+def q_op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def q_op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = conversations(_table(spark, sf_dir, "conversations"))
     return format_preferences(pair_by_opening(talks))
