@@ -11,6 +11,8 @@ from dimkeeper.sources.scratch import materialise
 
 MARGINS = ("source", "lang", "topic")
 
+NEW = ("topic", "n_tokens", "factor", "copies")
+
 
 def n_tokens(text: Column) -> Column:
     """Words without ASCII white space; null or empty text has none."""
@@ -88,19 +90,18 @@ def mix_sources(
 
     ``targets`` maps source, lang or topic to shares by value; without it a margin's target is the
     ``power``-th power of its tokens. ``topic`` names a column; without it the form of the text counts.
-    One row for each row of ``docs``: doc_id, source, lang, topic, n_tokens, factor, copies.
+    The rows of ``docs`` with topic, n_tokens, factor and copies.
 
-    * null or empty text: no tokens, factor 1, drawn like a document of factor 1
+    * null or empty text: no tokens, factor 1 if nothing else of its cell has tokens
     * null source, lang or topic: a value of its own
     * repeated rows: drawn alike, as the draw follows the id; a null id counts as one more id
     * values without a target: factor 0, never drawn
+    * a column of ``docs`` with the name of a new one is replaced
     """
     kind = F.col(topic).cast("string") if topic else form_topic(F.col(text))
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(lang).alias("lang"), kind.alias("topic"), n_tokens(F.col(text)).alias("n_tokens")
-    )
-    rows = materialise(rows)
-    cells = materialise(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
+    names = {"source": F.col(source), "lang": F.col(lang), "topic": kind}
+    keyed = docs.select(*(c.alias(f"__{m}") for m, c in names.items()), n_tokens(F.col(text)).alias("tokens"))
+    cells = materialise(keyed.groupBy(*(F.col(f"__{m}").alias(m) for m in MARGINS)).agg(F.sum("tokens").alias("tokens")))
     spark = docs.sparkSession
     wanted = {}
     for margin in MARGINS:
@@ -108,11 +109,11 @@ def mix_sources(
             wanted[margin] = spark.createDataFrame([(v, float(x)) for v, x in targets[margin].items()], f"{margin} string, target double")
         else:
             wanted[margin] = tempered(cells, margin, power)
-    fitted = fit(cells, wanted, rounds).select(*(F.col(m).alias(f"__{m}") for m in MARGINS), (F.col("weight") / F.col("tokens")).alias("factor"))
-    same = [rows[m].eqNullSafe(F.col(f"__{m}")) for m in MARGINS]
-    with_factor = rows.join(fitted, same[0] & same[1] & same[2], "left").drop(*(f"__{m}" for m in MARGINS))
-    with_factor = with_factor.withColumn("factor", F.coalesce("factor", F.lit(1.0)))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    fitted = fit(cells, wanted, rounds).select(*(F.col(m).alias(f"__cell_{m}") for m in MARGINS), (F.col("weight") / F.col("tokens")).alias("__factor"))
+    rows = docs.select(*(c for c in docs.columns if c not in NEW), *(c.alias(f"__{m}") for m, c in names.items()), n_tokens(F.col(text)).alias("n_tokens"))
+    same = [F.col(f"__{m}").eqNullSafe(F.col(f"__cell_{m}")) for m in MARGINS]
+    mixed = rows.join(fitted, same[0] & same[1] & same[2], "left").withColumn("factor", F.coalesce("__factor", F.lit(1.0)))
+    draw = F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     often = F.col("factor") * budget
-    copies = F.floor(often) + F.when(draw < often - F.floor(often), 1).otherwise(0)
-    return with_factor.withColumn("copies", copies.cast("long"))
+    copies = (F.floor(often) + F.when(draw < often - F.floor(often), 1).otherwise(0)).cast("long")
+    return mixed.select(*(c for c in docs.columns if c not in NEW), F.col("__topic").alias("topic"), "n_tokens", "factor", copies.alias("copies"))

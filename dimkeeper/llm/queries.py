@@ -38,7 +38,7 @@ def q_op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(_table(spark, sf_dir, "documents"))
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "factor", "copies")
 
 
 def q_op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

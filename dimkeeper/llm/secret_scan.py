@@ -150,18 +150,16 @@ def find_secrets(docs: DataFrame, text: str = "text", labelled: DataFrame | None
 
     * null or empty text: no spans; repeated rows: each has its result
     * no labelled samples of one kind: base spans only
-    * other columns of ``docs`` stay; one with the name of a new column is an error
+    * other columns of ``docs`` stay; one with the name of a new column is replaced
     """
-    names = {"base_spans", "secret_spans", "assign_spans", "access_spans", "hex_spans", "__body"}
-    if clash := names & set(docs.columns):
-        raise ValueError(f"columns with the names of new ones: {sorted(clash)}")
-    body = docs.withColumn("__body", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    kept = [c for c in docs.columns if c not in ("base_spans", "secret_spans")]
+    body = docs.select(F.struct(*kept).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__body"))
     found = with_base(body, "__body")
     ratios = train(samples(with_base(body.select("__body"), "__body"), "__body") if labelled is None else labelled)
     base = found.withColumn("base_spans", F.array_sort(F.concat("assign_spans", "access_spans", "hex_spans")))
     more = _markov(F.col("__body"), F.col("base_spans"), ratios, least, threshold)
     both = base.withColumn("secret_spans", F.array_sort(F.concat("base_spans", more)))
-    return both.select(*docs.columns, "base_spans", "secret_spans")
+    return both.select("doc.*", "base_spans", "secret_spans")
 
 
 def redacted(text: Column, spans: Column, label: str = "[SECRET]") -> Column:
