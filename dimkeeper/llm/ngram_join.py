@@ -32,7 +32,7 @@ from dimkeeper.llm.repeats import ranges
 from dimkeeper.sources.scratch import materialise
 
 #: Sets in a row block.
-BLOCK = 256
+BLOCK = 512
 
 #: Columns that are multiplied at once.
 COLUMNS = 4096
@@ -117,15 +117,28 @@ def _prefix_columns(n: int, percent: int, n_buckets: int) -> Callable:
     return run
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
+def _shared_counts(n_buckets: int) -> Callable:
     """Of each row, how many of its n-grams in this block of columns another row has."""
-    gram, ids, marks = sh.unpacked(table, "gram", U64), sh.unpacked(table, "doc_id", np.int64), sh.unpacked(table, "mark", np.int64)
-    order = np.argsort(gram)
-    size = np.diff(tx.groups(gram[order]))
-    keep = order[np.repeat(size > 1, size)]
-    keep = keep[np.lexsort((marks[keep], ids[keep]))]
-    at = tx.groups(ids[keep], marks[keep])
-    return pa.table({"doc_id": ids[keep][at[:-1]], "mark": marks[keep][at[:-1]], "n": np.diff(at)})
+
+    def run(table: pa.Table) -> pa.Table:
+        gram, ids, marks = sh.unpacked(table, "gram", U64), sh.unpacked(table, "doc_id", np.int64), sh.unpacked(table, "mark", np.int64)
+        order = np.argsort(gram)
+        size = np.diff(tx.groups(gram[order]))
+        keep = order[np.repeat(size > 1, size)]
+        keep = keep[np.lexsort((marks[keep], ids[keep]))]
+        at = tx.groups(ids[keep], marks[keep])
+        first = keep[at[:-1]]
+        return sh.packed_table(ids[first], {"doc_id": ids[first], "mark": marks[first], "n": np.diff(at)}, n_buckets)
+
+    return run
+
+
+def _summed_counts(table: pa.Table) -> pa.Table:
+    ids, marks, n = (sh.unpacked(table, c, np.int64) for c in ("doc_id", "mark", "n"))
+    order = np.lexsort((marks, ids))
+    at = tx.groups(ids[order], marks[order])
+    first = order[at[:-1]]
+    return pa.table({"doc_id": ids[first], "mark": marks[first], "shared": np.add.reduceat(n[order], at[:-1]) if len(first) else n[:0]})
 
 
 def _sets(n: int) -> Callable:
@@ -141,58 +154,65 @@ def _sets(n: int) -> Callable:
     return run
 
 
+COLUMNS_FORM = "bucket int, run binary, row binary, n binary, gram binary"
+
+
 def _columns(n_buckets: int) -> Callable:
+    def flush(have: sh.Gather) -> pa.RecordBatch:
+        out = have.take()
+        return sh.packed_runs(tx.mix(out["gram"]), {"row": out["row"], "n": out["n"]}, {"gram": out["gram"]}, n_buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = sh.Gather("gram", "row")
+        have = sh.Gather("gram", "row", "n")
         for batch in batches:
             rows, grams = sh.columns_of(batch, "row", "grams")
             for row, packed in zip(rows.to_numpy(), grams, strict=True):
                 values = np.frombuffer(packed.as_buffer(), U64)
-                have.add(gram=values, row=np.full(len(values), row))
+                have.add(gram=values, row=np.full(len(values), row), n=np.full(len(values), len(values), np.int32))
                 if have.full():
-                    out = have.take()
-                    yield sh.packed(tx.mix(out["gram"]), out, n_buckets)
+                    yield flush(have)
         if have.size:
-            out = have.take()
-            yield sh.packed(tx.mix(out["gram"]), out, n_buckets)
+            yield flush(have)
 
     return run
 
 
-def _column_sizes(table: pa.Table) -> pa.Table:
-    """Of each row, its n-grams that other rows have too, with the number of rows that have them."""
-    gram, rows = sh.unpacked(table, "gram", U64), sh.unpacked(table, "row", np.int64)
-    order = np.argsort(gram)
-    size = np.diff(tx.groups(gram[order]))
-    size = np.repeat(size, size)
-    keep = size > 1
-    gram, rows, size = gram[order][keep], rows[order][keep], size[keep]
-    order = np.argsort(rows, kind="stable")
-    at = tx.groups(rows[order])
-    pairs = np.stack([gram[order], size[order].astype(U64)], axis=1)
-    return pa.table({"row": rows[order][at[:-1]], "common": tx.binaries(pairs, at)})
+def _by_row(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    run = sh.unpacked(table, "run", np.int32)
+    return np.repeat(sh.unpacked(table, "row", np.int64), run), np.repeat(sh.unpacked(table, "n", np.int32), run)
+
+
+def _column_sizes(n_buckets: int) -> Callable:
+    """N-grams that several rows have, with the number of rows (up to 65,535 it tells the rarer one)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        gram, (rows, n) = sh.unpacked(table, "gram", U64), _by_row(table)
+        order = np.argsort(gram)
+        size = np.diff(tx.groups(gram[order]))
+        size = np.repeat(size, size)
+        keep, size = order[size > 1], np.minimum(size[size > 1], 65_535).astype(np.uint16)
+        again = np.argsort(rows[keep], kind="stable")
+        keep, size = keep[again], size[again]
+        key = tx.mix(rows[keep].view(U64))
+        return pa.Table.from_batches([sh.packed_runs(key, {"row": rows[keep], "n": n[keep]}, {"gram": gram[keep], "size": size}, n_buckets)])
+
+    return run
 
 
 def _rare(percent: int) -> Callable:
     """The rarest n-grams of each row, as many as make sure to hold one that a partner has too."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, sizes, common = sh.columns_of(batch, "row", "n", "common")
-            out_rows, out_sizes, out_grams = [], [], []
-            for row, n, packed in zip(rows.to_pylist(), sizes.to_pylist(), common, strict=True):
-                pairs = sh.numbers(packed, U64).reshape(-1, 2)
-                bound = -(-n * percent // 100)
-                if len(pairs) < bound:
-                    continue
-                # The n-grams that only this row has come first in the order; then the rarest.
-                left = n - bound + 1 - (n - len(pairs))
-                best = np.lexsort((pairs[:, 0], pairs[:, 1]))[:left]
-                out_rows += [row] * len(best)
-                out_sizes += [n] * len(best)
-                out_grams.append(pairs[best, 0].view(np.int64))
-            grams = np.concatenate(out_grams) if out_grams else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(out_rows, pa.int64()), pa.array(out_sizes, pa.int64()), pa.array(grams)], names=["row", "n", "gram"])
+    def run(table: pa.Table) -> pa.Table:
+        gram, size, (rows, n) = sh.unpacked(table, "gram", U64), sh.unpacked(table, "size", np.uint16), _by_row(table)
+        order = np.lexsort((gram, size, rows))
+        at = tx.groups(rows[order])
+        have = np.diff(at)
+        sizes = n[order][at[:-1]].astype(np.int64)
+        # N-grams that only this row has come first in the order; then the rarest.
+        bound = needed(sizes, percent)
+        take = np.where(have >= bound, have - bound + 1, 0)
+        best = order[ranges(at[:-1], take)]
+        return pa.table({"row": rows[best], "gram": gram[best].view(np.int64)})
 
     return run
 
@@ -268,6 +288,7 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     spark = docs.sparkSession
     rows = sh.with_mark(docs, doc_id, text)
     buckets = sh.buckets(spark)
+    parts = max(1, buckets // 4)
     profiles = materialise(rows.mapInArrow(_profiles(n), "doc_id long, mark long, n_shingles long, name binary"))
     known = rows.where("doc_id IS NOT NULL")
     classes = profiles.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("name", "n_shingles").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
@@ -276,9 +297,9 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     counts = (
         known.mapInArrow(_prefix_columns(n, percent, buckets), "bucket int, gram binary, doc_id binary, mark binary")
         .groupBy("bucket")
-        .applyInArrow(_shared_counts, "doc_id long, mark long, n long")
-        .groupBy("doc_id", "mark")
-        .agg(F.sum("n").alias("shared"))
+        .applyInArrow(_shared_counts(parts), "bucket int, doc_id binary, mark binary, n binary")
+        .groupBy("bucket")
+        .applyInArrow(_summed_counts, "doc_id long, mark long, shared long")
     )
     # A partner may be smaller, and then only its number is sure to be shared.
     least = F.expr(f"(n_shingles * {percent} + 99) div 100 * {100 - percent} div 200 + 1")
@@ -286,14 +307,13 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     texts = known.join(left.select("doc_id", "mark"), ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
     sets = materialise(texts.mapInArrow(_sets(n), "row long, n long, grams binary"))
 
-    common = (
-        sets.mapInArrow(_columns(buckets), "bucket int, gram binary, row binary")
+    rare = materialise(
+        sets.mapInArrow(_columns(buckets), COLUMNS_FORM)
+        .groupBy("bucket")
+        .applyInArrow(_column_sizes(parts), f"{COLUMNS_FORM}, size binary")
         .groupBy("bucket")
-        .applyInArrow(_column_sizes, "row long, common binary")
-        .groupBy("row")
-        .agg(F.collect_list("common").alias("common"))
+        .applyInArrow(_rare(percent), "row long, gram long")
     )
-    rare = materialise(sets.select("row", "n").join(common, "row").mapInArrow(_rare(percent), "row long, n long, gram long"))
 
     # Each row goes beside the first row (by id) that it shares the most rare n-grams with.
     heads = rare.groupBy("gram").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
@@ -311,12 +331,14 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     known_so_far = components(inner)
     named = placed.select("row", block).join(known_so_far.withColumnRenamed("node", "row"), "row", "left")
     spread = rare.join(named, "row").select("gram", "row", "block", F.coalesce("component", "row").alias("component"))
-    of_gram = spread.select("gram", "block", "component").distinct()
-    mixed = of_gram.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("gram")
-    of_gram, spread = (materialise(x.join(mixed, "gram")) for x in (of_gram, spread))
-    other = of_gram.select("gram", F.col("block").alias("other"), F.col("component").alias("component_2"))
-    pairs = spread.join(other, "gram").where("block <> other AND component <> component_2")
-    outer = pairs.select("row", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).distinct()
+    # Of each n-gram its blocks, and whether a block has several components or only one.
+    held = spread.groupBy("gram", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    holders = held.groupBy("gram").agg(F.collect_list(F.struct("block", "low", "high")).alias("blocks"), F.min("low").alias("low"), F.max("high").alias("high"))
+    several = holders.where("low <> high AND size(blocks) > 1").select("gram", "blocks")
+    away = F.expr("transform(filter(blocks, b -> b.block <> block AND NOT (b.low = component AND b.high = component)), b -> b.block)")
+    met = spread.join(several, "gram").select("row", "block", away.alias("away")).where("size(away) > 0")
+    others = met.groupBy("row", "block").agg(F.array_distinct(F.flatten(F.collect_set("away"))).alias("away"))
+    outer = others.select("row", "block", F.explode("away").alias("other")).select("row", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     across = outer.join(sets, "row").groupBy("x", "y").applyInArrow(product, "a long, b long")
 
     groups = components(inner.unionByName(materialise(across)))

@@ -36,6 +36,29 @@ def packed(hashes: np.ndarray, columns: dict[str, np.ndarray], n: int) -> pa.Rec
     return pa.RecordBatch.from_pydict(out)
 
 
+def packed_runs(hashes: np.ndarray, owners: dict[str, np.ndarray], values: dict[str, np.ndarray], n: int) -> pa.RecordBatch:
+    """The same, with the owners' columns once for each run of values of one owner, and ``run``, the runs' lengths.
+
+    The first column of ``owners`` tells them apart; the values of one owner are together.
+    """
+    bucket = bucket_of(hashes, n)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    key = next(iter(owners.values()))[order]
+    runs = tx.groups(bucket, key)
+    first = order[runs[:-1]]
+    at, of_runs = tx.groups(bucket), tx.groups(bucket[runs[:-1]])
+    out = {"bucket": pa.array(bucket[at[:-1]].astype(np.int32)), "run": tx.binaries(np.diff(runs).astype(np.int32), of_runs)}
+    out |= {name: tx.binaries(v[first], of_runs) for name, v in owners.items()}
+    out |= {name: tx.binaries(v[order], at) for name, v in values.items()}
+    return pa.RecordBatch.from_pydict(out)
+
+
+def packed_table(ids: np.ndarray, columns: dict[str, np.ndarray], n: int) -> pa.Table:
+    """The same by the hash of an id."""
+    return pa.Table.from_batches([packed(tx.mix(ids.view(np.uint64)), columns, n)])
+
+
 def unpacked(table: pa.Table, name: str, dtype: type, width: int = 1) -> np.ndarray:
     """All values of a packed column."""
     parts = [np.frombuffer(x.as_buffer(), dtype) for x in table.column(name) if x.is_valid]
