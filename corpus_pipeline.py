@@ -51,10 +51,10 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents, with a label in the place of each secret; n_chars follows the text."""
     held = docs.select(F.struct(*docs.columns).alias("row"), "text")
     found = find_secrets(held)
-    clean = F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col("secret_spans")))
-    fresh = {"text": clean}
+    found = found.withColumn("clean", F.when(F.col("text").isNotNull(), redacted(F.col("text"), F.col("secret_spans"))))
+    fresh = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        fresh["n_chars"] = F.when(F.size("secret_spans") > 0, F.length(clean).cast("long")).otherwise(F.col("row.n_chars"))
+        fresh["n_chars"] = F.when(F.size("secret_spans") > 0, F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))
     return found.select(*(fresh.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 

@@ -220,7 +220,7 @@ class Table:
         if not self.rows:
             self.rows.append([])
         more = int(span) - 1 if span and span.isdigit() and len(span) < 3 else 0
-        self.rows[-1] += [" ".join(value.split("\n"))] + [""] * max(0, more)
+        self.rows[-1] += [" ".join(x.strip() for x in value.split("\n") if x.strip())] + [""] * max(0, more)
 
     def lines(self) -> list[str]:
         rows = [r for r in self.rows if any(r)]

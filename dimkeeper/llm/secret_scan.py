@@ -82,12 +82,12 @@ def samples(found: DataFrame, text: str) -> DataFrame:
     return secret.where("length(string) >= 12").unionByName(ordinary)
 
 
-def train(labelled: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(labelled: DataFrame, smoothing: float = 0.5, backoff: float = 5.0) -> list[float]:
     """Log-likelihood ratios of all character pairs, from labelled strings.
 
-    Counts are summed in Spark; what comes to the driver is bounded by the square of the alphabet.
-    An alphabet index is a character's place in ``ALPHABET``. Without strings of both labels all
-    ratios are 0.
+    P(b | a) is the share of b after a, drawn towards the share of b in all pairs by ``backoff``
+    pairs. Counts are summed in Spark; what comes to the driver is bounded by the square of the
+    alphabet. Without strings of both labels all ratios are 0.
     """
     n = len(ALPHABET)
     chars = F.split("string", "")
@@ -95,15 +95,19 @@ def train(labelled: DataFrame, smoothing: float = 0.5) -> list[float]:
     pairs = labelled.where("length(string) >= 2").select("label", F.explode(pair).alias("pair")).where("length(pair) = 2")
     first, second = (F.instr(F.lit(ALPHABET), F.substring("pair", k, 1)) for k in (1, 2))
     counts = pairs.select("label", first.alias("a"), second.alias("b")).where("a > 0 AND b > 0").groupBy("label", "a", "b").count().collect()
-    table = [[[smoothing] * n for _ in range(n)] for _ in (0, 1)]
-    seen = [0, 0]
+    table = [[[0.0] * n for _ in range(n)] for _ in (0, 1)]
+    single = [[smoothing] * n for _ in (0, 1)]
     for label, a, b, k in counts:
         table[label][a - 1][b - 1] += k
-        seen[label] += k
-    if not all(seen):
+        single[label][b - 1] += k
+    if {r["label"] for r in counts} != {0, 1}:
         return [0.0] * (n * n)
-    sums = [[sum(row) for row in one] for one in table]
-    return [math.log(table[1][a][b] / sums[1][a]) - math.log(table[0][a][b] / sums[0][a]) for a in range(n) for b in range(n)]
+
+    def log_p(label: int, a: int, b: int) -> float:
+        share = single[label][b] / sum(single[label])
+        return math.log((table[label][a][b] + backoff * share) / (sum(table[label][a]) + backoff))
+
+    return [log_p(1, a, b) - log_p(0, a, b) for a in range(n) for b in range(n)]
 
 
 def likelihood_ratio(string: Column, ratios: list[float]) -> Column:
