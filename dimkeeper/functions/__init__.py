@@ -2,10 +2,12 @@ from dimkeeper.functions.columns import (
     OPEN_END,
     align_to,
     date_literal,
+    free_name,
     parse_run_date,
     quoted,
     require_columns,
     require_comparable,
+    require_free,
     same_values,
     text_literal,
     tracked_columns,
@@ -19,11 +21,13 @@ __all__ = [
     "counted_keys",
     "date_literal",
     "email_org",
+    "free_name",
     "key_violations",
     "parse_run_date",
     "quoted",
     "require_columns",
     "require_comparable",
+    "require_free",
     "same_values",
     "text_literal",
     "tracked_columns",

@@ -40,6 +40,21 @@ def date_literal(day: dt.date) -> str:
     return f"DATE'{day.isoformat()}'"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def require_free(names: Iterable[str], cols: Iterable[str], what: str) -> None:
+    """Technical columns of a result must not meet columns of the entity by name."""
+    taken = {c.lower() for c in cols}
+    if clash := [n for n in names if n.lower() in taken]:
+        raise ValueError(f"{what}: column(s) {', '.join(clash)} exist already; choose other names")
+
+
 def tracked_columns(df: DataFrame, exclude: Iterable[str]) -> list[str]:
     """All columns of ``df`` but the excluded (technical or key) ones."""
     excluded = set(exclude)

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimkeeper.functions.columns import quoted, text_literal
+from dimkeeper.functions.columns import free_name, quoted, text_literal
 
 
 def _fail(message: str, keys: Sequence[str]) -> str:
@@ -35,12 +35,11 @@ def _any_null(keys: Sequence[str]) -> str:
 def with_unique_keys(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
     """``df`` unchanged; fails at run time on a NULL or repeated key."""
     names = ", ".join(quoted(k) for k in keys)
+    rank = free_name(df, "key__rank")
     return (
-        df.selectExpr("*", f"row_number() OVER (PARTITION BY {names} ORDER BY {names}) AS key__rank")
-        .where(
-            f"CASE WHEN {_any_null(keys)} THEN CAST({_fail(what + ', NULL in key', keys)} AS boolean) "
-            f"WHEN key__rank > 1 THEN CAST({_fail(what + ', repeated key', keys)} AS boolean) ELSE true END"
-        )
+        without_null_keys(df, keys, what)  # in front of the shuffle, which would bring all NULLs together
+        .selectExpr("*", f"row_number() OVER (PARTITION BY {names} ORDER BY {names}) AS {rank}")
+        .where(f"CASE WHEN {rank} > 1 THEN CAST({_fail(what + ', repeated key', keys)} AS boolean) ELSE true END")
         .select(*df.columns)
     )
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from dimkeeper.functions import free_name
+
 
 def clean_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Replace NULL by a default, per column; other columns pass through."""
@@ -27,7 +29,8 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     rest = [c for c in df.columns if c not in {*keys, *order_by}]
     order = [F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
     rank = F.row_number().over(W.Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
+    name = free_name(df, "row__rank")
+    return df.withColumn(name, rank).where(F.col(name) == 1).drop(name)
 
 
 def normalise_types(df: DataFrame, types: Mapping[str, str | tuple[str, str]]) -> DataFrame:

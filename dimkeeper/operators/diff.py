@@ -18,6 +18,7 @@ from dimkeeper.functions import (
     quoted,
     require_columns,
     require_comparable,
+    require_free,
     same_values,
     text_literal,
     tracked_columns,
@@ -88,6 +89,8 @@ def match_snapshots(
     if tracked is None:
         tracked = [c for c in tracked_columns(old, [*keys, *carry]) if c in new.columns]
     tracked = list(tracked)
+    require_free(["in__old", "in__new", "same__values"], keys, "match")
+    require_free([f"{side}__{c}" for c in [*tracked, *carry] for side in ("old", "new")], keys, "match")
     require_columns(old, [*keys, *tracked, *carry], "old snapshot")
     require_columns(new, [*keys, *tracked], "new snapshot")
     require_comparable(old, [*keys, *tracked])
@@ -112,19 +115,20 @@ def match_snapshots(
 
 
 def snapshot_diff(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None = None
+    old: DataFrame, new: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None = None, op_col: str = "op"
 ) -> DataFrame:
     """Change rows ``op, keys, tracked``: I and U carry the new values, D the last ones."""
     m = match_snapshots(old, new, keys, tracked)
-    op = f"CASE WHEN {m.only_new} THEN 'I' WHEN {m.only_old} THEN 'D' ELSE 'U' END AS op"
+    require_free([op_col], [*m.keys, *m.tracked], "snapshot diff")
+    op = f"CASE WHEN {m.only_new} THEN 'I' WHEN {m.only_old} THEN 'D' ELSE 'U' END AS {quoted(op_col)}"
     return m.rows.where(f"NOT ({m.both} AND {m.same})").selectExpr(op, *m.newest_columns())
 
 
 def diff_counts(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None = None
+    old: DataFrame, new: DataFrame, keys: Sequence[str], tracked: Sequence[str] | None = None, op_col: str = "op"
 ) -> DataFrame:
     """Number of change rows per op code."""
-    return snapshot_diff(old, new, keys, tracked).groupBy("op").agg(F.count(F.lit(1)).alias("n"))
+    return snapshot_diff(old, new, keys, tracked, op_col).groupBy(op_col).agg(F.count(F.lit(1)).alias("n"))
 
 
 def upsert_rows(

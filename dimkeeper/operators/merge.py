@@ -49,7 +49,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], chec
 def apply_changes(
     target: DataFrame, feed: DataFrame, keys: Sequence[str], op_col: str = "op", check_keys: bool = True
 ) -> DataFrame:
-    """Apply a change feed (one row per key; op I, U or D) to a snapshot."""
+    """Apply a change feed (one row per key; op I, U or D) to a snapshot; any other op is an error."""
     keys = list(keys)
     require_columns(feed, [op_col, *target.columns], "change feed")
     incoming = feed.selectExpr(*align_to(feed, target, target.columns), quoted(op_col))
@@ -57,7 +57,10 @@ def apply_changes(
     kept = target.join(named, keys, "left_anti").select(*target.columns)
     if check_keys:
         incoming = without_null_keys(incoming, keys, "change feed")
-    result = kept.unionByName(incoming.where(f"{quoted(op_col)} <> 'D'").select(*target.columns))
+    op = quoted(op_col)
+    unknown = f"raise_error(concat('change feed, unknown op: ', coalesce(CAST({op} AS string), 'NULL')))"
+    written = f"CASE {op} WHEN 'D' THEN false WHEN 'I' THEN true WHEN 'U' THEN true ELSE CAST({unknown} AS boolean) END"
+    result = kept.unionByName(incoming.where(written).select(*target.columns))
     if check_keys:
         result = result.unionByName(key_violations(named, keys, "change feed", result))
     return result

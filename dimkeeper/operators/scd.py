@@ -19,6 +19,7 @@ from dimkeeper.functions import (
     key_violations,
     quoted,
     require_columns,
+    require_free,
     tracked_columns,
     without_null_keys,
 )
@@ -81,8 +82,11 @@ def scd2(
     A changed or vanished key has its open version closed at the run date; a changed, new or
     returning key gets a version open until ``open_end``. Only open versions enter the join, so
     the cost does not grow with the history and a key with very many closed versions makes no
-    partition hot. A version replaced on the day it began would be valid for no day and is
-    dropped. ``date_col`` (None where the table has none) tells which run last wrote a row.
+    partition hot. ``date_col`` (None where the table has none) tells which run last wrote a row.
+
+    A day that is run again is done anew from the state before it: versions begun on the run date
+    are dropped, and those closed on it count as open. So a corrected snapshot leaves no trace of
+    the wrong one, and a value corrected back to the former one is one version.
     """
     keys = list(keys)
     technical = [start_col, end_col] + ([date_col] if date_col else [])
@@ -92,9 +96,14 @@ def scd2(
 
     today, forever = date_literal(run_date), date_literal(open_end)
     start, end = quoted(start_col), quoted(end_col)
-    is_open = f"{end} <=> {forever}"
-    carry = [start_col] + ([date_col] if date_col else [])
-    m = match_snapshots(target.where(is_open), source, keys, tracked, carry, check_keys, check_old=False)
+    is_open, ended_today = f"{end} <=> {forever}", f"{end} <=> {today}"
+    late = f"raise_error('run date {run_date} lies before the start of an open version')"
+    standing = (
+        f"CASE WHEN {is_open} AND {start} > {today} THEN CAST({late} AS boolean) "
+        f"WHEN {start} = {today} THEN false ELSE {is_open} OR {ended_today} END"
+    )
+    carry = [start_col, end_col] + ([date_col] if date_col else [])
+    m = match_snapshots(target.where(standing), source, keys, tracked, carry, check_keys, check_old=False)
 
     # One input row becomes one or two versions; the exploded arrays are constants.
     versions = m.rows.selectExpr(
@@ -110,11 +119,11 @@ def scd2(
         f"IF(scd__version = 'ended', {today}, {forever}) AS {end}",
     ]
     if date_col:
-        columns.append(f"IF(scd__version = 'kept', {m.old(date_col)}, {today}) AS {quoted(date_col)}")
-    late = f"raise_error('run date {run_date} lies before the start of an open version')"
-    lasting = f"CASE WHEN {end} < {start} THEN CAST({late} AS boolean) WHEN {end} = {start} THEN false ELSE true END"
-    current = versions.selectExpr(*columns).where(lasting)
-    closed = target.where(f"NOT ({is_open})")
+        # A version that is open again is as the run that began it left it.
+        kept = f"IF({m.old(end_col)} <=> {today}, {m.old(start_col)}, {m.old(date_col)})"
+        columns.append(f"IF(scd__version = 'kept', {kept}, {today}) AS {quoted(date_col)}")
+    current = versions.selectExpr(*columns)
+    closed = target.where(f"NOT ({is_open}) AND NOT ({ended_today})")
     return current.select(*target.columns).unionByName(closed)
 
 
@@ -157,9 +166,26 @@ def scd3(
 
 
 def _scd4_match(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], date_col: str, check_keys: bool
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    run_date: dt.date,
+    date_col: str,
+    check_keys: bool,
+    archived: DataFrame | None,
+    start_col: str,
+    end_col: str,
 ) -> Match:
     tracked = tracked_columns(target, [*keys, date_col])
+    require_free([start_col, end_col], [*keys, *tracked, date_col], "type 4 history")
+    today, date = date_literal(run_date), quoted(date_col)
+    late = f"raise_error('run date {run_date} lies before the date of a current row')"
+    again = "true" if archived is None else "false"
+    target = target.where(f"CASE WHEN {date} > {today} THEN CAST({late} AS boolean) WHEN {date} = {today} THEN {again} ELSE true END")
+    if archived is not None:
+        back = archived.where(f"{quoted(end_col)} <=> {today}")
+        values = [quoted(c) if c != date_col else f"{quoted(start_col)} AS {date}" for c in target.columns]
+        target = target.unionByName(back.selectExpr(*values))
     return match_snapshots(target, source, keys, tracked, [date_col], check_keys, check_old=False)
 
 
@@ -187,23 +213,30 @@ def scd4(
     date_col: str = "etl_date",
     on_delete: str = "keep",
     check_keys: bool = True,
+    archived: DataFrame | None = None,
+    start_col: str = "start_date",
+    end_col: str = "end_date",
 ) -> tuple[DataFrame, DataFrame]:
-    """Type 4: the current rows, and the superseded rows to append to the history table.
+    """Type 4: the current rows, and the superseded rows for the history table.
 
-    History rows carry ``start_date`` (when the version began) and ``end_date`` (the run date).
+    History rows carry ``start_col`` (when the version began) and ``end_col`` (the run date).
     Deleted keys stay current, or with ``on_delete='drop'`` go to the history. The two frames share
     one plan; to write both from one evaluation use ``scd4_parts``.
+
+    With ``archived``, the history (or its part of the run date), a day that is run again is done
+    anew from the state before it, and the second frame *replaces* the history's rows of that date.
+    Without, it is appended, and rows that began on the run date are not archived.
     """
     _check_on_delete(on_delete)
-    m = _scd4_match(target, source, keys, date_col, check_keys)
+    m = _scd4_match(target, source, keys, run_date, date_col, check_keys, archived, start_col, end_col)
     rows = m.rows if on_delete == "keep" else m.rows.where(m.in_new)
     current = rows.selectExpr(
         *m.newest_columns(), f"{_scd4_stamp(m, run_date, date_col)} AS {quoted(date_col)}"
     ).select(*target.columns)
     archive = m.rows.where(_superseded(m, run_date, date_col, on_delete)).selectExpr(
         *m.old_columns([*m.keys, *m.tracked]),
-        f"{m.old(date_col)} AS start_date",
-        f"{date_literal(run_date)} AS end_date",
+        f"{m.old(date_col)} AS {quoted(start_col)}",
+        f"{date_literal(run_date)} AS {quoted(end_col)}",
     )
     return current, archive
 
@@ -216,13 +249,16 @@ def scd4_parts(
     date_col: str = "etl_date",
     on_delete: str = "keep",
     check_keys: bool = True,
+    archived: DataFrame | None = None,
+    start_col: str = "start_date",
+    end_col: str = "end_date",
 ) -> DataFrame:
     """Both results of ``scd4`` in one frame, told apart by ``scd__part`` ('current' or 'archive').
 
-    Current rows have NULL ``start_date`` and ``end_date``, archive rows a NULL ``date_col``.
+    Current rows have NULL ``start_col`` and ``end_col``, archive rows a NULL ``date_col``.
     """
     _check_on_delete(on_delete)
-    m = _scd4_match(target, source, keys, date_col, check_keys)
+    m = _scd4_match(target, source, keys, run_date, date_col, check_keys, archived, start_col, end_col)
     superseded = _superseded(m, run_date, date_col, on_delete)
     stays = "true" if on_delete == "keep" else m.in_new
     rows = m.rows.where(f"{stays} OR {superseded}").selectExpr(
@@ -234,7 +270,7 @@ def scd4_parts(
     return rows.selectExpr(
         *m.columns_where(f"{m.in_new} AND scd__part = 'current'", [*m.keys, *m.tracked]),
         f"IF(scd__part = 'current', {_scd4_stamp(m, run_date, date_col)}, NULL) AS {quoted(date_col)}",
-        f"IF(scd__part = 'archive', {m.old(date_col)}, NULL) AS start_date",
-        f"IF(scd__part = 'archive', {date_literal(run_date)}, NULL) AS end_date",
+        f"IF(scd__part = 'archive', {m.old(date_col)}, NULL) AS {quoted(start_col)}",
+        f"IF(scd__part = 'archive', {date_literal(run_date)}, NULL) AS {quoted(end_col)}",
         "scd__part",
     )

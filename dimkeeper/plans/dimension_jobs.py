@@ -16,13 +16,15 @@ from pyspark.sql import types as T
 from dimkeeper.functions import OPEN_END, parse_run_date
 from dimkeeper.operators.scd import scd1, scd2, scd3, scd4_parts
 from dimkeeper.sources.tables import (
-    append_missing,
     drop_table,
     ensure_table,
     find_staging,
     finish_replace,
+    mark_staged,
     new_staging_name,
     overwrite_from,
+    overwrite_partitions,
+    staged_property,
     staged_replace,
 )
 
@@ -106,17 +108,20 @@ def run_scd4(
     run_date: dt.date | int | None = None,
     on_delete: str = "keep",
 ) -> None:
-    """Current rows go to ``table``, superseded ones are appended to ``history``.
+    """Current rows go to ``table``, superseded ones to the run date's partition of ``history``.
 
-    Both come from one evaluation, staged together. The history is partitioned by ``end_date``;
-    the check that keeps a repeated append from adding rows twice reads one partition.
+    Both come from one evaluation, staged together. The history is partitioned by ``end_date``; a day
+    that is run again reads its partition and replaces it.
     """
     day = parse_run_date(run_date)
     ensure_table(spark, table, _with_dates(source.schema, "etl_date"))
     ensure_table(spark, history, _with_dates(source.schema, "start_date", "end_date"), partition_by=["end_date"])
     _land_scd4(spark, table, history, keys)
-    parts = scd4_parts(spark.table(table), source, keys, day, on_delete=on_delete)
-    parts.write.mode("overwrite").partitionBy("scd__part").saveAsTable(new_staging_name(table))
+    archived = spark.table(history).where(F.col("end_date") == F.lit(day))
+    parts = scd4_parts(spark.table(table), source, keys, day, on_delete=on_delete, archived=archived)
+    staging = new_staging_name(table)
+    parts.write.partitionBy("scd__part").saveAsTable(staging)
+    mark_staged(spark, staging, table, day=day.isoformat())
     _land_scd4(spark, table, history, keys)
 
 
@@ -125,9 +130,7 @@ def _land_scd4(spark: SparkSession, table: str, history: str, keys: Sequence[str
     if staging is None:
         return
     parts = spark.table(staging)
-    archive = parts.where(F.col("scd__part") == "archive")
-    closed_on = archive.agg(F.max("end_date")).first()[0]
-    if closed_on is not None:
-        append_missing(spark, archive, history, [*keys, "start_date"], f"end_date = DATE'{closed_on}'")
+    day = dt.date.fromisoformat(staged_property(spark, staging, "day"))
+    overwrite_partitions(spark, parts.where(F.col("scd__part") == "archive"), history, "end_date", [day])
     overwrite_from(spark, parts.where(F.col("scd__part") == "current"), table)
     drop_table(spark, staging)

@@ -74,13 +74,13 @@ def active_rows(curated: DataFrame) -> DataFrame:
 
 
 def load_staging(spark: SparkSession, source: DataFrame, table: str, run_date: dt.date) -> None:
-    save_table(spark, stamp_source(source, run_date), table)
+    save_table(spark, stamp_source(source, run_date), table, new_columns=True)
 
 
 def load_processing(
     spark: SparkSession, staging_table: str, table: str, columns: Mapping[str, Column], run_date: dt.date
 ) -> None:
-    save_table(spark, conform(spark.table(staging_table), columns, run_date), table)
+    save_table(spark, conform(spark.table(staging_table), columns, run_date), table, new_columns=True)
 
 
 def load_curated(
@@ -102,7 +102,7 @@ def load_curated(
     ensure_table(spark, table, processed.schema)
     finish_replace(spark, table)
     unfinished = spark.catalog.tableExists(changes)
-    save_table(spark, soft_delete_changes(spark.table(table), processed, keys, run_date), changes)
+    save_table(spark, soft_delete_changes(spark.table(table), processed, keys, run_date), changes, new_columns=True)
     n = spark.table(changes).count()
     if n:
         merged = merge_upsert(spark.table(table), spark.table(changes), keys, check_keys=False)
@@ -114,7 +114,7 @@ def load_curated(
 
 
 def load_mart(spark: SparkSession, curated_table: str, table: str) -> None:
-    save_table(spark, active_rows(spark.table(curated_table)), table)
+    save_table(spark, active_rows(spark.table(curated_table)), table, new_columns=True)
 
 
 def run_layers(

@@ -12,13 +12,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimkeeper.functions import require_free, with_unique_keys
+
 
 def add_metrics(
     dimension: DataFrame, facts: DataFrame, keys: Sequence[str], metrics: Mapping[str, Column], zero: Sequence[str] = ()
 ) -> DataFrame:
-    """Dimension rows with metrics of their facts; metrics in ``zero`` are 0 where there are none."""
+    """Dimension rows with metrics of their facts; metrics in ``zero`` are 0 where there are none.
+
+    A dimension with a repeated or NULL key is an error.
+    """
     per_key = facts.groupBy(*keys).agg(*[col.alias(name) for name, col in metrics.items()])
-    joined = dimension.join(per_key, list(keys), "left")
+    require_free(metrics, dimension.columns, "metrics")
+    joined = with_unique_keys(dimension, keys, "dimension").join(per_key, list(keys), "left")
     return joined.select(
         *dimension.columns,
         *[F.coalesce(F.col(m), F.lit(0)).alias(m) if m in zero else F.col(m) for m in metrics],
@@ -37,12 +43,12 @@ def sales_by_attributes(
     """Sums of the facts by grain columns and dimension attributes.
 
     Facts without a dimension row, and NULL attributes, are counted under ``unknown``, so the sums
-    over the result equal those over the facts.
+    over the result equal those over the facts. A dimension with a repeated or NULL key is an error.
     """
     per_key = facts.groupBy(F.col(key), *[col.alias(name) for name, col in grain.items()]).agg(
         *[F.sum(col).alias(name) for name, col in sums.items()]
     )
-    known = dimension.select(key, *attributes)
+    known = with_unique_keys(dimension.select(key, *attributes), [key], "dimension")
     return (
         per_key.join(known, key, "left")
         .groupBy(*grain, *[F.coalesce(F.col(a), F.lit(unknown)).alias(a) for a in attributes])

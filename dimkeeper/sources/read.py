@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -15,7 +16,9 @@ class JdbcSource:
 
     One JDBC connection reads one partition, so a large table needs a split: either equal ranges
     of a numeric or date ``column`` between ``lower`` and ``upper``, or, where ranges would be
-    uneven, one WHERE predicate per partition. Rows outside the bounds are still read.
+    uneven, one WHERE predicate per partition. Rows outside the bounds of a ``column`` are still
+    read. Rows that no predicate holds for are not: the caller vouches that the predicates cover the
+    table, NULLs included (one predicate must hold ``IS NULL``), and do not overlap.
     """
 
     url: str
@@ -27,9 +30,19 @@ class JdbcSource:
     partitions: int = 1
     predicates: Sequence[str] | None = None
 
+    def __post_init__(self) -> None:
+        if self.predicates is not None:
+            if self.column is not None:
+                raise ValueError("split by a column or by predicates, not by both")
+            if not any("is null" in " ".join(p.lower().split()) for p in self.predicates):
+                raise ValueError("no predicate has IS NULL: rows with a NULL there would not be read")
+
+    def connection(self) -> dict[str, str]:
+        """Properties with a fetch size; without one some drivers hold a whole partition in memory."""
+        return {"fetchsize": "10000", **self.properties}
+
     def options(self) -> dict[str, str]:
-        out = {**self.properties, "url": self.url, "dbtable": self.table}
-        out.setdefault("fetchsize", "10000")
+        out = {**self.connection(), "url": self.url, "dbtable": self.table}
         if self.column is not None:
             if self.lower is None or self.upper is None or self.partitions < 2:
                 raise ValueError("a partition column needs lower, upper and at least two partitions")
@@ -56,9 +69,11 @@ def read_source(
     if isinstance(source, JdbcSource):
         if source.predicates is not None:
             df = spark.read.jdbc(
-                source.url, source.table, predicates=list(source.predicates), properties=dict(source.properties)
+                source.url, source.table, predicates=list(source.predicates), properties=source.connection()
             )
         else:
+            if source.column is None:
+                warnings.warn(f"{source.table} is read over one connection, by one task", stacklevel=2)
             df = spark.read.format("jdbc").options(**source.options()).load()
     elif "/" in source:
         reader = spark.read if schema is None else spark.read.schema(schema)
@@ -73,13 +88,14 @@ def write_jdbc(
     url: str,
     table: str,
     properties: Mapping[str, str],
+    max_connections: int,
     mode: str = "overwrite",
-    max_connections: int = 16,
 ) -> None:
     """Publish a frame to a database table.
 
-    Overwriting truncates the table, keeping its declared types and grants. The number of
-    connections is bounded, whatever the number of partitions.
+    Overwriting truncates the table, keeping its declared types and grants. No more than
+    ``max_connections`` tasks write at once; as Spark merges partitions for that without a shuffle,
+    what computes them runs in as many tasks. The number is the caller's choice.
     """
     df.write.format("jdbc").mode(mode).options(**jdbc_write_options(url, table, properties, max_connections)).save()
 

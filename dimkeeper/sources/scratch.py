@@ -1,26 +1,23 @@
-"""Intermediate tables in the shared folder that the cluster names."""
+"""Intermediate tables in a folder that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: dict[str, list[str]] = {}
+
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+    """A fresh folder below ``spark.checkpoint.dir``, or where that is unset in the session's warehouse.
 
-    Without that setting a machine-local folder is used, but in local mode only: on a cluster the
-    executors could not see it.
+    ``release`` removes it; until then it belongs to the application that asked for it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="dimkeeper-")
-    return f"{base.rstrip('/')}/dimkeeper-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/dimkeeper-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -29,3 +26,10 @@ def materialise(df: DataFrame) -> DataFrame:
     path = scratch_dir(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application has stored for its own use; frames that read it are void then."""
+    for folder in _made.pop(spark.sparkContext.applicationId, []):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

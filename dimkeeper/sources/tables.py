@@ -1,14 +1,20 @@
 """Creating and replacing catalog tables.
 
 A file table cannot be overwritten by a query that reads it, so the next state is first written
-to a staging table. A staging table enters the catalog only once its data is complete, and stays
-until the replace has finished: ``finish_replace`` can repeat the second half as often as needed,
-and jobs call it before they read the target. Its name is new each time, so files that a killed
-driver left half-written are in nobody's way.
+to a staging table. Once that is complete it is marked, by table properties, as the next state of
+its target, and only a marked table is ever put in place or dropped: a name alone means nothing.
+``finish_replace`` can repeat the second half as often as needed, and jobs call it before they read
+the target. Names are new each time, so what a killed driver left half-written is in nobody's way.
+
+An unpartitioned file table takes over the staged folder (``SET LOCATION``): rows are written once,
+and readers see the old state or the new one. Partitions are replaced by one dynamic overwrite, so
+their values never pass through text.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -16,6 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimkeeper.functions import date_literal, text_literal
+
+
+# Properties of a staging table; REPLACES is set last and alone makes it one.
+REPLACES, FOLDER, FORMER = "dimkeeper.replaces", "dimkeeper.folder", "dimkeeper.former"
+
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "text")
+
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
@@ -55,28 +69,77 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_quoted(table)}")
 
 
-def save_table(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Overwrite a table that the frame does not read; created if absent, anew if columns changed."""
-    if spark.catalog.tableExists(table):
-        have = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
-        if have != [(f.name, f.dataType) for f in df.schema.fields]:
-            drop_table(spark, table)
-    ensure_table(spark, table, df.schema)
-    overwrite_from(spark, df, table)
+def _same_columns(a: T.StructType, b: T.StructType) -> bool:
+    return {f.name.lower(): f.dataType for f in a.fields} == {f.name.lower(): f.dataType for f in b.fields}
+
+
+def save_table(spark: SparkSession, df: DataFrame, table: str, new_columns: bool = False) -> None:
+    """Overwrite a table, by name, in its own layout; created if absent.
+
+    The rows are complete before anything of the old state goes, so a write that fails changes
+    nothing. Other columns than the table has are an error, or with ``new_columns`` make it a new
+    table of the same name, without the old one's layout.
+    """
+    if not spark.catalog.tableExists(table):
+        staging = new_staging_name(table)
+        df.write.saveAsTable(staging)
+        spark.sql(f"ALTER TABLE {_quoted(staging)} RENAME TO {_quoted(table)}")
+    elif _same_columns(spark.table(table).schema, df.schema):
+        staged_replace(spark, df, table)
+    elif new_columns:
+        staging, former = new_staging_name(table), new_staging_name(table)
+        df.write.saveAsTable(staging)
+        spark.sql(f"ALTER TABLE {_quoted(table)} RENAME TO {_quoted(former)}")
+        spark.sql(f"ALTER TABLE {_quoted(staging)} RENAME TO {_quoted(table)}")
+        drop_table(spark, former)
+    else:
+        raise ValueError(f"{table} has other columns than the rows to be written; see new_columns")
 
 
 def new_staging_name(table: str) -> str:
     return f"{table}__staging_{uuid.uuid4().hex[:12]}"
 
 
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quoted(table)}").collect()}
+
+
+def mark_staged(spark: SparkSession, staging: str, table: str, **more: str) -> None:
+    """Says that a staging table is complete and is the next state of ``table``."""
+    properties = {**{f"dimkeeper.{k}": v for k, v in more.items() if v}, REPLACES: table}
+    pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {_quoted(staging)} SET TBLPROPERTIES ({pairs})")
+
+
+def staged_property(spark: SparkSession, staging: str, name: str) -> str:
+    return _properties(spark, staging)[f"dimkeeper.{name}"]
+
+
 def find_staging(spark: SparkSession, table: str) -> str | None:
     """The complete staging table that waits to be put in place of ``table``, if there is one."""
     database, _, name = table.rpartition(".")
     scope = f" IN {_quoted(database)}" if database else ""
-    found = spark.sql(f"SHOW TABLES{scope} LIKE '{name}__staging_*'").where("NOT isTemporary").collect()
+    pattern = re.compile(re.escape(name.lower()) + "__staging_[0-9a-f]{12}")
+    names = [r["tableName"] for r in spark.sql(f"SHOW TABLES{scope}").where("NOT isTemporary").collect()]
+    named = [f"{database}.{n}".lstrip(".") for n in names if pattern.fullmatch(n.lower())]
+    found = [n for n in named if _properties(spark, n).get(REPLACES) == table]
     if len(found) > 1:
         raise RuntimeError(f"several runs left a staged state of {table}; drop all but one")
-    return f"{database}.{found[0]['tableName']}".lstrip(".") if found else None
+    return found[0] if found else None
+
+
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").select("col_name", "data_type").collect()
+    return dict(rows[len(spark.table(table).columns) :])
+
+
+def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bucket_spec(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
@@ -100,7 +163,7 @@ def staged_replace(
     """Replace the table's content by ``df``, which may read the table.
 
     With ``partition_col`` only the partitions that ``df`` has rows for are replaced, and those
-    named in ``always`` even if ``df`` has none for them. Columns go by name.
+    named in ``always`` (typed values) even if ``df`` has none for them. Columns go by name.
 
     The staging table has the buckets of the table. Rows are brought together by bucket first, or
     every task would write a file into every bucket; ``clustered=True`` says that they are together
@@ -110,12 +173,19 @@ def staged_replace(
     buckets = bucket_spec(spark, table)
     if buckets and not clustered:
         df = df.repartition(buckets[0], *buckets[1])
-    writer = df.select(*columns).write.mode("overwrite")
-    if partition_col:
-        writer = writer.partitionBy(partition_col)
+    details, partitions = _details(spark, table), _partition_columns(spark, table)
+    staging, folder, former = new_staging_name(table), None, None
+    writer = df.select(*columns).write.mode("error")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    elif details.get("Provider", "").lower() in FILE_FORMATS and details.get("Location"):
+        former = details["Location"]
+        folder = f"{re.sub('__v_[0-9a-f]{12}$', '', former.rstrip('/'))}__v_{uuid.uuid4().hex[:12]}"
+        writer = writer.format(details["Provider"]).option("path", folder)
     if buckets:
         writer = writer.bucketBy(buckets[0], *buckets[1])
-    writer.saveAsTable(new_staging_name(table))
+    writer.saveAsTable(staging)
+    mark_staged(spark, staging, table, folder=folder, former=former)
     finish_replace(spark, table, partition_col, always)
 
 
@@ -126,37 +196,54 @@ def finish_replace(
     staging = find_staging(spark, table)
     if staging is None:
         return False
-    if partition_col is None:
+    properties = _properties(spark, staging)
+    if folder := properties.get(FOLDER):
+        spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION {text_literal(folder)}")
+        spark.catalog.refreshTable(table)
+        if properties.get(FORMER) and properties[FORMER] != folder:
+            _remove_folder(spark, properties[FORMER])
+    elif partition_col is None:
         overwrite_from(spark, spark.table(staging), table)
     else:
-        _overwrite_partitions(spark, staging, table, partition_col, [str(v) for v in always])
-    drop_table(spark, staging)
+        overwrite_partitions(spark, spark.table(staging), table, partition_col, always)
+    drop_table(spark, staging)  # of a taken-over folder only the name goes
     return True
 
 
-def _overwrite_partitions(
-    spark: SparkSession, staging: str, table: str, partition_col: str, always: list[str]
+def _literal(value: object) -> str:
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
+        return date_literal(value)
+    return text_literal(value) if isinstance(value, str) else str(value)
+
+
+def overwrite_partitions(
+    spark: SparkSession, df: DataFrame, table: str, partition_col: str, always: Sequence[object] = ()
 ) -> None:
-    kind = spark.table(table).schema[partition_col].dataType.simpleString()
-    rest = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != partition_col)
-    staged = [r["partition"].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {_quoted(staging)}").collect()]
+    """Replace the partitions that stored rows ``df`` have, and those named in ``always``, which may end up empty."""
+    rows = df.select(*spark.table(table).columns)
+    for value in always:
+        if rows.where(F.col(partition_col).eqNullSafe(F.lit(value))).isEmpty():
+            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{partition_col}` = {_literal(value)})")
     buckets = bucket_spec(spark, table)
-    # The rows that one run adds to other partitions than the standing ones are few and come from
-    # every task, so they are brought together into files of even size, or by bucket.
-    hint = "" if buckets else "/*+ REBALANCE */ "
-    together = f" DISTRIBUTE BY {', '.join(f'`{c}`' for c in buckets[1])}" if buckets else ""
-    for value in dict.fromkeys([*always, *staged]):
-        source = f"{_quoted(staging)} WHERE `{partition_col}` = CAST('{value}' AS {kind})"
-        rows = f"{rest} FROM {source}" if value in always else f"{hint}{rest} FROM {source}{together}"
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {_quoted(table)} PARTITION (`{partition_col}` = '{value}') BY NAME SELECT {rows}"
-        )
+    if buckets:
+        rows = rows.repartition(buckets[0], *buckets[1])
+    _insert(spark, rows, table, "dynamic")
 
 
 def overwrite_from(spark: SparkSession, df: DataFrame, table: str) -> None:
     """INSERT OVERWRITE the whole table, by name, in any session's partition-overwrite mode."""
-    df = df.select(*spark.table(table).columns)
-    df.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    _insert(spark, df.select(*spark.table(table).columns), table, "static")
+
+
+def _insert(spark: SparkSession, df: DataFrame, table: str, mode: str) -> None:
+    """INSERT OVERWRITE; Spark takes the mode from the session, where it is set for the time being."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(name, before)
 
 
 def append_missing(spark: SparkSession, df: DataFrame, table: str, keys: Sequence[str], where: str = "true") -> None:

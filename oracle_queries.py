@@ -24,7 +24,7 @@ d2 as (
          when customer_id % 58 = 0 then 'FILLED' else hometown end as hometown,
     case when customer_id % 7 in (2, 3) then concat('08', substr(phone_number, 3)) else phone_number end as phone_number,
     email, case when customer_id % 7 = 1 then 'Khac' else gender end as gender
-  from base where customer_id % 11 <> 4),
+  from base where not (customer_id % 11 = 4 and customer_id % 10 <> 9)),
 d3 as (
   select * from d1 where customer_id % 14 = 1 or customer_id % 22 = 4
   union all
@@ -145,7 +145,7 @@ _ORDERS = """
 with o1 as (select * from orders where o_orderkey % 10 <> 9),
 o2 as (select o_orderkey, o_custkey, case when o_orderkey % 7 = 1 then 'F' else o_orderstatus end o_orderstatus,
          o_totalprice, o_orderdate, case when o_orderkey % 13 = 0 then null else o_orderpriority end o_orderpriority
-       from orders where o_orderkey % 11 <> 4),
+       from orders where not (o_orderkey % 11 = 4 and o_orderkey % 10 <> 9)),
 both_days as (select o_orderkey from o1 intersect select o_orderkey from o2),
 changed as (select o_orderkey from (select * from o2 except select * from o1) where o_orderkey in (from both_days))
 """

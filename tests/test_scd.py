@@ -124,6 +124,19 @@ def test_scd2_corrected_snapshot_of_the_same_date(spark):
     assert state.where("start_date >= end_date").count() == 0
     assert rows(open_versions(state).select(*day1(spark).columns)) == rows(day1(spark))
     assert state.where("customer_id = 11").count() == 0
+    assert rows(state) == rows(scd2_days(spark, (DAY1, day1(spark))))
+
+
+def test_scd4_corrected_and_late_days(spark):
+    empty = dimension(spark, "etl_date date")
+    first, nothing = scd4(empty, day1(spark), KEYS, DAY1)
+    current, archive = scd4(first, day2(spark), KEYS, DAY2, archived=nothing)
+    again, archive = scd4(current, day2(spark), KEYS, DAY2, archived=archive)
+    assert rows(again) == rows(current) and archive.count() == 3
+    back, archive = scd4(again, day1(spark), KEYS, DAY2, archived=archive)
+    assert rows(back) == rows(first) and archive.count() == 0
+    with pytest.raises(Exception, match="lies before the date"):
+        scd4(current, day1(spark), KEYS, DAY1)[0].collect()
 
 
 def test_scd2_refuses_a_run_date_before_an_open_version(spark):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException, UnsupportedOperationException
+from pyspark.sql import functions as F
 
 from dimkeeper.functions import OPEN_END
 from dimkeeper.operators.merge import merge_upsert
@@ -20,6 +23,7 @@ from dimkeeper.sources.tables import (
     ensure_table,
     find_staging,
     finish_replace,
+    mark_staged,
     merge_into,
     new_staging_name,
     save_table,
@@ -81,10 +85,16 @@ def test_files_of_a_killed_run_are_in_nobodys_way(spark, database, tmp_path):
 def test_two_staged_states_are_not_guessed_between(spark, database):
     name = f"{database}.customer"
     save_table(spark, day1(spark), name)
-    save_table(spark, day1(spark), f"{database}.customer_his__staging_1")
-    assert find_staging(spark, name) is None
-    for n in "12":
-        save_table(spark, day2(spark), f"{name}__staging_{n}")
+    own = [f"{name}__staging_area", new_staging_name(name), new_staging_name(f"{database}.customer_his")]
+    for n in own:  # a user's tables, whatever they are called
+        save_table(spark, day2(spark), n)
+    assert find_staging(spark, name) is None and not finish_replace(spark, name)
+    staged_replace(spark, day1(spark), name)
+    assert all(rows(spark.table(n)) == rows(day2(spark)) for n in own)
+    for _ in range(2):
+        staging = new_staging_name(name)
+        day2(spark).write.saveAsTable(staging)
+        mark_staged(spark, staging, name)
     with pytest.raises(RuntimeError, match="several runs"):
         finish_replace(spark, name)
 
@@ -92,10 +102,66 @@ def test_two_staged_states_are_not_guessed_between(spark, database):
 def test_save_table_follows_changed_columns(spark, database):
     name = f"{database}.customer"
     save_table(spark, day1(spark), name)
-    save_table(spark, day1(spark).drop("gender"), name)
+    with pytest.raises(ValueError, match="other columns"):
+        save_table(spark, day1(spark).drop("gender"), name)
+    save_table(spark, day1(spark).drop("gender"), name, new_columns=True)
     assert spark.table(name).columns == day1(spark).columns[:-1]
 
 
+@pytest.mark.parametrize("new_columns", [False, True])
+def test_a_write_that_fails_changes_nothing(spark, database, new_columns):
+    name = f"{database}.customer"
+    save_table(spark, day1(spark), name)
+    bad = day2(spark).withColumn("gender", F.expr("IF(customer_id = 3, raise_error('bad row'), gender)"))
+    bad = bad.withColumn("more", F.lit(1)) if new_columns else bad
+    with pytest.raises(Exception, match="bad row"):
+        save_table(spark, bad, name, new_columns)
+    assert rows(spark.table(name)) == rows(day1(spark))
+
+
+def test_save_table_keeps_the_layout(spark, database):
+    name = f"{database}.t"
+    ensure_table(spark, name, day1(spark).schema, partition_by=["gender"], bucket_by=KEYS, buckets=4)
+    save_table(spark, day1(spark), name)
+    save_table(spark, day2(spark), name)
+    assert bucket_spec(spark, name) == (4, KEYS)
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["gender"]
+    assert rows(spark.table(name).select(*day2(spark).columns)) == rows(day2(spark))
+
+
+def test_partition_values_stay_typed(spark, database):
+    name = f"{database}.t"
+    values = ["a:b", "a'b", "a%b", "a/b", "a b", "", None, "c"]
+    old = spark.createDataFrame([(k, v) for k, v in enumerate([*values, "stays"])], "k int, p string")
+    ensure_table(spark, name, old.schema, partition_by=["p"])
+    staged_replace(spark, old, name, "p")
+    new = old.where("coalesce(p, '') <> 'stays'").selectExpr("k + 100 AS k", "p")
+    staged_replace(spark, new, name, "p", always=["c", "a'b"])
+    want = {(100 + k, v or None) for k, v in enumerate(values)} | {(len(values), "stays")}
+    assert {(r["k"], r["p"]) for r in spark.table(name).collect()} == want
+    staged_replace(spark, new.where("k = 100"), name, "p", always=["a'b"])
+    assert spark.table(name).where("p = \"a'b\"").count() == 0 and spark.table(name).count() == len(want) - 1
+
+
+def test_an_unpartitioned_table_takes_over_the_staged_files(spark, database, monkeypatch):
+    name = f"{database}.t"
+    save_table(spark, day1(spark), name)
+    with monkeypatch.context() as m:
+        m.setattr(tables, "finish_replace", lambda *a: None)
+        staged_replace(spark, day2(spark), name)
+    staged = {f.rsplit("/", 1)[1] for f in spark.table(find_staging(spark, name)).inputFiles()}
+    old = spark.table(name).inputFiles()
+    with monkeypatch.context() as m:
+        m.setattr(tables, "drop_table", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            finish_replace(spark, name)
+    assert rows(spark.table(name)) == rows(day2(spark))
+    assert finish_replace(spark, name)
+    assert {f.rsplit("/", 1)[1] for f in spark.table(name).inputFiles()} == staged
+    assert rows(spark.table(name)) == rows(day2(spark))
+    assert not any(os.path.exists(f.removeprefix("file:")) for f in old)
+
+
 def test_append_twice_adds_once(spark, database):
     name = f"{database}.h"
     ensure_table(spark, name, day1(spark).schema)
@@ -171,6 +237,7 @@ def test_scd2_job_completes_a_run_that_broke_off(spark, database):
     staged = scd2(spark.table(name), day2(spark), KEYS, DAY2)
     staging = new_staging_name(name)
     staged.write.partitionBy("end_date").saveAsTable(staging)
+    mark_staged(spark, staging, name)
     # Only the open partition got its new content; the versions closed on day 2 are still missing.
     columns = ", ".join(c for c in spark.table(name).columns if c != "end_date")
     spark.sql(
@@ -235,6 +302,7 @@ def test_scd4_job_completes_a_run_that_broke_off(spark, database):
     parts = scd4_parts(spark.table(current), day2(spark), KEYS, DAY2)
     staging = new_staging_name(current)
     parts.write.partitionBy("scd__part").saveAsTable(staging)
+    mark_staged(spark, staging, current, day=DAY2.isoformat())
     archive = spark.table(staging).where("scd__part = 'archive'")
     append_missing(spark, archive, history, [*KEYS, "start_date"])  # and then the run broke off
     run_scd4(spark, day2(spark), current, history, KEYS, DAY2)
