@@ -31,7 +31,7 @@ from dimkeeper.operators.diff import (  # noqa: E402
     upsert_rows,
 )
 from dimkeeper.operators.merge import apply_changes, merge_soft_delete, merge_upsert, soft_delete_changes  # noqa: E402
-from dimkeeper.operators.scd import open_versions, scd1, scd2, scd3, scd4  # noqa: E402
+from dimkeeper.operators.scd import open_versions, scd1, scd2, scd3, scd4_parts  # noqa: E402
 from dimkeeper.plans.daily_snapshots import (  # noqa: E402
     CUSTOMER_KEYS,
     D1,
@@ -58,7 +58,7 @@ from dimkeeper.plans.layers import (  # noqa: E402
 from dimkeeper.plans.marts import add_metrics, sales_by_attributes  # noqa: E402
 from dimkeeper.sources.read import read_source  # noqa: E402
 from dimkeeper.sources.scratch import materialise, scratch_dir  # noqa: E402
-from dimkeeper.sources.tables import ensure_database, save_table, staged_replace  # noqa: E402
+from dimkeeper.sources.tables import ensure_database, ensure_table, save_table, staged_replace  # noqa: E402
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,8 +134,8 @@ def q_deleted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = customer_days(spark, sf_dir)
     state = _empty(days[0][1], "etl_date")
-    for day, snapshot in days:
-        state = scd1(state, snapshot, CUSTOMER_KEYS, day)
+    for n, (day, snapshot) in enumerate(days):
+        state = scd1(materialise(state) if n else state, snapshot, CUSTOMER_KEYS, day)
     return state
 
 
@@ -178,12 +178,17 @@ def q_scd3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scd4_after(days: list, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Apply the days in turn; each is stored with both its parts, so the next one starts from files."""
     state = _empty(days[0][1], "etl_date")
-    archives = []
+    columns = state.columns
+    history = _empty(days[0][1], "start_date", "end_date")
     for day, snapshot in days:
-        state, archive = scd4(state, snapshot, keys, day)
-        archives.append(archive)
-    return state, union_parts(archives)
+        today = history.where(F.col("end_date") == F.lit(day))
+        parts = materialise(scd4_parts(state, snapshot, keys, day, archived=today))
+        state = parts.where("scd__part = 'current'").select(*columns)
+        archive = parts.where("scd__part = 'archive'").select(*history.columns)
+        history = history.where(F.col("end_date") != F.lit(day)).unionByName(archive)
+    return state, history
 
 
 def q_scd4_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -262,10 +267,13 @@ def q_merge_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_merge_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a merge has to write, and how many when it is applied once more."""
     days = customer_days(spark, sf_dir)[:2]
-    state = _soft_delete_after(days, CUSTOMER_KEYS)
-    again = soft_delete_changes(state, days[1][1], CUSTOMER_KEYS, D2)
-    return again.agg(F.count(F.lit(1)).alias("n"))
+    before = materialise(_soft_delete_after(days[:1], CUSTOMER_KEYS))
+    first = soft_delete_changes(before, days[1][1], CUSTOMER_KEYS, D2)
+    again = soft_delete_changes(materialise(_soft_delete_after(days, CUSTOMER_KEYS)), days[1][1], CUSTOMER_KEYS, D2)
+    count = F.count(F.lit(1))
+    return first.agg(count.alias("n_first")).crossJoin(again.agg(count.alias("n")))
 
 
 def q_staged_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,6 +284,16 @@ def q_staged_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_staged_replace_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by priority; day 2 brings NULL priorities, and leaves out those of one priority."""
+    (_, first), (_, second) = orders_days(spark, sf_dir)
+    name = f"{_new_database(spark)}.orders"
+    ensure_table(spark, name, first.schema, partition_by=["o_orderpriority"])
+    save_table(spark, first, name)
+    staged_replace(spark, second.where("NOT (o_orderpriority <=> '1-URGENT')"), name, "o_orderpriority")
+    return spark.table(name)
+
+
 def _feeds(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     days = customer_days(spark, sf_dir)
     return [
@@ -469,6 +487,21 @@ def q_orders_merge_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _soft_delete_after(orders_days(spark, sf_dir), ORDER_KEYS)
 
 
+def _corrected_days(spark: SparkSession, sf_dir: str) -> list[tuple]:
+    """Day 2 comes twice; the second time half of the keys have day 1's rows again."""
+    (day1, first), (day2, second) = orders_days(spark, sf_dir)
+    corrected = first.where("o_orderkey % 2 = 0").unionByName(second.where("o_orderkey % 2 <> 0"))
+    return [(day1, first), (day2, second), (day2, corrected)]
+
+
+def q_scd2_corrected_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scd2_after(_corrected_days(spark, sf_dir), ORDER_KEYS)
+
+
+def q_scd4_corrected_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scd4_after(_corrected_days(spark, sf_dir), ORDER_KEYS)[1]
+
+
 # --- contract -----------------------------------------------------------------------------------------------
 
 

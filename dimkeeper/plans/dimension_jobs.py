@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from dimkeeper.functions import OPEN_END, parse_run_date
 from dimkeeper.operators.scd import scd1, scd2, scd3, scd4_parts
+from dimkeeper.sources.scratch import materialise
 from dimkeeper.sources.tables import (
     drop_table,
     ensure_table,
@@ -33,6 +34,13 @@ def _with_dates(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([*schema.fields, *[T.StructField(n, T.DateType()) for n in names]])
 
 
+def _require_known(spark: SparkSession, source: DataFrame, table: str) -> None:
+    """A column that the table lacks would be lost without a word."""
+    have = {c.lower() for c in spark.table(table).columns}
+    if more := [c for c in source.columns if c.lower() not in have]:
+        raise ValueError(f"{table} lacks source column(s) {', '.join(more)}; add them to the table or leave them out")
+
+
 def run_scd1(
     spark: SparkSession,
     source: DataFrame,
@@ -41,9 +49,12 @@ def run_scd1(
     run_date: dt.date | int | None = None,
     on_delete: str = "keep",
 ) -> None:
+    """The source is stored first: it is read for its rows and for its keys, and a live one may change between."""
     day = parse_run_date(run_date)
     ensure_table(spark, table, _with_dates(source.schema, "etl_date"))
     finish_replace(spark, table)
+    _require_known(spark, source, table)
+    source = materialise(source)
     staged_replace(spark, scd1(spark.table(table), source, keys, day, on_delete=on_delete), table)
 
 
@@ -72,6 +83,7 @@ def run_scd2(
         buckets=buckets,
     )
     finish_replace(spark, table, "end_date", [open_end])
+    _require_known(spark, source, table)
     stored = spark.table(table).where(F.col("end_date").isin(open_end, day))
     result = scd2(stored, source, keys, day, open_end=open_end)
     staged_replace(spark, result, table, "end_date", [open_end], clustered=True)
@@ -95,6 +107,7 @@ def run_scd3(
             fields.append(T.StructField(previous[f.name], f.dataType))
     ensure_table(spark, table, _with_dates(T.StructType(fields), "etl_date"))
     finish_replace(spark, table)
+    _require_known(spark, source, table)
     result = scd3(spark.table(table), source, keys, day, previous, on_delete=on_delete)
     staged_replace(spark, result, table)
 
@@ -116,16 +129,17 @@ def run_scd4(
     day = parse_run_date(run_date)
     ensure_table(spark, table, _with_dates(source.schema, "etl_date"))
     ensure_table(spark, history, _with_dates(source.schema, "start_date", "end_date"), partition_by=["end_date"])
-    _land_scd4(spark, table, history, keys)
+    _land_scd4(spark, table, history)
+    _require_known(spark, source, table)
     archived = spark.table(history).where(F.col("end_date") == F.lit(day))
     parts = scd4_parts(spark.table(table), source, keys, day, on_delete=on_delete, archived=archived)
     staging = new_staging_name(table)
     parts.write.partitionBy("scd__part").saveAsTable(staging)
     mark_staged(spark, staging, table, day=day.isoformat())
-    _land_scd4(spark, table, history, keys)
+    _land_scd4(spark, table, history)
 
 
-def _land_scd4(spark: SparkSession, table: str, history: str, keys: Sequence[str]) -> None:
+def _land_scd4(spark: SparkSession, table: str, history: str) -> None:
     staging = find_staging(spark, table)
     if staging is None:
         return

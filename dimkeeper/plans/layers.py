@@ -9,21 +9,27 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimkeeper.functions import email_org, parse_run_date
+from dimkeeper.operators.clean import union_parts
 from dimkeeper.operators.merge import ACTIVE, merge_upsert, soft_delete_changes
+from dimkeeper.plans.dimension_jobs import run_scd1, run_scd2, run_scd3, run_scd4
 from dimkeeper.sources.tables import (
     drop_table,
     ensure_database,
     ensure_table,
     finish_replace,
+    merge_into,
     save_table,
     staged_replace,
 )
 
+Step = Callable[[DataFrame], DataFrame]
+
 
 def customer_columns() -> dict[str, Column]:
     """Fixed schema: processing-layer customer columns, from the staging columns."""
@@ -78,9 +84,16 @@ def load_staging(spark: SparkSession, source: DataFrame, table: str, run_date: d
 
 
 def load_processing(
-    spark: SparkSession, staging_table: str, table: str, columns: Mapping[str, Column], run_date: dt.date
+    spark: SparkSession,
+    staging_table: str,
+    table: str,
+    columns: Mapping[str, Column],
+    run_date: dt.date,
+    cleaning: Sequence[Step] = (),
 ) -> None:
-    save_table(spark, conform(spark.table(staging_table), columns, run_date), table, new_columns=True)
+    """Clean the staging rows (each step takes a frame and returns one), then conform them."""
+    rows = reduce(lambda df, step: step(df), cleaning, spark.table(staging_table))
+    save_table(spark, conform(rows, columns, run_date), table, new_columns=True)
 
 
 def load_curated(
@@ -90,21 +103,27 @@ def load_curated(
     keys: Sequence[str],
     run_date: dt.date,
     publish: Callable[[DataFrame], None] | None = None,
+    buckets: int = 0,
+    row_level: bool = False,
 ) -> int:
     """Soft-delete merge into the curated table; returns the number of rows it had to write.
 
     The changes are evaluated once, into a table. Without changes nothing else is written. The
-    merge itself then meets a small change set, not the whole source. ``publish`` gets the merged
-    table, for example to copy it to a serving database; a change table left behind by a run that
-    broke off makes the next run publish even if it finds nothing new.
+    merge itself then meets a small change set, not the whole source; with ``row_level``, for
+    catalogs that offer it, a MERGE writes the changed rows only. ``buckets`` (at least the number of
+    shuffle partitions) keeps the stored side from being shuffled when it is compared. ``publish``
+    gets the merged table, for example to copy it to a serving database; a change table left behind
+    by a run that broke off makes the next run publish even if it finds nothing new.
     """
     changes = f"{table}__changes"
-    ensure_table(spark, table, processed.schema)
+    ensure_table(spark, table, processed.schema, bucket_by=list(keys) if buckets else [], buckets=buckets)
     finish_replace(spark, table)
     unfinished = spark.catalog.tableExists(changes)
     save_table(spark, soft_delete_changes(spark.table(table), processed, keys, run_date), changes, new_columns=True)
     n = spark.table(changes).count()
-    if n:
+    if n and row_level:
+        merge_into(spark, spark.table(changes), table, keys)
+    elif n:
         merged = merge_upsert(spark.table(table), spark.table(changes), keys, check_keys=False)
         staged_replace(spark, merged, table)
     if publish is not None and (n or unfinished):
@@ -113,26 +132,86 @@ def load_curated(
     return n
 
 
-def load_mart(spark: SparkSession, curated_table: str, table: str) -> None:
-    save_table(spark, active_rows(spark.table(curated_table)), table, new_columns=True)
+def load_dimension(
+    spark: SparkSession,
+    processed: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    run_date: dt.date,
+    kind: str = "soft_delete",
+    previous: Mapping[str, str] | None = None,
+    history: str | None = None,
+    buckets: int = 0,
+    row_level: bool = False,
+    publish: Callable[[DataFrame], None] | None = None,
+) -> int | None:
+    """Load the curated table as ``soft_delete`` or as ``scd1`` to ``scd4``.
+
+    The slowly changing kinds date the rows themselves, so the processed activity flag and date stay
+    out. Returns the rows written where that is known; None otherwise.
+    """
+    if kind == "soft_delete":
+        return load_curated(spark, processed, table, keys, run_date, publish, buckets, row_level)
+    snapshot = processed.drop("is_active", "etl_date")
+    if kind == "scd1":
+        run_scd1(spark, snapshot, table, keys, run_date)
+    elif kind == "scd2":
+        run_scd2(spark, snapshot, table, keys, run_date, buckets=buckets)
+    elif kind == "scd3":
+        run_scd3(spark, snapshot, table, keys, previous or {}, run_date)
+    elif kind == "scd4":
+        run_scd4(spark, snapshot, table, history or f"{table}_his", keys, run_date)
+    else:
+        raise ValueError(f"unknown kind of dimension: {kind!r}")
+    if publish is not None:
+        publish(spark.table(table))
+    return None
+
+
+def load_mart(spark: SparkSession, curated_table: str, table: str, build: Step = active_rows) -> None:
+    """The mart table anew: by default the active rows, or whatever ``build`` makes of the curated table."""
+    save_table(spark, build(spark.table(curated_table)), table, new_columns=True)
 
 
 def run_layers(
     spark: SparkSession,
-    source: DataFrame,
+    source: DataFrame | Mapping[str, DataFrame],
     run_date: dt.date | int | None = None,
     layers: Layers = Layers(),
     keys: Sequence[str] = ("customer_id",),
-    columns: Mapping[str, Column] | None = None,
+    columns: Mapping[str, Column] | Mapping[str, Mapping[str, Column]] | None = None,
     entity: str = "customer",
+    cleaning: Sequence[Step] = (),
+    kind: str = "soft_delete",
+    previous: Mapping[str, str] | None = None,
+    marts: Mapping[str, Step] | None = None,
+    publish: Callable[[DataFrame], None] | None = None,
+    buckets: int = 0,
+    row_level: bool = False,
 ) -> DataFrame:
-    """One run of all four layers, in order; returns the mart table."""
+    """One run of all four layers, in order; returns the dimension's mart table.
+
+    ``source`` may be several parts by name; each has its own staging and processing table, with its
+    ``columns`` by the same name, and their union is loaded. ``cleaning`` steps run on the staging
+    rows, ``kind`` says how the curated table keeps its rows, ``marts`` adds mart tables built from
+    it, and ``publish`` gets it when it has changed. A run that changes nothing in the curated table
+    leaves mart tables that are there as they are.
+    """
     day = parse_run_date(run_date)
     layers.create(spark)
-    stg, prc = f"{layers.stg}.{entity}", f"{layers.prc}.{entity}"
-    cur, dmt = f"{layers.cur}.{entity}", f"{layers.dmt}.{entity}_dim"
-    load_staging(spark, source, stg, day)
-    load_processing(spark, stg, prc, customer_columns() if columns is None else columns, day)
-    load_curated(spark, spark.table(prc), cur, keys, day)
-    load_mart(spark, cur, dmt)
-    return spark.table(dmt)
+    parts = dict(source) if isinstance(source, Mapping) else {entity: source}
+    prepared = []
+    for name, frame in parts.items():
+        wanted = customer_columns() if columns is None else columns[name] if isinstance(source, Mapping) else columns
+        load_staging(spark, frame, f"{layers.stg}.{name}", day)
+        load_processing(spark, f"{layers.stg}.{name}", f"{layers.prc}.{name}", wanted, day, cleaning)
+        prepared.append(spark.table(f"{layers.prc}.{name}"))
+    cur = f"{layers.cur}.{entity}"
+    n = load_dimension(
+        spark, union_parts(prepared), cur, keys, day, kind, previous, None, buckets, row_level, publish
+    )
+    built = {f"{entity}_dim": active_rows if kind == "soft_delete" else (lambda df: df), **(marts or {})}
+    for name, build in built.items():
+        if n != 0 or not spark.catalog.tableExists(f"{layers.dmt}.{name}"):
+            load_mart(spark, cur, f"{layers.dmt}.{name}", build)
+    return spark.table(f"{layers.dmt}.{entity}_dim")

@@ -150,6 +150,13 @@ both_days as (select o_orderkey from o1 intersect select o_orderkey from o2),
 changed as (select o_orderkey from (select * from o2 except select * from o1) where o_orderkey in (from both_days))
 """
 
+# Day 2 as it is after the correction.
+_CORRECTED = _ORDERS.replace("o2 as (select", "wrong as (select").replace(
+    "both_days as",
+    """o2 as (select * from o1 where o_orderkey % 2 = 0 union all select * from wrong where o_orderkey % 2 <> 0),
+both_days as""",
+)
+
 ORACLE_SQL: dict[str, str] = {
     "source_scan": "select c_custkey, c_name, c_mktsegment from customer",
     "snapshot_diff": f"{SNAPSHOTS} {_feed('d1', 'd2')}",
@@ -177,10 +184,12 @@ ORACLE_SQL: dict[str, str] = {
     "scd4_job_history": _SCD4_HISTORY,
     "merge_upsert": _MERGED,
     "merge_soft_delete": _SOFT_DELETE,
-    "merge_noop": f"""{_ACTIVITY} select count(*) n
+    "merge_noop": f"""{_ACTIVITY} select (select count(*) from ({_feed('d1', 'd2')})) n_first, count(*) n
         from s2 full join (select customer_id, row({_ATTRS}) v from d2) t using (customer_id)
         where a is distinct from (t.v is not null) or (a and s2.v is distinct from t.v)""",
     "staged_replace": _MERGED,
+    "staged_replace_partitioned": f"""{_ORDERS} select * from o2 where o_orderpriority is distinct from '1-URGENT'
+        union all select * from o1 where o_orderpriority = '1-URGENT'""",
     "cdc_feed": f"""{SNAPSHOTS} select *, date '2025-12-01' change_date from ({_feed('d1', 'd2')})
         union all select *, date '2025-12-02' from ({_feed('d2', 'd3')})""",
     "cdc_apply": f"{SNAPSHOTS} select {_ALL} from d3",
@@ -225,6 +234,13 @@ ORACLE_SQL: dict[str, str] = {
         from (from o1 intersect from o2)
         union all select *, date '2025-11-30', date '2025-12-01', date '2025-12-01' from (from o1 except from o2)
         union all select *, date '2025-12-01', date '2099-12-31', date '2025-12-01' from (from o2 except from o1)""",
+    "scd2_corrected_day": f"""{_CORRECTED}
+        select *, date '2025-11-30' start_date, date '2099-12-31' end_date, date '2025-11-30' etl_date
+        from (from o1 intersect from o2)
+        union all select *, date '2025-11-30', date '2025-12-01', date '2025-12-01' from (from o1 except from o2)
+        union all select *, date '2025-12-01', date '2099-12-31', date '2025-12-01' from (from o2 except from o1)""",
+    "scd4_corrected_day": f"""{_CORRECTED}
+        select *, date '2025-11-30' start_date, date '2025-12-01' end_date from o1 where o_orderkey in (from changed)""",
     "orders_scd3": f"""{_ORDERS}
         select coalesce(n.o_orderkey, o.o_orderkey) o_orderkey, coalesce(n.o_custkey, o.o_custkey) o_custkey,
           coalesce(n.o_orderstatus, o.o_orderstatus) o_orderstatus,
