@@ -15,6 +15,7 @@ from dimkeeper.llm.html_text import extract_text
 from dimkeeper.llm.mixing import mix_sources
 from dimkeeper.llm.neighbour_graph import near_duplicates
 from dimkeeper.llm.ngram_join import ngram_components
+from dimkeeper.llm.oracles import ORACLE_SQL
 from dimkeeper.llm.preference import conversations, format_preferences, pair_by_opening
 from dimkeeper.llm.quality import resample
 from dimkeeper.llm.secret_scan import KINDS, find_secrets, joined
@@ -86,8 +87,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
 
 
-ORACLE_SQL: dict[str, str] = {}
-
-
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE_SQL)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -243,6 +244,18 @@ def test_every_query_runs_over_its_whole_table(spark, name):
     assert df.count() == (rows.select("conv_id").distinct() if table == "conversations" else rows).count()
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_equal_their_statements(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    result = con.execute(queries.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    df = queries.queries()[name](spark, SF)
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(map(tuple, df.select(*columns).collect())) == sorted(result.fetchall())
+
+
 def test_pipeline_equals_its_plain_version(spark):
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
