@@ -16,7 +16,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,7 +159,8 @@ def staged_replace(
     partition_col: str | None = None,
     always: Sequence[object] = (),
     clustered: bool = False,
-) -> None:
+    only_if: Callable[[DataFrame], bool] | None = None,
+) -> bool:
     """Replace the table's content by ``df``, which may read the table.
 
     With ``partition_col`` only the partitions that ``df`` has rows for are replaced, and those
@@ -167,7 +168,8 @@ def staged_replace(
 
     The staging table has the buckets of the table. Rows are brought together by bucket first, or
     every task would write a file into every bucket; ``clustered=True`` says that they are together
-    already, as after a join on the bucket columns, and saves that shuffle.
+    already, as after a join on the bucket columns, and saves that shuffle. ``only_if`` looks at the
+    staged rows; where it says no, the table's files stay as they are. Says whether they were replaced.
     """
     columns = spark.table(table).columns
     buckets = bucket_spec(spark, table)
@@ -185,13 +187,18 @@ def staged_replace(
     if buckets:
         writer = writer.bucketBy(buckets[0], *buckets[1])
     writer.saveAsTable(staging)
-    mark_staged(spark, staging, table, folder=folder, former=former)
-    finish_replace(spark, table, partition_col, always)
+    if only_if is not None and not only_if(spark.table(staging)):
+        drop_table(spark, staging)
+        if folder:
+            _remove_folder(spark, folder)
+        return False
+    emptied = "\n".join(map(_literal, always))
+    mark_staged(spark, staging, table, folder=folder, former=former, partition=partition_col, always=emptied)
+    finish_replace(spark, table)
+    return True
 
 
-def finish_replace(
-    spark: SparkSession, table: str, partition_col: str | None = None, always: Sequence[object] = ()
-) -> bool:
+def finish_replace(spark: SparkSession, table: str) -> bool:
     """Second half of ``staged_replace``; says whether there was a staged state to put in place."""
     staging = find_staging(spark, table)
     if staging is None:
@@ -202,10 +209,11 @@ def finish_replace(
         spark.catalog.refreshTable(table)
         if properties.get(FORMER) and properties[FORMER] != folder:
             _remove_folder(spark, properties[FORMER])
-    elif partition_col is None:
-        overwrite_from(spark, spark.table(staging), table)
+    elif partition_col := properties.get("dimkeeper.partition"):
+        always = [x for x in properties.get("dimkeeper.always", "").split("\n") if x]
+        _overwrite_partitions(spark, spark.table(staging), table, partition_col, always)
     else:
-        overwrite_partitions(spark, spark.table(staging), table, partition_col, always)
+        overwrite_from(spark, spark.table(staging), table)
     drop_table(spark, staging)  # of a taken-over folder only the name goes
     return True
 
@@ -220,10 +228,16 @@ def overwrite_partitions(
     spark: SparkSession, df: DataFrame, table: str, partition_col: str, always: Sequence[object] = ()
 ) -> None:
     """Replace the partitions that stored rows ``df`` have, and those named in ``always``, which may end up empty."""
+    _overwrite_partitions(spark, df, table, partition_col, [_literal(v) for v in always])
+
+
+def _overwrite_partitions(
+    spark: SparkSession, df: DataFrame, table: str, partition_col: str, always: Sequence[str]
+) -> None:
     rows = df.select(*spark.table(table).columns)
-    for value in always:
-        if rows.where(F.col(partition_col).eqNullSafe(F.lit(value))).isEmpty():
-            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{partition_col}` = {_literal(value)})")
+    for literal in always:
+        if rows.where(f"`{partition_col}` <=> {literal}").isEmpty():
+            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{partition_col}` = {literal})")
     buckets = bucket_spec(spark, table)
     if buckets:
         rows = rows.repartition(buckets[0], *buckets[1])

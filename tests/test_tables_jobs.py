@@ -147,7 +147,7 @@ def test_an_unpartitioned_table_takes_over_the_staged_files(spark, database, mon
     name = f"{database}.t"
     save_table(spark, day1(spark), name)
     with monkeypatch.context() as m:
-        m.setattr(tables, "finish_replace", lambda *a: None)
+        m.setattr(tables, "finish_replace", lambda *a: False)
         staged_replace(spark, day2(spark), name)
     staged = {f.rsplit("/", 1)[1] for f in spark.table(find_staging(spark, name)).inputFiles()}
     old = spark.table(name).inputFiles()
@@ -237,7 +237,7 @@ def test_scd2_job_completes_a_run_that_broke_off(spark, database):
     staged = scd2(spark.table(name), day2(spark), KEYS, DAY2)
     staging = new_staging_name(name)
     staged.write.partitionBy("end_date").saveAsTable(staging)
-    mark_staged(spark, staging, name)
+    mark_staged(spark, staging, name, partition="end_date", always=f"DATE'{OPEN_END}'")
     # Only the open partition got its new content; the versions closed on day 2 are still missing.
     columns = ", ".join(c for c in spark.table(name).columns if c != "end_date")
     spark.sql(
