@@ -71,7 +71,8 @@ def run_scd2(
 
     A run reads and replaces two partitions only, the open versions and those closed on the run
     date, so its cost follows the size of the current dimension and not that of the history. With
-    ``buckets`` (at least the number of shuffle partitions) the stored side is never shuffled.
+    ``buckets`` (at least the number of shuffle partitions) the stored side is never shuffled. A day
+    without changes leaves all files as they are.
     """
     day = parse_run_date(run_date)
     ensure_table(
@@ -86,7 +87,12 @@ def run_scd2(
     _require_known(spark, source, table)
     stored = spark.table(table).where(F.col("end_date").isin(open_end, day))
     result = scd2(stored, source, keys, day, open_end=open_end)
-    staged_replace(spark, result, table, "end_date", [open_end], clustered=True)
+    again = not stored.where(F.col("end_date") == F.lit(day)).isEmpty()
+
+    def changes(staged: DataFrame) -> bool:
+        return again or not staged.where(F.col("etl_date") == F.lit(day)).isEmpty()
+
+    staged_replace(spark, result, table, "end_date", [open_end, day] if again else [open_end], clustered=True, only_if=changes)
 
 
 def run_scd3(
@@ -124,7 +130,7 @@ def run_scd4(
     """Current rows go to ``table``, superseded ones to the run date's partition of ``history``.
 
     Both come from one evaluation, staged together. The history is partitioned by ``end_date``; a day
-    that is run again reads its partition and replaces it.
+    that is run again reads its partition and replaces it. One without changes leaves all files as they are.
     """
     day = parse_run_date(run_date)
     ensure_table(spark, table, _with_dates(source.schema, "etl_date"))
@@ -135,6 +141,11 @@ def run_scd4(
     parts = scd4_parts(spark.table(table), source, keys, day, on_delete=on_delete, archived=archived)
     staging = new_staging_name(table)
     parts.write.partitionBy("scd__part").saveAsTable(staging)
+    today = F.col("etl_date") == F.lit(day)
+    new = spark.table(staging).where(today | (F.col("scd__part") == "archive"))
+    if new.isEmpty() and archived.isEmpty() and spark.table(table).where(today).isEmpty():
+        drop_table(spark, staging)
+        return
     mark_staged(spark, staging, table, day=day.isoformat())
     _land_scd4(spark, table, history)
 

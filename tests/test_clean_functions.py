@@ -87,3 +87,18 @@ def test_metrics_keep_every_dimension_row_and_every_fact(spark):
     assert {(r["big"], r["seg"]): (r["v"], r["n"]) for r in fact.collect()} == {
         (True, "a"): (10, 1), (False, "a"): (5, 1), (False, "UNKNOWN"): (3, 2), (True, "UNKNOWN"): (7, 1),
     }
+
+
+def test_dedup_keeps_a_users_rank_column(spark):
+    df = spark.createDataFrame([(1, 5, 7), (1, 6, 8)], "k int, row__rank int, v int")
+    assert [tuple(r) for r in dedup_latest(df, ["k"], ["v"]).collect()] == [(1, 6, 8)]
+
+
+def test_marts_refuse_repeated_dimension_keys(spark):
+    facts = spark.createDataFrame([(1, 10)], "k int, amount int")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, name string")
+    total = F.col("amount")
+    with pytest.raises(Exception, match="repeated key"):
+        sales_by_attributes(facts, twice, "k", {}, ["name"], {"total": total}).collect()
+    with pytest.raises(Exception, match="repeated key"):
+        add_metrics(twice, facts, ["k"], {"total": F.sum("amount")}).collect()

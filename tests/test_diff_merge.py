@@ -13,6 +13,7 @@ from dimkeeper.operators.diff import (
     upsert_rows,
 )
 from dimkeeper.operators.merge import apply_changes, merge_soft_delete, merge_upsert, soft_delete_changes
+from dimkeeper.operators.scd import scd4
 from tests.scenario import DAY1, DAY2, DAY3, KEYS, by_key, day1, day2, dimension, rows
 
 
@@ -123,3 +124,20 @@ def test_changes_merged_by_key_equal_the_one_join_form(spark):
     state = soft_state(spark, (DAY1, day1(spark)))
     changes = soft_delete_changes(state, day2(spark), KEYS, DAY2)
     assert rows(merge_upsert(state, changes, KEYS)) == rows(merge_soft_delete(state, day2(spark), KEYS, DAY2))
+
+
+@pytest.mark.parametrize("op", [None, "d", "X", ""])
+def test_unknown_ops_are_refused(spark, op):
+    feed = day2(spark).where("customer_id = 1").selectExpr("*", f"{'NULL' if op is None else repr(op)} AS op")
+    with pytest.raises(Exception, match="unknown op"):
+        apply_changes(day1(spark), feed, KEYS).collect()
+
+
+def test_clashing_names_are_refused(spark):
+    clash = day1(spark).selectExpr("*", "1 AS op", "date'2025-01-01' AS start_date", "date'2025-01-01' AS etl_date")
+    with pytest.raises(ValueError, match="op exist"):
+        snapshot_diff(clash, clash, KEYS)
+    assert "change" in snapshot_diff(clash, clash, KEYS, op_col="change").columns
+    with pytest.raises(ValueError, match="start_date exist"):
+        scd4(clash, clash, KEYS, DAY1)
+    assert scd4(clash, clash, KEYS, DAY1, start_col="valid_from")[1].columns[-2:] == ["valid_from", "end_date"]

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 import pytest
 from pyspark.errors import AnalysisException, UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from dimkeeper.functions import OPEN_END
+from dimkeeper.operators.clean import clean_nulls, dedup_latest
 from dimkeeper.operators.merge import merge_upsert
 from dimkeeper.operators.scd import scd2, scd4_parts
+from dimkeeper.plans.daily_snapshots import CUSTOMER_KEYS, ORDER_KEYS, customer_days, orders_days
 from dimkeeper.plans.dimension_jobs import run_scd1, run_scd2, run_scd3, run_scd4
 from dimkeeper.plans.layers import Layers, conform, customer_columns, load_curated, run_layers
 from dimkeeper.sources import tables
 from dimkeeper.sources.read import JdbcSource, jdbc_write_options, read_source
-from dimkeeper.sources.scratch import materialise, scratch_dir
+from dimkeeper.sources.scratch import materialise, release, scratch_dir
 from dimkeeper.sources.tables import (
     append_missing,
     bucket_spec,
@@ -310,6 +313,30 @@ def test_scd4_job_completes_a_run_that_broke_off(spark, database):
     assert by_key(spark.table(current))[1]["hometown"] == "New Town"
 
 
+def test_a_day_without_changes_leaves_the_files(spark, database):
+    two, four, history = f"{database}.two", f"{database}.four", f"{database}.four_his"
+    for day, snapshot in ((DAY1, day1(spark)), (DAY2, day2(spark))):
+        run_scd2(spark, snapshot, two, KEYS, day)
+        run_scd4(spark, snapshot, four, history, KEYS, day)
+    before = [set(spark.table(t).inputFiles()) for t in (two, four, history)]
+    state = [rows(spark.table(t)) for t in (two, four, history)]
+    run_scd2(spark, day2(spark), two, KEYS, DAY3)
+    run_scd4(spark, day2(spark), four, history, KEYS, DAY3)
+    assert [set(spark.table(t).inputFiles()) for t in (two, four, history)] == before
+    # A day of changes, corrected back: what it closed is open again, in the jobs as well.
+    for day, snapshot in ((DAY3, day1(spark)), (DAY3, day2(spark))):
+        run_scd2(spark, snapshot, two, KEYS, day)
+        run_scd4(spark, snapshot, four, history, KEYS, day)
+    assert [rows(spark.table(t)) for t in (two, four, history)] == state
+
+
+def test_a_job_refuses_columns_that_its_table_lacks(spark, database):
+    name = f"{database}.dim"
+    run_scd1(spark, day1(spark), name, KEYS, DAY1)
+    with pytest.raises(ValueError, match="lacks source column"):
+        run_scd1(spark, day2(spark).withColumn("more", F.lit(1)), name, KEYS, DAY2)
+
+
 # --- layers ------------------------------------------------------------------------------------------------
 
 
@@ -326,6 +353,9 @@ def test_layers(spark, tmp_path):
     assert by_key(mart)[1]["customer_source"] == "mail1"
     curated = by_key(spark.table("l_cur.customer"))
     assert curated[4]["is_active"] == "0" and len(curated) == 11
+    files = set(spark.table("l_dmt.customer_dim").inputFiles())
+    run_layers(spark, day2(spark), DAY3, layers)
+    assert set(spark.table("l_dmt.customer_dim").inputFiles()) == files
     for name in ("l_stg", "l_prc", "l_cur", "l_dmt"):
         spark.sql(f"DROP DATABASE {name} CASCADE")
 
@@ -412,3 +442,50 @@ def test_jobs_start_from_and_return_to_empty_snapshots(spark, database):
         assert spark.table(f"{database}.{name}").count() == n
     assert {(r["start_date"], r["end_date"]) for r in spark.table(f"{database}.s2").collect()} == {(DAY2, DAY3)}
     assert {r["is_active"] for r in spark.table(f"{database}.cur").collect()} == {"0"}
+
+
+def test_jdbc_splits_are_checked():
+    split = {"predicates": ["k < 5", "k >= 5 OR k IS NULL"]}
+    source = JdbcSource("jdbc:x:y", "t", {"user": "u"}, **split)
+    assert source.connection() == {"fetchsize": "10000", "user": "u"}
+    with pytest.raises(ValueError, match="not by both"):
+        JdbcSource("jdbc:x:y", "t", column="k", lower=0, upper=9, partitions=2, **split)
+    with pytest.raises(ValueError, match="IS NULL"):
+        JdbcSource("jdbc:x:y", "t", predicates=["k < 5", "k >= 5"])
+
+
+def test_scratch_folders_are_released(spark):
+    folder = materialise(day1(spark)).inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    release(spark)
+    assert not os.path.isdir(folder)
+
+
+def test_every_key_is_in_the_daily_snapshots(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    for days, keys, table in ((customer_days, CUSTOMER_KEYS, "customer"), (orders_days, ORDER_KEYS, "orders")):
+        seen = reduce(lambda a, b: a.union(b), [s.select(*keys) for _, s in days(spark, sf_dir)]).distinct()
+        assert seen.count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+
+
+def test_layers_with_cleaning_parts_kinds_and_marts(spark, tmp_path):
+    layers = Layers("m_stg", "m_prc", "m_cur", "m_dmt", str(tmp_path))
+    columns = {"id": F.col("id"), "name": F.col("name")}
+    published = []
+
+    def run(day, shops, people):
+        parts = {n: spark.createDataFrame(r, "id int, name string") for n, r in (("shop", shops), ("person", people))}
+        return run_layers(
+            spark, parts, day, layers, ["id"], {"shop": columns, "person": columns}, "party",
+            cleaning=[lambda df: dedup_latest(clean_nulls(df, {"name": "?"}), ["id"], ["name"])],
+            kind="scd2", marts={"names": lambda df: df.groupBy("name").count()}, publish=lambda df: published.append(df.count()),
+        )
+
+    run(DAY1, [(1, "a"), (1, "b"), (2, None)], [(10, "p")])
+    mart = run(DAY2, [(1, "b")], [(10, "q"), (10, "p")])
+    got = sorted((r["id"], r["name"], r["start_date"], r["end_date"]) for r in mart.collect())
+    assert got == [(1, "b", DAY1, OPEN_END), (2, "?", DAY1, DAY2), (10, "p", DAY1, DAY2), (10, "q", DAY2, OPEN_END)]
+    assert {tuple(r) for r in spark.table("m_dmt.names").collect()} == {("b", 1), ("?", 1), ("p", 1), ("q", 1)}
+    assert published == [3, 4]
+    for name in ("m_stg", "m_prc", "m_cur", "m_dmt"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
