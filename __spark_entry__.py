@@ -355,6 +355,50 @@ def q_layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart
 
 
+def q_layered_run_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers as one dimension, from staging rows with repeats and malformed values, and
+    the sales fact as a mart table; parties and sales by hometown after two days."""
+    tag = uuid.uuid4().hex[:12]
+    layers = Layers(f"stg_{tag}", f"prc_{tag}", f"cur_{tag}", f"dmt_{tag}", scratch_dir(spark))
+    sales = table(spark, sf_dir, "orders").selectExpr("o_custkey AS party_id", "CAST(o_totalprice AS decimal(18, 2)) AS amount")
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "-1 - s_suppkey AS customer_id", "s_name AS full_name", "concat('N', s_nationkey) AS hometown", "'1' AS version"
+    )
+
+    def delivered(snapshot: DataFrame) -> DataFrame:
+        now = snapshot.selectExpr("customer_id", "full_name", "concat('  ', hometown, ' ') AS hometown", "' 12' AS version")
+        old, bad = (
+            snapshot.selectExpr("customer_id", "full_name", f"'{town}' AS hometown", f"'{version}' AS version")
+            for town, version in (("OLD", "9"), ("BAD", "1o"))
+        )
+        return union_parts([bad, now, old])
+
+    columns = {"party_id": F.col("customer_id"), "name": F.col("full_name"), "hometown": F.col("hometown")}
+    for day, snapshot in customer_days(spark, sf_dir)[:2]:
+        mart = run_layers(
+            spark,
+            {"customer": delivered(snapshot), "supplier": suppliers},
+            day,
+            layers,
+            ["party_id"],
+            {"customer": columns, "supplier": columns},
+            "party",
+            cleaning=[
+                lambda df: normalise_types(df, {"hometown": "string", "version": "int"}),
+                lambda df: dedup_latest(df, ["customer_id"], ["version"]),
+                lambda df: clean_nulls(df, {"hometown": "unknown"}),
+            ],
+            marts={
+                "sales": lambda df: sales_by_attributes(
+                    sales, active_rows(df), "party_id", {}, ["hometown"], {"n_orders": F.lit(1), "total": F.col("amount")}
+                )
+            },
+        )
+    parties = mart.groupBy("hometown").agg(F.count(F.lit(1)).alias("n_parties"))
+    both = parties.join(spark.table(f"{layers.dmt}.sales"), "hometown", "full_outer")
+    return both.select("hometown", "n_parties", "n_orders", F.col("total").cast("double").alias("total"))
+
+
 def q_email_org(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer_base(spark, sf_dir).select("customer_id", "email", email_org("email").alias("customer_source"))
 

@@ -223,6 +223,14 @@ ORACLE_SQL: dict[str, str] = {
           coalesce(split_part(split_part(email, '@', -1), '.', 1), 'UNKNOWN') customer_source,
           coalesce(gender, 'UNKNOWN') gender, count(*) n_orders, cast(sum(revenue) as double) revenue
         from sales left join d3 on o_custkey = customer_id group by 1, 2, 3""",
+    "layered_run_full": f"""{SNAPSHOTS},
+        party as (select customer_id, coalesce(hometown, 'unknown') hometown from d2
+                  union all select -1 - s_suppkey, concat('N', cast(s_nationkey as varchar)) from supplier),
+        parties as (select hometown, count(*) n_parties from party group by hometown),
+        sales as (select coalesce(hometown, 'UNKNOWN') hometown, count(*) n_orders,
+                    cast(sum(cast(o_totalprice as decimal(18, 2))) as double) total
+                  from orders left join party on o_custkey = customer_id group by 1)
+        select hometown, n_parties, n_orders, total from parties full join sales using (hometown)""",
     "orders_snapshot_diff": f"""{_ORDERS}
         select case when o_orderkey in (select o_orderkey from o1) then 'U' else 'I' end op, *
         from (select * from o2 except select * from o1)
