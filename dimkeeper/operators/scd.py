@@ -103,7 +103,8 @@ def scd2(
         f"WHEN {start} = {today} THEN false ELSE {is_open} OR {ended_today} END"
     )
     carry = [start_col, end_col] + ([date_col] if date_col else [])
-    m = match_snapshots(target.where(standing), source, keys, tracked, carry, check_keys, check_old=False)
+    near = target.where(f"{end} IN ({forever}, {today})")  # a filter of its own, as a scan can use it
+    m = match_snapshots(near.where(standing), source, keys, tracked, carry, check_keys, check_old=False)
 
     # One input row becomes one or two versions; the exploded arrays are constants.
     versions = m.rows.selectExpr(
