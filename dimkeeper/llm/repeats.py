@@ -160,7 +160,7 @@ def _found(unit: Unit, n_buckets: int, dtype: type, width: int) -> Callable:
             rows["bucket"].append(int(bucket[order[a]]))
             for name in ("anchor", "doc_id", "mark", "start", "size", "twin"):
                 rows[name].append(out[name][sent].tobytes())
-            rows["payload"].append(payload[ranges(begin[sent], out["weight"][sent])].tobytes())
+            rows["payload"].append(sh.squeezed(payload[ranges(begin[sent], out["weight"][sent])], unit.words))
             rows["done"].append(np.stack([out["doc_id"][local], out["mark"][local], out["start"][local], out["start"][local] + out["size"][local] + unit.window - 1], axis=1).tobytes())
         return pa.RecordBatch.from_pydict({n: pa.array(v, pa.int32() if n == "bucket" else pa.binary()) for n, v in rows.items()})
 
@@ -227,7 +227,7 @@ def _decided(unit: Unit, dtype: type, width: int, decide: Decide) -> Callable:
 
     def run(table: pa.Table) -> pa.Table:
         names = {"anchor": np.uint64, "doc_id": np.int64, "mark": np.int64, "start": np.int64, "size": np.int64}
-        all_ = Segments(*(sh.unpacked(table, n, t) for n, t in names.items()), sh.unpacked(table, "payload", dtype, width), np.zeros(0, np.int64))
+        all_ = Segments(*(sh.unpacked(table, n, t) for n, t in names.items()), sh.released(table, "payload", dtype, width), np.zeros(0, np.int64))
         weight = all_.size if unit.words else all_.size + unit.window - 1
         all_.begin = np.cumsum(weight) - weight
         spans = [sh.unpacked(table, "done", np.int64, 4).reshape(-1, 4)]

@@ -66,6 +66,23 @@ def unpacked(table: pa.Table, name: str, dtype: type, width: int = 1) -> np.ndar
     return values.reshape(-1, width) if width > 1 else values
 
 
+def squeezed(values: np.ndarray, random: bool) -> bytes:
+    """The bytes of an array, behind their number; compressed if they are not random."""
+    body = values.tobytes()
+    return len(body).to_bytes(8, "little", signed=True) + body if random else (-len(body)).to_bytes(8, "little", signed=True) + pa.compress(body, "zstd", asbytes=True)
+
+
+def released(table: pa.Table, name: str, dtype: type, width: int = 1) -> np.ndarray:
+    """All values of a column of ``squeezed`` arrays."""
+    parts = []
+    for x in table.column(name):
+        raw = x.as_py()
+        size = int.from_bytes(raw[:8], "little", signed=True)
+        parts.append(np.frombuffer(raw[8:] if size >= 0 else pa.decompress(raw[8:], -size, "zstd", asbytes=True), dtype) if size else np.zeros(0, dtype))
+    values = np.concatenate(parts) if parts else np.zeros(0, dtype)
+    return values.reshape(-1, width) if width > 1 else values
+
+
 def by_document(ids: np.ndarray, marks: np.ndarray, values: np.ndarray, name: str) -> pa.Table:
     """Rows (doc_id, mark, bytes of the values), one for each document."""
     order = np.lexsort((marks, ids))
