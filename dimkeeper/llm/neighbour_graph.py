@@ -4,9 +4,10 @@ Vectors are compared within their label. Equal vectors are one node. The first n
 random projections: a node is compared with the nodes that fall on the same sides. Each round then
 brings a node's neighbours and the nodes that name it together at that node, where all of them are
 compared; every node keeps the best it has met. A node whose whole list passes the threshold is
-saturated: its list is enlarged, round by round, until the last place holds a worse one. An audit
-compares a stated share of the nodes with all others, in blocks, and more rounds follow while its
-recall is too low.
+saturated: its list hides further links, so it is enlarged to all saturated nodes of its label and to
+all of its component, which are compared in blocks. An audit compares a stated share of the nodes with
+all others, in blocks; more rounds follow while its recall is too low, and after the last one a
+comparison of all nodes of a label.
 """
 
 from __future__ import annotations
@@ -203,12 +204,26 @@ class Graph:
     def links(self) -> tuple[DataFrame, DataFrame]:
         """(node, links) and (node, component), by the graph's threshold edges.
 
-        A list that passes the threshold to its end is enlarged to all of its component, as every list
-        is: the component's nodes are compared with each other in blocks, in double precision.
+        A link that the lists lack has two saturated ends, as far as the lists are right otherwise: a list
+        with a worse one at its end has room for every link. So all saturated nodes of a label are compared
+        with each other, and the links found join the components of the lists. Then a component's nodes
+        are compared with each other. Both are in blocks and in double precision.
         """
-        near = F.expr(f"filter(arrays_zip(ids, sims), x -> x.sims >= {self.threshold - 1e-4})")
+        least = self.threshold - 1e-4
+        near = F.expr(f"filter(arrays_zip(ids, sims), x -> x.sims >= {least})")
         edges = self.lists.select(F.col("node").alias("a"), F.explode(near).alias("e")).select("a", F.col("e.ids").alias("b"))
-        found = components(edges)
+        full = self.lists.where((F.size("ids") >= self.n_best) & (F.array_min("sims") >= least)).select("node")
+        met = self._compared(self.nodes.join(full, "node", "left_semi").select("node", F.xxhash64("space").alias("component")))
+        found = components(edges.unionByName(self._spanning(met)))
+        return self._counted(self._compared(found))
+
+    def all_links(self) -> tuple[DataFrame, DataFrame]:
+        """What ``links`` returns, by a comparison of all nodes of a label, without the lists."""
+        return self._counted(self._compared(self.nodes.select("node", F.xxhash64("space").alias("component"))))
+
+    def _compared(self, found: DataFrame) -> DataFrame:
+        """Links between the nodes of each component, in blocks that hold two parts of it."""
+        found = materialise(found)
         sizes = found.groupBy("component").agg(F.expr(f"count(1) div {BLOCK} + 1").alias("parts"))
         rows = found.join(sizes, "component").withColumn("part", F.expr("pmod(xxhash64(node), parts)"))
         rows = rows.withColumn("with", F.explode(F.expr("sequence(0L, parts - 1)")))
@@ -216,9 +231,15 @@ class Graph:
         block = F.xxhash64("component", x, y).alias("block")
         rows = rows.select("node", "part", (x != y).alias("two"), block)
         rows = rows.join(self.nodes.select("node", "vector"), "node").join(self.members.select("node", "copies"), "node")
-        both = materialise(rows.withColumn("batch", F.pmod("block", F.lit(self.buckets))).groupBy("batch").applyInArrow(_linked(self.threshold), LINKS))
+        return materialise(rows.withColumn("batch", F.pmod("block", F.lit(self.buckets))).groupBy("batch").applyInArrow(_linked(self.threshold), LINKS))
+
+    @staticmethod
+    def _spanning(both: DataFrame) -> DataFrame:
+        return both.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b"))
+
+    def _counted(self, both: DataFrame) -> tuple[DataFrame, DataFrame]:
         counts = both.where("other IS NULL").groupBy("node").agg(F.sum("links").alias("links"))
-        return counts, components(both.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
+        return counts, components(self._spanning(both))
 
     def recall(self, counts: DataFrame, queries: int) -> float:
         """Share of the true links of some nodes (those with the least hashes) that the graph has."""
@@ -271,7 +292,8 @@ def near_duplicates(
     One row for each row of ``vectors``: vec_id, n_links (other vectors linked directly),
     component_id (smallest vec_id that links reach) and kept (vec_id = component_id). No pair below
     the threshold is linked; ``rounds`` of NN-descent and more, up to ``most_rounds``, follow until the
-    audited recall of ``queries`` nodes is at least ``wanted``.
+    audited recall of ``queries`` nodes is at least ``wanted``. Where it is not even then, all vectors of
+    a label are compared, which takes time with the square of their number.
 
     * null, zero or not finite vectors, and null labels: no links, alone
     * vectors of different lengths are not compared; equal vectors are linked with each other
@@ -290,7 +312,10 @@ def near_duplicates(
             graph.descend()
             done += 1
         counts, found = graph.links()
-        if done >= most_rounds or graph.recall(counts, queries) >= wanted:
+        if graph.recall(counts, queries) >= wanted:
+            break
+        if done >= most_rounds:
+            counts, found = graph.all_links()
             break
     of_node = graph.members.join(counts, "node", "left").join(found, "node", "left").select(
         "space", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "node").alias("c")

@@ -192,6 +192,34 @@ def test_near_duplicates(spark, monkeypatch):
     assert sum(got[i] != want[i] for i in want) <= 0.02 * len(want)
 
 
+def tight_groups():
+    """Five labels with two groups of 20 each: within a group almost equal, across with a cosine of 0.95."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for label in range(5):
+        a, b = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        for centre in (a, 0.95 * a + np.sqrt(1 - 0.95**2) * b):
+            rows += [(len(rows) + k, (centre + 0.0005 * rng.standard_normal(32)).tolist(), label) for k in range(20)]
+    return rows
+
+
+@pytest.mark.parametrize("block", [512, 16])
+def test_near_duplicates_between_groups_that_fill_their_lists(spark, monkeypatch, block):
+    monkeypatch.setattr(neighbour_graph, "BLOCK", block)
+    rows = tight_groups()
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in neighbour_graph.near_duplicates(frame).collect()}
+    assert got == brute_links(rows)
+    assert {n for n, _, _ in got.values()} == {39}
+
+
+def test_near_duplicates_go_on_below_the_wanted_recall(spark):
+    rows = tight_groups()[:40]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = neighbour_graph.near_duplicates(frame, wanted=1.1, rounds=1, most_rounds=1).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in out} == brute_links(rows)
+
+
 def test_near_duplicates_edges(spark):
     schema = "vec_id long, embedding array<double>, label int"
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (2, [1.0, 0.0], 2)]
