@@ -5,14 +5,17 @@ Built-in expressions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
 
 def conversations(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, turns): the turns of each conversation in order; ties go by role, then text. Null role and text are empty."""
+    """(conv_id, turns): the turns of each conversation in order; ties go by role, then text. Null role and text are empty.
+
+    Turns with a null conv_id belong to no known conversation and to no row.
+    """
     one = F.struct(
         F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
@@ -71,6 +74,11 @@ def format_preferences(pairs: DataFrame, begin: str = "<|", middle: str = "|>\n"
     return out.drop("chosen", "rejected")
 
 
+def last_place(turns: Column, role: str) -> Column:
+    """Place, from 1 on, of the last turn of ``role``; null without one."""
+    return F.array_max(F.filter(F.transform(turns, lambda t, i: F.when(t["role"] == role, i + 1)), lambda i: i.isNotNull()))
+
+
 def pair_by_opening(talks: DataFrame, role: str = "assistant") -> DataFrame:
     """(conv_id, chosen_id, chosen, rejected) from (conv_id, turns).
 
@@ -91,7 +99,50 @@ def pair_by_opening(talks: DataFrame, role: str = "assistant") -> DataFrame:
     several = ranked.where("n > 1 AND conv_id <> chosen_id").select("conv_id", "chosen_id", F.col("turns").alias("rejected"))
     chosen = talks.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
     pairs = several.join(chosen, "chosen_id").select("conv_id", "chosen_id", "chosen", "rejected")
-    places = F.filter(F.transform("turns", lambda t, i: F.when(t["role"] == role, i + 1)), lambda i: i.isNotNull())
-    last = F.coalesce(F.array_max(places) - 1, F.size("turns"))
+    last = F.coalesce(last_place(F.col("turns"), role) - 1, F.size("turns"))
     alone = ranked.where("n = 1").select("conv_id", F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"), F.slice("turns", F.lit(1), last).alias("rejected"))
     return pairs.unionByName(alone)
+
+
+def other_replies(talks: DataFrame, role: str = "assistant", ring: int = 1024) -> DataFrame:
+    """(reply_key, drawn): for each different last reply of ``role`` another one, the next in a ring of about ``ring``.
+
+    Rings are dealt by a hash and ordered by another, so a reply's next one is of any conversation. Empty
+    replies are not drawn. Where no other reply exists, there is no row.
+    """
+    said = talks.select(F.element_at("turns", last_place(F.col("turns"), role))["text"].alias("reply")).where("reply <> ''").distinct()
+    rings = said.agg(F.expr(f"count(1) div {ring} + 1").alias("rings"))
+    keyed = said.crossJoin(rings).select("reply", F.sha2("reply", 256).alias("reply_key"), F.pmod(F.xxhash64("reply"), F.col("rings")).alias("ring"))
+    around = Window.partitionBy("ring").orderBy("reply_key")
+    drawn = F.coalesce(F.lead("reply").over(around), F.first("reply").over(around))
+    return keyed.select("reply_key", "reply", drawn.alias("drawn")).where("drawn <> reply").drop("reply")
+
+
+def pair_replies(talks: DataFrame, role: str = "assistant") -> DataFrame:
+    """(conv_id, chosen_id, chosen, rejected): ``pair_by_opening``, with a reply on both sides of each pair.
+
+    Where a side of such a pair has no turn of ``role`` after the common ones (a conversation without a
+    counterpart, equal ones, one that goes on where the other ends), the conversation of conv_id itself is
+    chosen, and rejected are its turns before its last turn of ``role`` with a reply from elsewhere in that
+    turn's place. So the prompt ends before that turn, and both completions are trained on.
+
+    * no turn of ``role``, an empty last one, or no other reply in the table: the pair of ``pair_by_opening``
+    * equal replies are drawn for alike; a drawn one always differs from the reply it is set against
+    """
+    pairs = pair_by_opening(talks, role)
+    n = common_turns(F.col("chosen"), F.col("rejected")).cast("int")
+    answers = [F.exists(F.slice(s, n + 1, F.greatest(F.size(s) - n, F.lit(0))), lambda t: t["role"] == role) for s in ("chosen", "rejected")]
+    own = F.when(F.col("conv_id") == F.col("chosen_id"), F.col("chosen")).otherwise(F.col("rejected"))
+    cases = pairs.withColumn("turns", F.when(~(answers[0] & answers[1]), own)).withColumn("place", last_place(F.col("turns"), role))
+    # Pairs that stay have keys of their own, so that they do not meet in one task.
+    key = F.coalesce(F.sha2(F.element_at("turns", F.col("place"))["text"], 256), F.concat(F.lit("-"), F.col("conv_id").cast("string")))
+    met = cases.withColumn("reply_key", key).join(other_replies(talks, role), "reply_key", "left")
+    replaced = F.col("drawn").isNotNull()
+    there = F.element_at("turns", F.col("place"))
+    other = F.array(F.struct(there["turn"].alias("turn"), there["role"].alias("role"), F.col("drawn").alias("text")))
+    return met.select(
+        "conv_id",
+        F.when(replaced, F.col("conv_id")).otherwise(F.col("chosen_id")).alias("chosen_id"),
+        F.when(replaced, F.col("turns")).otherwise(F.col("chosen")).alias("chosen"),
+        F.when(replaced, F.concat(F.slice("turns", F.lit(1), F.col("place") - 1), other)).otherwise(F.col("rejected")).alias("rejected"),
+    )

@@ -16,7 +16,7 @@ from dimkeeper.llm.mixing import mix_sources
 from dimkeeper.llm.neighbour_graph import near_duplicates
 from dimkeeper.llm.ngram_join import ngram_components
 from dimkeeper.llm.oracles import ORACLE_SQL
-from dimkeeper.llm.preference import conversations, format_preferences, pair_by_opening
+from dimkeeper.llm.preference import conversations, format_preferences, pair_replies
 from dimkeeper.llm.quality import resample
 from dimkeeper.llm.secret_scan import KINDS, find_secrets, joined
 from dimkeeper.llm.substring_dedup import remove_repeated_words
@@ -52,7 +52,7 @@ def q_op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = conversations(_table(spark, sf_dir, "conversations"))
-    return format_preferences(pair_by_opening(talks))
+    return format_preferences(pair_replies(talks))
 
 
 def q_op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -255,6 +255,28 @@ def test_preferences(spark):
     assert rows[5]["prompt"] == "<user>;"
 
 
+def test_preferences_have_a_reply_on_both_sides(spark):
+    more = [(9, 0, "user", "go on"), (9, 1, "assistant", "x"), (10, 0, "user", "go on"), (10, 1, "assistant", "x"), (11, 0, "user", "mute"), (11, 1, "assistant", "")]
+    turns = spark.createDataFrame(TALKS + more, "conv_id long, turn long, role string, text string")
+    talks = preference.conversations(turns)
+    rows = {r["conv_id"]: r for r in preference.format_preferences(preference.pair_replies(talks), "<", ">", ";").collect()}
+    before = {r["conv_id"]: r for r in preference.format_preferences(preference.pair_by_opening(talks), "<", ">", ";").collect()}
+    assert all(rows[i] == before[i] for i in (2, 3, 5, 6, 8, 11)) and set(rows) == set(before)
+    replies = {"long answer", "no", "b", "yes", "x"}
+    for i, own in ((4, "yes"), (10, "x")):
+        row = rows[i]
+        said = {s: [row[f"{s}_text"][m["start"] : m["end"] - 1] for m in row[f"{s}_mask"]] for s in ("chosen", "rejected")}
+        assert (row["chosen_id"], row["n_common"], said["chosen"]) == (i, 1, [own])
+        assert len(said["rejected"]) == 1 and said["rejected"][0] in replies - {own}
+
+
+def test_chat_formatting_fills_both_completions(spark):
+    talks = spark.read.parquet(f"{SF}/conversations.parquet").where("role = 'assistant' AND text <> ''").select("conv_id").distinct()
+    rows = queries.queries()["op6_chat_formatting"](spark, SF).join(talks, "conv_id").collect()
+    assert len(rows) == talks.count() > 0
+    assert all(r["chosen_mask"] and r["rejected_mask"] and r["chosen_text"] != r["rejected_text"] for r in rows)
+
+
 def test_preferences_of_null_sides(spark):
     pairs = spark.sql("SELECT CAST(NULL AS array<struct<turn:bigint,role:string,text:string>>) AS chosen, CAST(NULL AS array<struct<turn:bigint,role:string,text:string>>) AS rejected")
     row = preference.format_preferences(pairs).first()
