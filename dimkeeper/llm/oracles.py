@@ -78,10 +78,34 @@ select d.doc_id, len(x) // 2 n_bytes, coalesce(removed, 0)::bigint n_removed, co
   sha256(unhex(case when n is null then x else concat(head, substr(x, 2 * last + 1)) end)) kept_sha256
 from d left join part on part.doc_id = d.doc_id"""
 
+#: The lags are those at which six words on end agree, which any run of 12 words or more has.
+PERIODIC_RUNS = f"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) ws, encode(doc_id::varchar) id from documents),
+crc as (select doc_id, ws, len(ws) n, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, [('0x' || substr(hex(id), 2 * i - 1, 2))::bigint for i in range(1, octet_length(id) + 1)]),
+          lambda c, b: list_reduce(list_prepend(xor(c, b), [0::bigint for i in range(8)]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) h from d),
+fold as (select *, h // 10 g, case when n > 0 then (h // 10) % n else 0 end a from crc),
+t as (select doc_id, n, case when h % 10 = 0 and n > 0
+          then [ws[1 + case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end] for i in range(n)] else ws end ws from fold),
+six as (select doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') s from (select doc_id, ws, unnest(range(n - 5)) i from t where n >= 12)),
+pair as (select x.doc_id, x.i, y.i - x.i q from six x join six y on x.doc_id = y.doc_id and x.s = y.s and x.i < y.i),
+island as (select doc_id, q, i, i - row_number() over (partition by doc_id, q order by i) k from pair),
+stretch as (select doc_id, q, min(i) s, count(*) + 5 + q l from island group by doc_id, q, k),
+run as (select doc_id, s, l, min(q) q from stretch where l >= greatest(12, 2 * q) group by doc_id, s, l),
+gone as (select distinct doc_id, unnest(range(s + q, s + l)) p from run),
+word as (select doc_id, unnest(ws) w, unnest(range(n)) p from t),
+kept as (select doc_id, string_agg(w, ' ' order by p) t from word anti join gone using (doc_id, p) group by doc_id),
+told as (select doc_id, count(*) n, string_agg(concat(s, ',', l, ',', q, chr(10)), '' order by s, q) t, max(l) l from run group by doc_id),
+best as (select run.* from run join told on run.doc_id = told.doc_id and run.l = told.l
+         qualify row_number() over (partition by run.doc_id order by s, q) = 1)
+select t.doc_id, coalesce(told.n, 0) n_runs, s start, best.l length, best.q period, 1000 * best.l // best.q exponent_milli,
+  sha256(coalesce(told.t, '')) runs_sha256, sha256(coalesce(kept.t, '')) collapsed_sha256
+from t left join told on told.doc_id = t.doc_id left join best on best.doc_id = t.doc_id left join kept on kept.doc_id = t.doc_id"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": NGRAM_JOIN,
     "op5_embedding_near_dedup": NEAR_DEDUP,
     "op7_benchmark_decontamination": DECONTAMINATION,
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_suffix_array_dedup": SUFFIX_DEDUP,
+    "op11_periodic_runs": PERIODIC_RUNS,
 }

@@ -16,6 +16,7 @@ from dimkeeper.llm.mixing import mix_sources
 from dimkeeper.llm.neighbour_graph import near_duplicates
 from dimkeeper.llm.ngram_join import ngram_components
 from dimkeeper.llm.oracles import ORACLE_SQL
+from dimkeeper.llm.periodic_runs import find_runs
 from dimkeeper.llm.preference import conversations, format_preferences, pair_replies
 from dimkeeper.llm.quality import resample
 from dimkeeper.llm.secret_scan import KINDS, find_secrets, joined
@@ -83,6 +84,36 @@ def q_op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _folded(docs: DataFrame) -> DataFrame:
+    """Documents as the query of periodic runs takes them: about one in ten repeats a stretch to its end.
+
+    With h, the CRC-32 of the decimal id, a multiple of 10 and n > 0 words, word i >= a becomes word a + (i - a) % p.
+    """
+    h, g = F.crc32(F.col("doc_id").cast("string")), F.expr("h div 10")
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    staged = docs.select("doc_id", "text", h.alias("h")).withColumn("ws", F.when(F.expr("h % 10 = 0"), words))
+    staged = staged.withColumn("n", F.size("ws").cast("long")).withColumn("g", g).withColumn("a", F.expr("IF(n > 0, g % n, 0)"))
+    staged = staged.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    folded = F.expr("array_join(transform(sequence(0, n - 1), i -> ws[CAST(IF(i < a, i, a + (i - a) % p) AS int)]), ' ')")
+    return staged.select("doc_id", F.when(F.expr("h % 10 = 0 AND n > 0"), folded).otherwise(F.col("text")).alias("text"))
+
+
+def q_op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(_folded(_table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.expr("-longest.start AS start"),
+        F.expr("longest.length AS length"),
+        F.expr("-longest.period AS period"),
+        F.expr("(1000 * longest.length) div (-longest.period) AS exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
 
