@@ -101,6 +101,31 @@ select t.doc_id, coalesce(told.n, 0) n_runs, s start, best.l length, best.q peri
   sha256(coalesce(told.t, '')) runs_sha256, sha256(coalesce(kept.t, '')) collapsed_sha256
 from t left join told on told.doc_id = t.doc_id left join best on best.doc_id = t.doc_id left join kept on kept.doc_id = t.doc_id"""
 
+PHRASES = f"""
+with p as (select coalesce(lang, 'und') lang, unnest(regexp_split_to_array({_lowered("text")}, '[.,;:!?\\x0A-\\x0D]')) p from documents),
+w as (select lang, regexp_extract_all(p, '[^\\x20\\x09]+') ws from p),
+g as (select lang, k, ws[i:i + k - 1] g from (select lang, ws, k, unnest(range(1, len(ws) - k + 2)) i from w, range(1, 5) t(k) where len(ws) >= k)),
+f as (select lang, k, g, count(*) f from g group by all),
+c as (select * from f where k >= 2 and f >= 30),
+inside as (select lang, f, g[s:s + n - 1] g from (select lang, k, f, g, n, unnest(range(1, k - n + 2)) s from c, range(2, 4) t(n) where n < k)),
+longest as (select lang, g, max(f) f from inside group by all),
+free as (select c.* from c left join longest x on x.lang = c.lang and x.g = c.g where x.f is null or 100 * x.f < 80 * c.f),
+cut as (select free.lang, free.g, free.f a, x.k, x.f l, y.f r, 2000000 * free.f::hugeint // (x.f + y.f) score
+        from free join f x on x.lang = free.lang and x.k < free.k and x.g = free.g[1:x.k]
+        join f y on y.lang = free.lang and y.k = free.k - x.k and y.g = free.g[x.k + 1:free.k]),
+best as (select * from cut qualify row_number() over (partition by lang, g order by score, k) = 1),
+ranked as (select lang, array_to_string(g, ' ') phrase, a, l, r, score,
+             row_number() over (partition by lang order by score desc, a desc, array_to_string(g, ' ')) rank from best),
+n as (select lang, sum(len(ws))::bigint n from w group by lang)
+select lang, rank, phrase, a, l, r, n, score::bigint score from ranked join n using (lang) where rank <= 2000"""
+
+EXACT_TOP_K = """
+with v as (select vec_id, [floor(1024 * x::double) for x in embedding] e from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint score from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id) rank, vec_id, score from s)
+select query_id, rank::int rank, vec_id, score from r where rank <= 10"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": NGRAM_JOIN,
     "op5_embedding_near_dedup": NEAR_DEDUP,
@@ -108,4 +133,6 @@ ORACLE_SQL: dict[str, str] = {
     "op9_substring_dedup": SUBSTRING_DEDUP,
     "op10_suffix_array_dedup": SUFFIX_DEDUP,
     "op11_periodic_runs": PERIODIC_RUNS,
+    "op12_phrase_collocations": PHRASES,
+    "op13_exact_top_k": EXACT_TOP_K,
 }

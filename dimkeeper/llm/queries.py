@@ -17,11 +17,13 @@ from dimkeeper.llm.neighbour_graph import near_duplicates
 from dimkeeper.llm.ngram_join import ngram_components
 from dimkeeper.llm.oracles import ORACLE_SQL
 from dimkeeper.llm.periodic_runs import find_runs
+from dimkeeper.llm.phrase_graph import mine_phrases
 from dimkeeper.llm.preference import conversations, format_preferences, pair_replies
 from dimkeeper.llm.quality import resample
 from dimkeeper.llm.secret_scan import KINDS, find_secrets, joined
 from dimkeeper.llm.substring_dedup import remove_repeated_words
 from dimkeeper.llm.suffix_dedup import remove_repeated_bytes
+from dimkeeper.llm.top_products import top_products
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +116,14 @@ def q_op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(_table(spark, sf_dir, "documents")).drop("path")
+
+
+def q_op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}
 
