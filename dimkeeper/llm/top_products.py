@@ -29,7 +29,7 @@ from dimkeeper.sources.scratch import materialise
 VECTORS = "tag long, vec_id long, asks boolean, size int, norm double, vector binary"
 QUERIES = VECTORS + ", least long"
 BUCKETS = "part int, size int, longest double, norms binary, tags binary, ids binary, named binary, matrix binary"
-BLOCKS = "slab int, size int, need double, norms binary, tags binary, ids binary, named binary, matrix binary, least binary, parts array<int>"
+BLOCKS = "block long, size int, need double, norms binary, tags binary, ids binary, named binary, matrix binary, least binary, parts array<int>"
 FOUND = "tag long, query_id long, vec_id long, score long"
 
 #: Bytes of the vectors of a bucket; rows of a group of buckets, of a slab of queries, of a block of queries.
@@ -140,15 +140,16 @@ def _blocks(longest: np.ndarray) -> Callable:
     """``longest``: of each part of the candidates, its greatest length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slab = TaskContext.get().partitionId()
+        block = TaskContext.get().partitionId() << 32
         schema = pa.schema(
-            [("slab", pa.int32()), ("size", pa.int32()), ("need", pa.float64()), *((n, pa.binary()) for n in ("norms", "tags", "ids", "named", "matrix", "least")), ("parts", pa.list_(pa.int32()))]
+            [("block", pa.int64()), ("size", pa.int32()), ("need", pa.float64()), *((n, pa.binary()) for n in ("norms", "tags", "ids", "named", "matrix", "least")), ("parts", pa.list_(pa.int32()))]
         )
         for vectors, table in _pieces(batches, lambda _: BLOCK_ROWS):
             least = table.column("least").to_numpy()
             need = float(_need(least, vectors.norms).min())
-            row = vectors.packed() | {"slab": slab, "need": need, "least": least.tobytes(), "parts": np.flatnonzero(longest >= need).tolist()}
+            row = vectors.packed() | {"block": block, "need": need, "least": least.tobytes(), "parts": np.flatnonzero(longest >= need).tolist()}
             yield pa.RecordBatch.from_pylist([row], schema)
+            block += 1
 
     return run
 
@@ -294,8 +295,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 10, scale: float
     * products that may pass 64 bits are an error
     * other columns are ignored, whatever their names
 
-    The driver sees the counts, one greatest length for each ``GROUP_ROWS`` vectors, one least bound for each ``SLAB_ROWS``
-    queries, and the longest bucket (1 MiB) of the four most frequent lengths of vectors.
+    The driver sees the number of vectors, one greatest length for each group of candidates, one bound for each block
+    of queries, and the longest bucket (1 MiB) of each of the four most frequent numbers of components.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -314,9 +315,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 10, scale: float
     order = [F.col("size"), F.col("norm").desc(), F.col("tag")]
     dealt = whole.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     buckets = materialise(dealt.mapInArrow(_buckets, BUCKETS))
-    longest = np.full(parts, -np.inf)
-    for row in buckets.groupBy("part").agg(F.max("longest").alias("longest")).collect():
-        longest[row["part"]] = row["longest"]
+    by_part = {row["part"]: row["longest"] for row in buckets.groupBy("part").agg(F.max("longest").alias("longest")).collect()}
+    longest = np.array([by_part.get(p, -np.inf) for p in range(max(by_part, default=-1) + 1)])
     best = F.max_by(F.struct("part", "longest"), "longest").alias("best")
     sizes = buckets.groupBy("size").agg(F.count("*").alias("n"), best).orderBy(F.desc("n"), "size").limit(4).collect()
     heads = []
@@ -325,16 +325,23 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 10, scale: float
         heads.append(Vectors.unpacked(buckets.where(here).first().asDict()))
 
     bounded = materialise(whole.where("asks").mapInArrow(_first_bounds(k, heads), QUERIES))
-    slabs = max(1, -(-bounded.count() // SLAB_ROWS))
     need = F.when((F.col("least") > 0) & (F.col("norm") > 0), F.col("least") / F.col("norm")).otherwise(-1.0)
-    by_need = bounded.repartitionByRange(slabs, need.desc(), "tag").sortWithinPartitions("size", need.desc(), "tag")
+    by_need = bounded.repartitionByRange(need.desc(), "tag").sortWithinPartitions("size", need.desc(), "tag")
     blocks = materialise(by_need.mapInArrow(_blocks(longest), BLOCKS))
-    needs = [float("inf")] * slabs
-    for row in blocks.groupBy("slab").agg(F.min("need").alias("need")).collect():
-        needs[row["slab"]] = row["need"]
 
-    reached = F.filter(F.sequence(F.lit(0), F.lit(slabs - 1)), lambda s: F.lit(needs)[s] <= F.col("longest"))
-    left = buckets.withColumn("slab", F.explode(reached))
+    # Blocks of like need make a slab; a group of candidates meets a slab at a time.
+    slab_of, needs, held = [], [], SLAB_ROWS
+    for row in blocks.select("block", "need", F.expr("length(norms) div 8 AS n")).orderBy(F.desc("need"), "block").collect():
+        if held + row["n"] > SLAB_ROWS:
+            needs.append(row["need"])
+            held = 0
+        held, needs[-1] = held + row["n"], row["need"]
+        slab_of.append((row["block"], len(needs) - 1))
+    blocks = blocks.join(spark.createDataFrame(slab_of, "block long, slab int"), "block")
+    known = F.array(*[F.struct(F.lit(s).alias("slab"), F.lit(float(need)).alias("need")) for s, need in enumerate(needs)])
+    none = F.expr("CAST(array() AS array<struct<slab: int, need: double>>)")
+    reached = F.filter(known if needs else none, lambda s: s["need"] <= F.col("longest"))
+    left = buckets.withColumn("slab", F.explode(F.transform(reached, lambda s: s["slab"])))
     right = blocks.withColumn("part", F.explode("parts"))
     found = left.groupBy("part", "slab").cogroup(right.groupBy("part", "slab")).applyInArrow(_cell(k), FOUND)
     rank = F.expr("row_number() OVER (PARTITION BY tag ORDER BY score DESC, vec_id ASC NULLS LAST)")
