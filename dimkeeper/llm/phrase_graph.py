@@ -30,6 +30,8 @@ from dimkeeper.sources.scratch import materialise
 EDGE = 4
 #: Words that a task counts before it sends them.
 FLUSH = 1_000_000
+#: Shares in which the phrases of a language are ranked before they are ranked together.
+_SHARES = 64
 
 #: Pieces end at ``[.,;:!?\x0A-\x0D]``; their words are ``[^\x20\x09]+``.
 _BREAKS = ~tx.separators((0x0A, 0x0D), *((ord(c), ord(c)) for c in ".,;:!?"))
@@ -69,17 +71,17 @@ class Grams:
         """Each stretch once, with the sum of its counts; equal beginnings stand together."""
         if not len(self.counts):
             return self
-        code = self.words[:, 0].astype(np.int64)
-        for k in range(1, EDGE):
-            pair = code * np.int64(len(self.vocabulary) + 1) + self.words[:, k] + 1
-            code = pa.array(pair).dictionary_encode().indices.to_numpy().astype(np.int64)
-        counts = np.zeros(int(code.max()) + 1, np.int64)
-        np.add.at(counts, code, self.counts)
-        first = np.empty(len(counts), np.int64)
-        first[code[::-1]] = np.arange(len(code))[::-1]
-        words = self.words[first]
-        order = np.lexsort(words.T[::-1])
-        return Grams(words[order], counts[order], self.vocabulary)
+        base = np.int64(len(self.vocabulary) + 1)
+        first, second, third, fourth = (self.words[:, k].astype(np.int64) + 1 for k in range(EDGE))
+        # Numbers of pairs keep the key within 64 bits: vocabulary squared times rows, or rows squared.
+        tail = pa.array(third * base + fourth).dictionary_encode()
+        head = first * base + second
+        if int(base) ** 2 * len(tail.dictionary) >= 1 << 62:
+            head = pa.array(head).dictionary_encode().indices.to_numpy().astype(np.int64)
+        key = head * np.int64(len(tail.dictionary)) + tail.indices.to_numpy()
+        order = np.argsort(key)
+        at = tx.groups(key[order])[:-1]
+        return Grams(self.words[order[at]], np.add.reduceat(self.counts[order], at), self.vocabulary)
 
     def phrases(self) -> list[str]:
         vocabulary = self.vocabulary.take(pa.array(np.unique(self.words[self.words >= 0]))).to_pylist()
@@ -118,13 +120,18 @@ def _packed(grams: Grams, lang: str, lead: int, n_buckets: int) -> dict[str, lis
     bucket = ((key >> np.uint64(16)) % np.uint64(n_buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     at = tx.groups(bucket[order])
-    for a, b in zip(at[:-1], at[1:], strict=True):
-        mine = grams.pick(order[a:b])
-        flat = mine.words.ravel()
-        sizes, body = _body(mine.vocabulary.take(pa.array(flat[flat >= 0])))
-        columns = {"places": (mine.words >= 0).sum(axis=1).astype(np.uint8), "sizes": sizes.astype(np.int32), "body": body, "counts": mine.counts}
+    ordered = grams.pick(order)
+    flat = ordered.words.ravel()
+    sizes, body = _body(grams.vocabulary.take(pa.array(flat[flat >= 0])))
+    places = (ordered.words >= 0).sum(axis=1)
+    word = np.concatenate([[0], np.cumsum(places)])[at]  # where the words of a bucket begin, and their bytes
+    byte = np.concatenate([[0], np.cumsum(sizes)])[word]
+    sizes, places = sizes.astype(np.int32), places.astype(np.uint8)
+    for k, number in enumerate(bucket[order[at[:-1]]].tolist()):
+        grams_of, words_of, bytes_of = (slice(x[k], x[k + 1]) for x in (at, word, byte))
+        columns = {"places": places[grams_of], "sizes": sizes[words_of], "body": body[bytes_of], "counts": ordered.counts[grams_of]}
         out["lang"].append(lang)
-        out["bucket"].append(int(bucket[order[a]]))
+        out["bucket"].append(number)
         for name, values in columns.items():
             out[name].append(sh.squeezed(values, random=False))
     return out
@@ -134,7 +141,7 @@ def _unpacked(table: pa.Table) -> Grams:
     places = sh.released(table, "places", np.uint8).astype(np.int64)
     column = _words_of(sh.released(table, "sizes", np.int32), sh.released(table, "body", np.uint8))
     coded = column.dictionary_encode()
-    words = np.full((len(places), EDGE), -1, np.int64)
+    words = np.full((len(places), EDGE), -1, np.int32)
     words[np.repeat(np.arange(len(places)), places), ranges(np.zeros(len(places), np.int64), places)] = coded.indices.to_numpy()
     return Grams(words, sh.released(table, "counts", np.int64), coded.dictionary)
 
@@ -157,11 +164,11 @@ class _Pieces:
     def grams(self) -> Grams:
         """At each word the edge that starts there, or what is left of its piece."""
         coded = _words_of(np.concatenate(self.sizes), np.concatenate(self.bodies)).dictionary_encode()
-        names, left = coded.indices.to_numpy().astype(np.int64), np.concatenate(self.left)
-        words = np.full((len(names), EDGE), -1, np.int64)
-        for k in range(EDGE):
-            has = np.flatnonzero(left > k)
-            words[has, k] = names[has + k]
+        names, left = coded.indices.to_numpy(), np.concatenate(self.left)
+        words = np.full((len(names), EDGE), -1, np.int32)
+        for k in range(min(EDGE, len(names))):
+            upto = len(names) - k
+            words[:upto, k] = np.where(left[:upto] > k, names[k:], -1)
         return Grams(words, np.ones(len(names), np.int64), coded.dictionary).summed()
 
 
@@ -236,7 +243,8 @@ def phrase_counts(docs: DataFrame, least: int, text: str, lang: str) -> DataFram
     """(lang, phrase, words, f): stretches of 1 to 4 words with ``least`` occurrences; words = 0 counts all words."""
     spark = docs.sparkSession
     ship(spark)
-    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One bucket for each partition: what goes from one level to the next is a row for each pair of buckets.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     level, parts = rows.mapInArrow(_edges(n), PACKED), []
     for levels in ([4, 3], [2], [1]):
@@ -317,8 +325,11 @@ def mine_phrases(docs: DataFrame, least: int = 30, top: int = 2000, covered: int
     score = F.expr("(CAST(2000000 AS decimal(7,0)) * CAST(a AS decimal(20,0))) div (CAST(l AS decimal(20,0)) + CAST(r AS decimal(20,0)))")
     least_cut = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
     scored = cuts.groupBy("lang", "phrase", "a").agg(least_cut).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-    rank = F.expr("CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase ASC) AS long)")
-    best = scored.withColumn("rank", rank).where(F.col("rank") <= top)
+    # The best of each share of a language first, so that no task ranks a whole language.
+    order = "ORDER BY score DESC, a DESC, phrase ASC"
+    shares = scored.withColumn("place", F.expr(f"row_number() OVER (PARTITION BY lang, pmod(hash(phrase), {_SHARES}) {order})"))
+    rank = F.expr(f"CAST(row_number() OVER (PARTITION BY lang {order}) AS long)")
+    best = shares.where(F.col("place") <= top).withColumn("rank", rank).where(F.col("rank") <= top)
     totals = counted.where("words = 0").select("lang", F.col("f").alias("n"))
     best = best.join(totals, "lang").join(unary_paths(counted), ["lang", "phrase"], "left")
     return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score", F.coalesce("path", "phrase").alias("path"))
