@@ -19,7 +19,10 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from dimkeeper.functions import email_org  # noqa: E402
+from dimkeeper.operators.asof import facts_as_of  # noqa: E402
+from dimkeeper.operators.backfill import scd2_backdated, scd2_backfill  # noqa: E402
 from dimkeeper.operators.clean import clean_nulls, dedup_latest, normalise_types, union_parts  # noqa: E402
+from dimkeeper.operators.deltas import aggregate, apply_deltas, change_images, delta_sums  # noqa: E402
 from dimkeeper.operators.diff import (  # noqa: E402
     attribute_changes,
     changed_rows,
@@ -30,8 +33,10 @@ from dimkeeper.operators.diff import (  # noqa: E402
     unchanged_rows,
     upsert_rows,
 )
+from dimkeeper.operators.feed import apply_ordered, feed_state, live_rows  # noqa: E402
 from dimkeeper.operators.merge import apply_changes, merge_soft_delete, merge_upsert, soft_delete_changes  # noqa: E402
 from dimkeeper.operators.scd import open_versions, scd1, scd2, scd3, scd4_parts  # noqa: E402
+from dimkeeper.operators.sketches import daily_sketches, distinct_estimate, error_bound  # noqa: E402
 from dimkeeper.plans.daily_snapshots import (  # noqa: E402
     CUSTOMER_KEYS,
     D1,
@@ -44,20 +49,26 @@ from dimkeeper.plans.daily_snapshots import (  # noqa: E402
     table,
 )
 from dimkeeper.plans.dimension_jobs import run_scd1, run_scd2, run_scd3, run_scd4  # noqa: E402
+from dimkeeper.plans.fingerprints import diff_by_fingerprint, save_with_fingerprints  # noqa: E402
 from dimkeeper.plans.layers import (  # noqa: E402
     Layers,
+    Mart,
     active_rows,
     conform,
     customer_columns,
+    load_checked,
     load_curated,
     load_mart,
     load_staging,
     run_layers,
     stamp_source,
 )
+from dimkeeper.plans.ledger import Ledger  # noqa: E402
 from dimkeeper.plans.marts import add_metrics, sales_by_attributes  # noqa: E402
+from dimkeeper.sources.parts import ensure_parted_table, fill_parts, merge_touched_parts, stored_rows  # noqa: E402
 from dimkeeper.sources.read import read_source  # noqa: E402
 from dimkeeper.sources.scratch import materialise, scratch_dir  # noqa: E402
+from dimkeeper.sources.splits import plan_splits, read_branches  # noqa: E402
 from dimkeeper.sources.tables import ensure_database, ensure_table, save_table, staged_replace  # noqa: E402
 from oracle_queries import ORACLE_SQL  # noqa: E402
 
@@ -419,8 +430,8 @@ def q_dedup_latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_latest(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"])
 
 
-def q_normalise_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as raw text, padded and partly malformed, turned into typed columns."""
+def _raw_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    """Customers as raw text, padded and partly malformed, and the types they should have."""
     text = table(spark, sf_dir, "customer").selectExpr(
         "concat(' ', c_custkey, '  ') AS customer_id",
         "concat(c_name, ' ') AS full_name",
@@ -434,7 +445,12 @@ def q_normalise_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_of_birth": ("date", "yyyyMMdd"),
         "balance": "double",
     }
-    return normalise_types(text, types)
+    return text, types
+
+
+def q_normalise_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as raw text turned into typed columns."""
+    return normalise_types(*_raw_customers(spark, sf_dir))
 
 
 def q_union_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -546,6 +562,160 @@ def q_scd4_corrected_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scd4_after(_corrected_days(spark, sf_dir), ORDER_KEYS)[1]
 
 
+# --- tables in parts, dated facts, runs that are resumed -----------------------------------------------
+
+
+def q_merge_touched_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of day 1 in 16 parts; the changes are the orders whose priority day 2 has taken back, and deleted ones."""
+    (_, first), (_, second) = orders_days(spark, sf_dir)
+    name = f"{_new_database(spark)}.orders"
+    ensure_parted_table(spark, name, first.schema, ORDER_KEYS, 16)
+    fill_parts(spark, first, name, ORDER_KEYS)
+    feed = snapshot_diff(first, second, ORDER_KEYS).where("op = 'D' OR (op = 'U' AND o_orderpriority IS NULL)")
+    merge_touched_parts(spark, feed, name, ORDER_KEYS, apply_changes)
+    return stored_rows(spark, name)
+
+
+def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order dated from two days before the first snapshot to one day after the last; some without customer or date."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "IF(o_orderkey % 97 = 0, NULL, o_custkey) AS customer_id",
+        f"IF(o_orderkey % 89 = 0, NULL, date_add(DATE'{D1}', CAST(o_orderkey % 6 AS int) - 2)) AS sold_on",
+    )
+
+
+def q_fact_asof_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order with its customer's hometown and gender as of the order's date."""
+    dimension = materialise(_scd2_after(customer_days(spark, sf_dir), CUSTOMER_KEYS))
+    return facts_as_of(_dated_orders(spark, sf_dir), dimension, CUSTOMER_KEYS, "sold_on", ["hometown", "gender"])
+
+
+def q_layered_run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day 2 breaks off in its second mart and is resumed; then the facts change and day 2 is run once more.
+
+    The sales by hometown at the end, and how often each step was done.
+    """
+    tag = uuid.uuid4().hex[:12]
+    layers = Layers(f"stg_{tag}", f"prc_{tag}", f"cur_{tag}", f"dmt_{tag}", scratch_dir(spark))
+    layers.create(spark)
+    ledger_table = f"{layers.cur}.run_ledger"
+    (_, old_orders), (_, new_orders) = orders_days(spark, sf_dir)
+    columns = {"customer_id": F.col("customer_id"), "hometown": F.col("hometown")}
+
+    def run(day, snapshot: DataFrame, orders: DataFrame, fails: bool = False) -> None:
+        sales = orders.selectExpr("o_custkey AS customer_id", "CAST(o_totalprice AS decimal(18, 2)) AS amount")
+
+        def build(curated: DataFrame) -> DataFrame:
+            if fails:
+                raise RuntimeError("the mart step breaks off")
+            sums = {"n_orders": F.lit(1), "total": F.col("amount")}
+            return sales_by_attributes(sales, active_rows(curated), "customer_id", {}, ["hometown"], sums)
+
+        marts = {"sales": Mart(build, {"sales": sales})}
+        run_layers(spark, snapshot, day, layers, CUSTOMER_KEYS, columns, marts=marts, ledger=Ledger(spark, ledger_table, "1"))
+
+    (day1, first), (day2, second), _ = customer_days(spark, sf_dir)
+    run(day1, first, old_orders)
+    try:
+        run(day2, second, old_orders, fails=True)
+    except RuntimeError:
+        run(day2, second, old_orders)
+    run(day2, second, new_orders)
+    done = spark.table(ledger_table).where("state = 'done'").groupBy().pivot("step", ["stg.customer", "cur.customer", "dmt.customer_dim", "dmt.sales"])
+    done = done.count().toDF("n_stg", "n_cur", "n_dim", "n_sales")
+    sales = spark.table(f"{layers.dmt}.sales").withColumn("total", F.col("total").cast("double"))
+    return sales.crossJoin(done)  # one row
+
+
+def q_scd2_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three days' snapshots in one pass; the result is that of applying them one by one."""
+    dated = union_parts([snapshot.withColumn("snapshot_date", F.lit(day)) for day, snapshot in customer_days(spark, sf_dir)])
+    return scd2_backfill(dated, CUSTOMER_KEYS, "snapshot_date")
+
+
+def q_scd2_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days 1 and 3 are applied, then day 2 comes late."""
+    first, second, third = customer_days(spark, sf_dir)
+    state = materialise(_scd2_after([first, third], CUSTOMER_KEYS))
+    return scd2_backdated(state, second[1], CUSTOMER_KEYS, second[0], until=third[0])
+
+
+def q_scd2_job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day 2 is first run with a snapshot that only adds rows to day 1, then with day 1's own, then with its right one."""
+    (day1, first), (day2, second), (day3, third) = customer_days(spark, sf_dir)
+    name = f"{_new_database(spark)}.customer_dim_scd2"
+    more = first.unionByName(second.join(first, CUSTOMER_KEYS, "left_anti"))
+    for day, snapshot in [(day1, first), (day2, more), (day2, first), (day2, second), (day3, third)]:
+        run_scd2(spark, snapshot, name, CUSTOMER_KEYS, day)
+    return spark.table(name)
+
+
+def q_cdc_apply_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of days 2 and 3 with sequence numbers: the later ones come first, the earlier ones late, some twice."""
+    days = customer_days(spark, sf_dir)
+    feed2, feed3 = (feed.withColumn("seq", F.lit(10 * n)).drop("change_date") for n, feed in enumerate(_feeds(spark, sf_dir), 1))
+    state = feed_state(days[0][1])
+    for batch in (feed3, union_parts([feed2, feed3]), feed2):
+        state = materialise(apply_ordered(state, batch, CUSTOMER_KEYS))
+    return live_rows(state)
+
+
+def q_sales_fact_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status and priority: day 1's aggregate, brought to day 2 by the changes alone."""
+    (_, first), (_, second) = orders_days(spark, sf_dir)
+    grain = {"status": F.col("o_orderstatus"), "priority": F.col("o_orderpriority")}
+    sums = {"total": F.col("o_totalprice").cast("decimal(18, 2)")}
+    stored = materialise(aggregate(first, grain, sums))
+    deltas = delta_sums(change_images(first, second, ORDER_KEYS), grain, sums)
+    fact = apply_deltas(stored, materialise(deltas), list(grain), list(sums))
+    return fact.withColumn("total", F.col("total").cast("double"))
+
+
+def q_diff_by_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of day 1 with their fingerprints against those of day 2."""
+    (_, first), (_, second) = orders_days(spark, sf_dir)
+    name = f"{_new_database(spark)}.orders"
+    ensure_parted_table(spark, name, first.schema, ORDER_KEYS, 16)
+    save_with_fingerprints(spark, first, name, ORDER_KEYS)
+    return diff_by_fingerprint(spark, name, second, ORDER_KEYS)
+
+
+def q_normalise_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text that does not convert, with the numbers of accepted and rejected rows."""
+    db = _new_database(spark)
+    text, types = _raw_customers(spark, sf_dir)
+    counts = load_checked(spark, text, f"{db}.customer", f"{db}.customer_rejects", types, D1)
+    rejects = spark.table(f"{db}.customer_rejects").selectExpr("customer_id AS raw_id", "inline(rejects)")
+    stored = spark.table(f"{db}.customer").agg(F.count(F.lit(1)).alias("n_stored"))
+    numbers = [F.lit(counts[c]).cast("long").alias(f"n_{c}") for c in ("rows", "accepted", "rejected")]
+    return rejects.select("raw_id", "column", "text", "reason", *numbers).crossJoin(stored)  # one row
+
+
+def q_source_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines read by about eight branches of a skewed column that has NULLs: each line in how many branches."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey",
+        "l_linenumber",
+        """CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_orderkey % 11 = 0 THEN NULL
+                ELSE CAST(l_orderkey AS int) - 50 * CAST(l_linenumber AS int) END AS account""",
+    )
+    read = read_branches(lines, plan_splits(lines, "account", 8))
+    return read.groupBy("l_orderkey", "l_linenumber", "account").agg(F.count(F.lit(1)).alias("n_branches"))
+
+
+def q_metrics_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users by kind of event over the later half of the days: exact, and whether the stored sketches come near."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    stored = materialise(daily_sketches(events, {"day": F.col("day"), "event_type": F.col("event_type")}, F.col("user_id")))
+    middle = events.agg(F.min("day").alias("first"), F.max("day").alias("last")).selectExpr("date_add(first, CAST(datediff(last, first) div 2 AS int)) AS middle")
+    late = [df.join(middle, F.col("day") >= F.col("middle")) for df in (stored, events)]
+    exact = late[1].groupBy("event_type").agg(F.countDistinct("user_id").alias("n_users"))
+    near = F.abs(F.col("n_estimate") - F.col("n_users")) <= F.greatest(F.lit(1.0), error_bound() * F.col("n_users"))
+    both = exact.join(distinct_estimate(late[0], ["event_type"], "n_estimate"), "event_type", "full_outer")
+    return both.select("event_type", "n_users", near.alias("near"))
+
+
 # --- contract -----------------------------------------------------------------------------------------------
 
 

@@ -87,7 +87,8 @@ def run_scd2(
     _require_known(spark, source, table)
     stored = spark.table(table).where(F.col("end_date").isin(open_end, day))
     result = scd2(stored, source, keys, day, open_end=open_end)
-    again = not stored.where(F.col("end_date") == F.lit(day)).isEmpty()
+    # Run before on this day: it closed versions, began some, or left its mark on open ones.
+    again = not stored.where(F.lit(day).isin(F.col("end_date"), F.col("start_date"), F.col("etl_date"))).isEmpty()
 
     def changes(staged: DataFrame) -> bool:
         return again or not staged.where(F.col("etl_date") == F.lit(day)).isEmpty()

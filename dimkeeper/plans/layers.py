@@ -7,30 +7,49 @@ lists here are the fixed schemas of the layers; the steps themselves work for an
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimkeeper.functions import email_org, parse_run_date
-from dimkeeper.operators.clean import union_parts
+from dimkeeper.operators.clean import REJECTS, accepted_rows, normalise_checked, rejected_rows, union_parts
 from dimkeeper.operators.merge import ACTIVE, merge_upsert, soft_delete_changes
 from dimkeeper.plans.dimension_jobs import run_scd1, run_scd2, run_scd3, run_scd4
+from dimkeeper.plans.ledger import Ledger, content_version
+from dimkeeper.sources.parts import ensure_parted_table, merge_touched_parts, stored_rows
+from dimkeeper.sources.scratch import materialise
 from dimkeeper.sources.tables import (
+    content_folder,
     drop_table,
     ensure_database,
     ensure_table,
     finish_replace,
     merge_into,
     save_table,
+    set_table_property,
     staged_replace,
+    table_property,
 )
 
 Step = Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Mart:
+    """A mart table: what ``build`` makes of the curated rows and of ``inputs``, by name.
+
+    An input is a frame, whose version follows from its rows, or a text that names its version. A
+    run with a ledger builds the mart anew when the curated table or one of them has changed.
+    """
+
+    build: Step
+    inputs: Mapping[str, DataFrame | str] = field(default_factory=dict)
+
+
 def customer_columns() -> dict[str, Column]:
     """Fixed schema: processing-layer customer columns, from the staging columns."""
     return {
@@ -96,6 +115,32 @@ def load_processing(
     save_table(spark, conform(rows, columns, run_date), table, new_columns=True)
 
 
+def load_checked(
+    spark: SparkSession,
+    rows: DataFrame,
+    table: str,
+    reject_table: str,
+    types: Mapping[str, str | tuple[str, str]],
+    run_date: dt.date,
+) -> dict[str, int]:
+    """Text rows converted into ``table``; those that do not convert go to ``reject_table`` as they came.
+
+    The rows are converted once, into a staged table that both are taken from, and counted on the way
+    (an ``Observation``): returns how many came, were accepted and were rejected, and how often each
+    column was the reason (``rejected by column``). A reject row says which columns, with text and reason.
+    """
+    counted = Observation()
+    failed = F.size(REJECTS) > 0
+    by_column = [
+        F.count_if(F.array_contains(F.col(f"{REJECTS}.column"), c)).alias(f"rejected by {c}") for c in types if types[c] != "string"
+    ]
+    counts = [F.count(F.lit(1)).alias("rows"), F.count_if(~failed).alias("accepted"), F.count_if(failed).alias("rejected"), *by_column]
+    checked = materialise(normalise_checked(rows, types).observe(counted, *counts))
+    save_table(spark, stamp_source(rejected_rows(checked), run_date), reject_table, new_columns=True)
+    save_table(spark, accepted_rows(checked), table, new_columns=True)
+    return counted.get
+
+
 def load_curated(
     spark: SparkSession,
     processed: DataFrame,
@@ -105,29 +150,38 @@ def load_curated(
     publish: Callable[[DataFrame], None] | None = None,
     buckets: int = 0,
     row_level: bool = False,
+    parts: int = 0,
 ) -> int:
     """Soft-delete merge into the curated table; returns the number of rows it had to write.
 
     The changes are evaluated once, into a table. Without changes nothing else is written. The
-    merge itself then meets a small change set, not the whole source; with ``row_level``, for
-    catalogs that offer it, a MERGE writes the changed rows only. ``buckets`` (at least the number of
-    shuffle partitions) keeps the stored side from being shuffled when it is compared. ``publish``
+    merge itself then meets a small change set, not the whole source; with ``parts`` the table is
+    divided by key and only the parts that the changes touch are read and rewritten; with
+    ``row_level``, for catalogs that offer it, a MERGE writes the changed rows only. ``buckets`` (at least
+    the number of shuffle partitions) keeps the stored side from being shuffled when it is compared. ``publish``
     gets the merged table, for example to copy it to a serving database; a change table left behind
     by a run that broke off makes the next run publish even if it finds nothing new.
     """
     changes = f"{table}__changes"
-    ensure_table(spark, table, processed.schema, bucket_by=list(keys) if buckets else [], buckets=buckets)
+    if parts:
+        if buckets or row_level:
+            raise ValueError("a table in parts has neither buckets nor row-level operations")
+        ensure_parted_table(spark, table, processed.schema, keys, parts)
+    else:
+        ensure_table(spark, table, processed.schema, bucket_by=list(keys) if buckets else [], buckets=buckets)
     finish_replace(spark, table)
     unfinished = spark.catalog.tableExists(changes)
-    save_table(spark, soft_delete_changes(spark.table(table), processed, keys, run_date), changes, new_columns=True)
+    save_table(spark, soft_delete_changes(stored_rows(spark, table), processed, keys, run_date), changes, new_columns=True)
     n = spark.table(changes).count()
-    if n and row_level:
+    if n and parts:
+        merge_touched_parts(spark, spark.table(changes), table, keys)
+    elif n and row_level:
         merge_into(spark, spark.table(changes), table, keys)
     elif n:
         merged = merge_upsert(spark.table(table), spark.table(changes), keys, check_keys=False)
         staged_replace(spark, merged, table)
     if publish is not None and (n or unfinished):
-        publish(spark.table(table))
+        publish(stored_rows(spark, table))
     drop_table(spark, changes)
     return n
 
@@ -144,6 +198,7 @@ def load_dimension(
     buckets: int = 0,
     row_level: bool = False,
     publish: Callable[[DataFrame], None] | None = None,
+    parts: int = 0,
 ) -> int | None:
     """Load the curated table as ``soft_delete`` or as ``scd1`` to ``scd4``.
 
@@ -151,7 +206,7 @@ def load_dimension(
     out. Returns the rows written where that is known; None otherwise.
     """
     if kind == "soft_delete":
-        return load_curated(spark, processed, table, keys, run_date, publish, buckets, row_level)
+        return load_curated(spark, processed, table, keys, run_date, publish, buckets, row_level, parts)
     snapshot = processed.drop("is_active", "etl_date")
     if kind == "scd1":
         run_scd1(spark, snapshot, table, keys, run_date)
@@ -170,7 +225,7 @@ def load_dimension(
 
 def load_mart(spark: SparkSession, curated_table: str, table: str, build: Step = active_rows) -> None:
     """The mart table anew: by default the active rows, or whatever ``build`` makes of the curated table."""
-    save_table(spark, build(spark.table(curated_table)), table, new_columns=True)
+    save_table(spark, build(stored_rows(spark, curated_table)), table, new_columns=True)
 
 
 def run_layers(
@@ -184,34 +239,70 @@ def run_layers(
     cleaning: Sequence[Step] = (),
     kind: str = "soft_delete",
     previous: Mapping[str, str] | None = None,
-    marts: Mapping[str, Step] | None = None,
+    marts: Mapping[str, Step | Mart] | None = None,
     publish: Callable[[DataFrame], None] | None = None,
     buckets: int = 0,
     row_level: bool = False,
+    parts: int = 0,
+    ledger: Ledger | None = None,
+    versions: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One run of all four layers, in order; returns the dimension's mart table.
 
     ``source`` may be several parts by name; each has its own staging and processing table, with its
     ``columns`` by the same name, and their union is loaded. ``cleaning`` steps run on the staging
     rows, ``kind`` says how the curated table keeps its rows, ``marts`` adds mart tables built from
-    it, and ``publish`` gets it when it has changed. A run that changes nothing in the curated table
-    leaves mart tables that are there as they are.
+    it, and ``publish`` gets it when it has changed.
+
+    Without a ``ledger`` every step runs; only the dimension's own mart stays as it is where it was built from the
+    very content that the curated table still has. With one, a step runs unless it was done on
+    the same inputs: a run that broke off goes on at the step that failed, a day without changes leaves
+    the marts as they are, and one on which only a mart's other inputs changed (see ``Mart``) builds that
+    mart. A mart given as a plain step may read anything and is built every time. ``versions`` names the
+    sources' versions where they are known; otherwise they follow from the rows, by one more pass.
     """
     day = parse_run_date(run_date)
     layers.create(spark)
-    parts = dict(source) if isinstance(source, Mapping) else {entity: source}
-    prepared = []
-    for name, frame in parts.items():
+    sources = dict(source) if isinstance(source, Mapping) else {entity: source}
+
+    def step(name: str, inputs: Mapping[str, object], action: Callable[[], object]) -> str:
+        if ledger is None:
+            action()
+            return ""
+        return ledger.step(name, day, inputs, action)
+
+    def version(given: DataFrame | str) -> str:
+        return given if isinstance(given, str) else content_version(given)
+
+    prepared, processed = {}, []
+    for name, frame in sources.items():
         wanted = customer_columns() if columns is None else columns[name] if isinstance(source, Mapping) else columns
-        load_staging(spark, frame, f"{layers.stg}.{name}", day)
-        load_processing(spark, f"{layers.stg}.{name}", f"{layers.prc}.{name}", wanted, day, cleaning)
-        prepared.append(spark.table(f"{layers.prc}.{name}"))
+        stg, prc = f"{layers.stg}.{name}", f"{layers.prc}.{name}"
+        known = {"day": day, "source": version((versions or {}).get(name, frame))} if ledger else {}
+        staged = step(f"stg.{name}", known, lambda: load_staging(spark, frame, stg, day))  # noqa: B023
+        prepared[name] = step(f"prc.{name}", {"day": day, "stg": staged}, lambda: load_processing(spark, stg, prc, wanted, day, cleaning))  # noqa: B023
+        processed.append(prc)
+
     cur = f"{layers.cur}.{entity}"
-    n = load_dimension(
-        spark, union_parts(prepared), cur, keys, day, kind, previous, None, buckets, row_level, publish
-    )
-    built = {f"{entity}_dim": active_rows if kind == "soft_delete" else (lambda df: df), **(marts or {})}
-    for name, build in built.items():
-        if n != 0 or not spark.catalog.tableExists(f"{layers.dmt}.{name}"):
-            load_mart(spark, cur, f"{layers.dmt}.{name}", build)
+
+    def curate() -> bool:
+        rows = union_parts([spark.table(prc) for prc in processed])
+        return load_dimension(spark, rows, cur, keys, day, kind, previous, None, buckets, row_level, publish, parts) != 0
+
+    curated = step(f"cur.{entity}", {"day": day, "kind": kind, **prepared}, curate)
+    own = Mart(active_rows if kind == "soft_delete" else (lambda df: df))
+    for name, mart in {f"{entity}_dim": own, **(marts or {})}.items():
+        known = {"cur": curated}
+        if ledger and isinstance(mart, Mart):
+            known |= {f"input {n}": version(given) for n, given in mart.inputs.items()}
+        elif ledger:
+            known["any"] = uuid.uuid4().hex
+        table = f"{layers.dmt}.{name}"
+        content = content_folder(spark, cur) if mart is own and ledger is None else None
+        if content and spark.catalog.tableExists(table) and table_property(spark, table, "built_from") == content:
+            continue
+        build = mart.build if isinstance(mart, Mart) else mart
+        step(f"dmt.{name}", known, lambda: load_mart(spark, cur, table, build))  # noqa: B023
+        if content:
+            set_table_property(spark, table, "built_from", content)
     return spark.table(f"{layers.dmt}.{entity}_dim")

@@ -137,6 +137,20 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def content_folder(spark: SparkSession, table: str) -> str | None:
+    """The folder that ``staged_replace`` has given the table's content, which names this content; None if there is none."""
+    folder = _details(spark, table).get("Location", "").rstrip("/")
+    return folder if re.search("__v_[0-9a-f]{12}$", folder) else None
+
+
+def table_property(spark: SparkSession, table: str, name: str) -> str | None:
+    return _properties(spark, table).get(f"dimkeeper.{name}")
+
+
+def set_table_property(spark: SparkSession, table: str, name: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(table)} SET TBLPROPERTIES ({text_literal(f'dimkeeper.{name}')} = {text_literal(value)})")
+
+
 def _remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -235,9 +249,11 @@ def _overwrite_partitions(
     spark: SparkSession, df: DataFrame, table: str, partition_col: str, always: Sequence[str]
 ) -> None:
     rows = df.select(*spark.table(table).columns)
-    for literal in always:
-        if rows.where(f"`{partition_col}` <=> {literal}").isEmpty():
-            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{partition_col}` = {literal})")
+    if always:
+        wanted = spark.range(1).selectExpr(f"explode(array({', '.join(always)})) AS value")
+        have = rows.select(F.col(partition_col).alias("value")).distinct()
+        for (value,) in wanted.distinct().join(have, "value", "left_anti").collect():
+            spark.sql(f"ALTER TABLE {_quoted(table)} DROP IF EXISTS PARTITION (`{partition_col}` = {_literal(value)})")
     buckets = bucket_spec(spark, table)
     if buckets:
         rows = rows.repartition(buckets[0], *buckets[1])

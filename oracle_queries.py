@@ -267,4 +267,39 @@ ORACLE_SQL: dict[str, str] = {
         select *, '1' is_active, date '2025-11-30' etl_date from (from o1 intersect from o2)
         union all select *, '1', date '2025-12-01' from (from o2 except from o1)
         union all select *, '0', date '2025-12-01' from o1 where o_orderkey not in (select o_orderkey from o2)""",
+    "merge_touched_parts": f"""{_ORDERS}
+        select * from o1 where o_orderkey in (select o_orderkey from o2)
+          and o_orderkey not in (select o_orderkey from o2 where o_orderpriority is null and o_orderkey in (from changed))
+        union all select * from o2 where o_orderpriority is null and o_orderkey in (from changed)""",
+    "fact_asof_versions": f"""with v as ({_SCD2_ALL}),
+        f as (select o_orderkey, case when o_orderkey % 97 = 0 then null else o_custkey end customer_id,
+                case when o_orderkey % 89 = 0 then null else date '2025-11-30' + cast(o_orderkey % 6 as int) - 2 end sold_on from orders)
+        select o_orderkey, f.customer_id, sold_on, hometown, gender
+        from f left join v on v.customer_id = f.customer_id and start_date <= sold_on and sold_on < end_date""",
+    "layered_run_resumed": f"""{SNAPSHOTS}, o2 as (select * from orders where not (o_orderkey % 11 = 4 and o_orderkey % 10 <> 9))
+        select coalesce(hometown, 'UNKNOWN') hometown, count(*) n_orders,
+          cast(sum(cast(o_totalprice as decimal(18, 2))) as double) total, 2 n_stg, 2 n_cur, 2 n_dim, 3 n_sales
+        from o2 left join d2 on o_custkey = customer_id group by 1""",
+    "scd2_backfill": _SCD2_ALL,
+    "scd2_late_day": _SCD2_ALL,
+    "scd2_job_rerun": _SCD2_ALL,
+    "cdc_apply_ordered": f"{SNAPSHOTS} select {_ALL} from d3",
+    "sales_fact_delta": f"""{_ORDERS} select o_orderstatus status, o_orderpriority priority, count(*) n_facts,
+        cast(sum(cast(o_totalprice as decimal(18, 2))) as double) total from o2 group by 1, 2""",
+    "diff_by_fingerprint": f"""{_ORDERS}
+        select case when o_orderkey in (select o_orderkey from o1) then 'U' else 'I' end op, *
+        from (select * from o2 except select * from o1)
+        union all select 'D', * from o1 where o_orderkey not in (select o_orderkey from o2)""",
+    "normalise_rejects": """with bad as (
+          select c_custkey, 'date_of_birth' as column, 'unknown' as text, 'not a value of type date yyyyMMdd' reason
+          from customer where c_nationkey = 0
+          union all select c_custkey, 'balance', 'n/a', 'not a value of type double' from customer where c_acctbal < 0)
+        select concat(' ', cast(c_custkey as varchar), '  ') raw_id, bad.column, text, reason, n_rows, n_accepted, n_rows - n_accepted n_rejected,
+          n_accepted n_stored
+        from bad, (select count(*) n_rows, count(*) filter (where c_nationkey <> 0 and c_acctbal >= 0) n_accepted from customer)""",
+    "source_split": """select l_orderkey, l_linenumber, case when l_orderkey % 3 = 0 then 7 when l_orderkey % 11 = 0 then null
+          else l_orderkey - 50 * l_linenumber end account, count(*) n_branches from lineitem group by 1, 2, 3""",
+    "metrics_distinct": """with e as (select *, cast(ts as date) d from events),
+        m as (select min(d) + cast(datediff('day', min(d), max(d)) // 2 as int) middle from e)
+        select event_type, count(distinct user_id) n_users, true near from e, m where d >= middle group by 1""",
 }
