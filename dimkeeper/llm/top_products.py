@@ -32,8 +32,8 @@ BUCKETS = "part int, size int, longest double, norms binary, tags binary, ids bi
 BLOCKS = "block long, size int, need double, norms binary, tags binary, ids binary, named binary, matrix binary, least binary, parts array<int>"
 FOUND = "tag long, query_id long, vec_id long, score long"
 
-#: Bytes of the vectors of a bucket; rows of a group of buckets, of a slab of queries, of a block of queries.
-BUCKET_BYTES, GROUP_ROWS, SLAB_ROWS, BLOCK_ROWS = 1 << 20, 131_072, 65_536, 1024
+#: Bytes of the vectors of a bucket; rows of a group of buckets at most and at least, of a slab of queries, of a block of queries.
+BUCKET_BYTES, GROUP_ROWS, LEAST_ROWS, SLAB_ROWS, BLOCK_ROWS = 1 << 20, 131_072, 4096, 65_536, 1024
 #: Local cosine from which coordinates prune, and how many of them are looked at.
 COSINE, COORDINATES = 0.6, 4
 #: What rounding may add to a bound.
@@ -311,7 +311,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 10, scale: float
     whole = materialise(stored.mapInArrow(_integers(scale), VECTORS))
 
     n = whole.count()
-    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // GROUP_ROWS))
+    # Each part sends on the k best of each query, so small parts do not pay.
+    parts = max(1, -(-n // GROUP_ROWS), min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), n // LEAST_ROWS))
     order = [F.col("size"), F.col("norm").desc(), F.col("tag")]
     dealt = whole.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     buckets = materialise(dealt.mapInArrow(_buckets, BUCKETS))

@@ -47,6 +47,7 @@ def table(seed, n, spread):
 @pytest.mark.parametrize("spread", [0.0, 1.5])
 def test_equals_all_products(spark, spread, monkeypatch):
     monkeypatch.setattr(tp, "BUCKET_BYTES", 4096)  # many buckets
+    monkeypatch.setattr(tp, "LEAST_ROWS", 100)  # several groups
     monkeypatch.setattr(tp, "BLOCK_ROWS", 3)
     monkeypatch.setattr(tp, "SLAB_ROWS", 4)  # several slabs of queries
     rows = table(3, 1200, spread)
