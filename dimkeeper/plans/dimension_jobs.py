@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from dimkeeper.functions import OPEN_END, parse_run_date
 from dimkeeper.operators.scd import scd1, scd2, scd3, scd4_parts
-from dimkeeper.sources.scratch import materialise
+from dimkeeper.sources.scratch import materialised
 from dimkeeper.sources.tables import (
     drop_table,
     ensure_table,
@@ -54,8 +54,8 @@ def run_scd1(
     ensure_table(spark, table, _with_dates(source.schema, "etl_date"))
     finish_replace(spark, table)
     _require_known(spark, source, table)
-    source = materialise(source)
-    staged_replace(spark, scd1(spark.table(table), source, keys, day, on_delete=on_delete), table)
+    with materialised(source) as source:
+        staged_replace(spark, scd1(spark.table(table), source, keys, day, on_delete=on_delete), table)
 
 
 def run_scd2(
@@ -66,8 +66,8 @@ def run_scd2(
     run_date: dt.date | int | None = None,
     open_end: dt.date = OPEN_END,
     buckets: int = 0,
-) -> None:
-    """The table is partitioned by ``end_date``.
+) -> bool:
+    """The table is partitioned by ``end_date``. Says whether its files were replaced.
 
     A run reads and replaces two partitions only, the open versions and those closed on the run
     date, so its cost follows the size of the current dimension and not that of the history. With
@@ -93,7 +93,7 @@ def run_scd2(
     def changes(staged: DataFrame) -> bool:
         return again or not staged.where(F.col("etl_date") == F.lit(day)).isEmpty()
 
-    staged_replace(spark, result, table, "end_date", [open_end, day] if again else [open_end], clustered=True, only_if=changes)
+    return staged_replace(spark, result, table, "end_date", [open_end, day] if again else [open_end], clustered=True, only_if=changes)
 
 
 def run_scd3(
@@ -127,8 +127,8 @@ def run_scd4(
     keys: Sequence[str],
     run_date: dt.date | int | None = None,
     on_delete: str = "keep",
-) -> None:
-    """Current rows go to ``table``, superseded ones to the run date's partition of ``history``.
+) -> bool:
+    """Current rows go to ``table``, superseded ones to the run date's partition of ``history``; says whether either changed.
 
     Both come from one evaluation, staged together. The history is partitioned by ``end_date``; a day
     that is run again reads its partition and replaces it. One without changes leaves all files as they are.
@@ -146,9 +146,10 @@ def run_scd4(
     new = spark.table(staging).where(today | (F.col("scd__part") == "archive"))
     if new.isEmpty() and archived.isEmpty() and spark.table(table).where(today).isEmpty():
         drop_table(spark, staging)
-        return
+        return False
     mark_staged(spark, staging, table, day=day.isoformat())
     _land_scd4(spark, table, history)
+    return True
 
 
 def _land_scd4(spark: SparkSession, table: str, history: str) -> None:

@@ -21,7 +21,7 @@ from dimkeeper.operators.merge import ACTIVE, merge_upsert, soft_delete_changes
 from dimkeeper.plans.dimension_jobs import run_scd1, run_scd2, run_scd3, run_scd4
 from dimkeeper.plans.ledger import Ledger, content_version
 from dimkeeper.sources.parts import ensure_parted_table, merge_touched_parts, stored_rows
-from dimkeeper.sources.scratch import materialise
+from dimkeeper.sources.scratch import materialised
 from dimkeeper.sources.tables import (
     content_folder,
     drop_table,
@@ -135,9 +135,9 @@ def load_checked(
         F.count_if(F.array_contains(F.col(f"{REJECTS}.column"), c)).alias(f"rejected by {c}") for c in types if types[c] != "string"
     ]
     counts = [F.count(F.lit(1)).alias("rows"), F.count_if(~failed).alias("accepted"), F.count_if(failed).alias("rejected"), *by_column]
-    checked = materialise(normalise_checked(rows, types).observe(counted, *counts))
-    save_table(spark, stamp_source(rejected_rows(checked), run_date), reject_table, new_columns=True)
-    save_table(spark, accepted_rows(checked), table, new_columns=True)
+    with materialised(normalise_checked(rows, types).observe(counted, *counts)) as checked:
+        save_table(spark, stamp_source(rejected_rows(checked), run_date), reject_table, new_columns=True)
+        save_table(spark, accepted_rows(checked), table, new_columns=True)
     return counted.get
 
 
@@ -203,24 +203,26 @@ def load_dimension(
     """Load the curated table as ``soft_delete`` or as ``scd1`` to ``scd4``.
 
     The slowly changing kinds date the rows themselves, so the processed activity flag and date stay
-    out. Returns the rows written where that is known; None otherwise.
+    out. Returns the rows written where that is known, 0 where nothing changed; None otherwise. ``publish``
+    gets the table when it has changed.
     """
     if kind == "soft_delete":
         return load_curated(spark, processed, table, keys, run_date, publish, buckets, row_level, parts)
     snapshot = processed.drop("is_active", "etl_date")
+    changed = True  # types 1 and 3 stamp every row with the run date
     if kind == "scd1":
         run_scd1(spark, snapshot, table, keys, run_date)
     elif kind == "scd2":
-        run_scd2(spark, snapshot, table, keys, run_date, buckets=buckets)
+        changed = run_scd2(spark, snapshot, table, keys, run_date, buckets=buckets)
     elif kind == "scd3":
         run_scd3(spark, snapshot, table, keys, previous or {}, run_date)
     elif kind == "scd4":
-        run_scd4(spark, snapshot, table, history or f"{table}_his", keys, run_date)
+        changed = run_scd4(spark, snapshot, table, history or f"{table}_his", keys, run_date)
     else:
         raise ValueError(f"unknown kind of dimension: {kind!r}")
-    if publish is not None:
+    if publish is not None and changed:
         publish(spark.table(table))
-    return None
+    return None if changed else 0
 
 
 def load_mart(spark: SparkSession, curated_table: str, table: str, build: Step = active_rows) -> None:

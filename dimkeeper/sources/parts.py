@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeeper.functions import align_to, require_free
+from dimkeeper.functions import align_to, quoted, require_free
 from dimkeeper.operators.merge import merge_upsert
-from dimkeeper.sources.scratch import materialise
+from dimkeeper.sources.scratch import materialised
 from dimkeeper.sources.tables import ensure_table, set_table_property, staged_replace, table_property
 
 #: The partition column.
@@ -81,10 +81,11 @@ def merge_touched_parts(
     stored = spark.table(table)
     known = [c for c in changes.columns if c in stored.columns]
     extra = [c for c in changes.columns if c not in known]
-    rows = materialise(changes.selectExpr(*align_to(changes, stored, known), *[f"`{c}`" for c in extra]).withColumn(PART, part_number(keys, n)))
-    touched = sorted(r[0] for r in rows.select(PART).distinct().collect())
-    if touched:
-        target = stored.where(F.col(PART).isin(touched)).drop(PART)
-        merged = apply(target, rows.drop(PART), list(keys))
-        staged_replace(spark, in_parts(merged, keys, n), table, PART, always=touched)
+    numbered = changes.selectExpr(*align_to(changes, stored, known), *[quoted(c) for c in extra]).withColumn(PART, part_number(keys, n))
+    with materialised(numbered) as rows:
+        touched = sorted(r[0] for r in rows.select(PART).distinct().collect())
+        if touched:
+            target = stored.where(F.col(PART).isin(touched)).drop(PART)
+            merged = apply(target, rows.drop(PART), list(keys))
+            staged_replace(spark, in_parts(merged, keys, n), table, PART, always=touched)
     return touched

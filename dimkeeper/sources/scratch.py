@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,16 +22,39 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """``df`` written as parquet and read back: evaluated once, and safe if an executor is lost."""
+def store(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written as parquet and read back, and the folder it lies in."""
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
-def release(spark: SparkSession) -> None:
-    """Remove what this application has stored for its own use; frames that read it are void then."""
-    for folder in _made.pop(spark.sparkContext.applicationId, []):
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` written as parquet and read back: evaluated once, and safe if an executor is lost."""
+    return store(df)[0]
+
+
+@contextmanager
+def materialised(df: DataFrame) -> Iterator[DataFrame]:
+    """The same for the time of a ``with`` block, after which the stored rows are removed."""
+    stored, path = store(df)
+    try:
+        yield stored
+    finally:
+        discard(df.sparkSession, path)
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Remove folders that ``scratch_dir`` gave; frames that read them are void then."""
+    made = _made.get(spark.sparkContext.applicationId, [])
+    for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        if folder in made:
+            made.remove(folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove what this application has stored for its own use; frames that read it are void then."""
+    discard(spark, *list(_made.get(spark.sparkContext.applicationId, [])))

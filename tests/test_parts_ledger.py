@@ -225,3 +225,19 @@ def test_a_corrected_day_leaves_no_trace_in_the_stored_dimension(spark, database
     for day, ids in [(D1, [1]), (D2, right)]:
         state = scd2(state, snapshot(ids), ["id"], day)
     assert rows(spark.table(name)) == rows(state)
+
+
+def test_unchanged_days_publish_nothing_and_jobs_leave_nothing_behind(spark, database):
+    from dimkeeper.plans.dimension_jobs import run_scd1
+    from dimkeeper.plans.layers import load_dimension
+    from dimkeeper.sources import scratch
+
+    snapshot = table_of(spark, 6).selectExpr("*", "'1' AS is_active", "DATE'2025-11-30' AS etl_date")
+    before = len(scratch._made.get(spark.sparkContext.applicationId, []))
+    for kind in ("scd2", "scd4"):
+        seen = []
+        assert load_dimension(spark, snapshot, f"{database}.{kind}", ["id"], D1, kind, publish=seen.append) is None
+        assert load_dimension(spark, snapshot, f"{database}.{kind}", ["id"], D2, kind, publish=seen.append) == 0
+        assert len(seen) == 1
+    run_scd1(spark, snapshot.drop("is_active", "etl_date"), f"{database}.one", ["id"], D1)
+    assert len(scratch._made.get(spark.sparkContext.applicationId, [])) == before
