@@ -62,7 +62,7 @@ def scan(chunk: tx.Chunk, unit: Unit) -> Scan:
     n = max(0, len(sequence) - unit.window + 1)
     at = np.flatnonzero(np.arange(n) + unit.window <= first[row[:n] + 1])
     grams = tx.Prefix.of(sequence).windows(unit.gram)
-    low = np.uint64((1 << max(1, len(grams).bit_length())) - 1)
+    low = np.uint64((1 << 32) - 1)  # the same bits decide in every chunk, or equal windows would differ in their anchors
     keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     best = (tx.sliding_min(keys, unit.window - unit.gram + 1)[at] & low).astype(np.int64)
     return Scan(sequence, second, first, at, row[at], best, grams[best])
@@ -128,14 +128,38 @@ def _member(rows: np.ndarray, values: np.ndarray, asked: np.ndarray, asked_rows:
     return known[np.minimum(np.searchsorted(known, mine), len(known) - 1)] == mine
 
 
-def same_segments(twin: np.ndarray, ids: np.ndarray, marks: np.ndarray, starts: np.ndarray, unit: Unit) -> tuple[np.ndarray, np.ndarray]:
-    """Among equal segments: those that an earlier one covers wholly, and those to be looked at further."""
+def _like_first(order: np.ndarray, at: np.ndarray, payload: np.ndarray, begin: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Of segments in groups ``order[at[i]:at[i + 1]]``, which have the content of their group's first one."""
+    first = np.repeat(order[at[:-1]], np.diff(at))
+    out = weight[order] == weight[first]
+    other = np.flatnonzero(out & (order != first))
+    for part in np.array_split(other, max(1, int(weight[order[other]].sum()) >> 22)):
+        if not len(part):
+            continue
+        mine, size = order[part], weight[order[part]]
+        differ = payload[ranges(begin[mine], size)] != payload[ranges(begin[first[part]], size)]
+        differ = differ.any(axis=1) if differ.ndim > 1 else differ
+        out[part] = np.add.reduceat(differ, np.cumsum(size) - size) == 0
+    return out
+
+
+def same_segments(
+    twin: np.ndarray, ids: np.ndarray, marks: np.ndarray, starts: np.ndarray, unit: Unit, payload: np.ndarray, begin: np.ndarray, weight: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Among equal segments: those that an earlier one covers wholly, and those to be looked at further.
+
+    Hashes bring equal segments together, their content decides; one that only shares the hashes is looked at further.
+    """
     order = np.lexsort((starts, marks, ids, twin[:, 1], twin[:, 0]))
     t, i, m = twin[order], ids[order], marks[order]
     at = tx.groups(t[:, 0], t[:, 1])
     done = i > np.repeat(i[at[:-1]], np.diff(at))
     if unit.within:
         done[1:] |= (t[1:] == t[:-1]).all(axis=1) & (i[1:] == i[:-1]) & (m[1:] == m[:-1]) & (starts[order][1:] > starts[order][:-1])
+    if len(order):
+        like = _like_first(order, at, payload, begin, weight)
+        like[1:] &= like[:-1] | (order[1:] == np.repeat(order[at[:-1]], np.diff(at))[1:]) | (i[1:] > np.repeat(i[at[:-1]], np.diff(at))[1:])
+        done &= like
     out = np.zeros(len(order), bool)
     out[order] = done
     return out, ~out
@@ -149,7 +173,7 @@ def _found(unit: Unit, n_buckets: int, dtype: type, width: int) -> Callable:
         payload = np.concatenate(payloads)
         payloads.clear()
         begin = np.cumsum(out["weight"]) - out["weight"]
-        done, left = same_segments(out["twin"], out["doc_id"], out["mark"], out["start"], unit)
+        done, left = same_segments(out["twin"], out["doc_id"], out["mark"], out["start"], unit, payload, begin, out["weight"])
         bucket = sh.bucket_of(out["anchor"], n_buckets)
         rows: dict[str, list] = {n: [] for n in ("bucket", "anchor", "doc_id", "mark", "start", "size", "twin", "payload", "done")}
         order = np.lexsort((out["anchor"], bucket))  # like beside like, for the shuffle's compression
@@ -231,7 +255,8 @@ def _decided(unit: Unit, dtype: type, width: int, decide: Decide) -> Callable:
         weight = all_.size if unit.words else all_.size + unit.window - 1
         all_.begin = np.cumsum(weight) - weight
         spans = [sh.unpacked(table, "done", np.int64, 4).reshape(-1, 4)]
-        done, left = same_segments(sh.unpacked(table, "twin", np.uint64, 2).reshape(-1, 2), all_.doc_id, all_.mark, all_.start, unit)
+        twin = sh.unpacked(table, "twin", np.uint64, 2).reshape(-1, 2)
+        done, left = same_segments(twin, all_.doc_id, all_.mark, all_.start, unit, all_.payload, all_.begin, weight)
         spans.append(np.stack([all_.doc_id, all_.mark, all_.start, all_.start + all_.size + unit.window - 1], axis=1)[done])
         rest = np.flatnonzero(left)
         rest = rest[np.argsort(all_.anchor[rest], kind="stable")]

@@ -1,8 +1,12 @@
 """Vectorised text primitives over Arrow string columns: words, rolling hashes, sliding minima.
 
-All hashes are polynomial (Rabin-Karp) hashes modulo 2**64 over a fixed random byte table, followed
-by a bit mixer. The odd base has an inverse, so that the hash of any stretch is a difference of two
-prefix sums. Everything works on chunks of whole documents of about ``CHUNK`` bytes.
+A word's hash is a sum over its bytes of a random number for the byte times another for its place: the
+places' numbers are independent, so no pattern of bytes cancels out, however long. Stretches of words
+or bytes have polynomial (Rabin-Karp) hashes modulo 2**64. The odd base has an inverse, so that the
+hash of any stretch is a difference of two prefix sums. Such a polynomial loses bits on self-similar
+sequences of two values as they grow (at 2,048 places all of them), so only stretches of a few hundred
+places are hashed by it, and where equality of whole segments is decided, their content is compared.
+Everything works on chunks of whole documents of about ``CHUNK`` bytes.
 """
 
 from __future__ import annotations
@@ -51,6 +55,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+_place_keys: list[np.ndarray] = [np.zeros(0, _U), np.zeros(0, _U)]
+
+
+def place_keys(n: int, table: int) -> np.ndarray:
+    """Random odd numbers for the first ``n`` places of a word."""
+    if len(_place_keys[table]) < n:
+        seed = _U(0xA0761D6478BD642F if table else 0xE7037ED1A0B428DB)
+        _place_keys[table] = mix(np.arange(1, max(n, 4096) + 1, dtype=_U) * _U(0x9E3779B97F4A7C15) ^ seed) | _U(1)
+    return _place_keys[table]
+
+
 @dataclass
 class Prefix:
     """Prefix sums of a sequence of numbers, for the hash of any stretch of it."""
@@ -113,7 +128,15 @@ class Words:
     first: np.ndarray  # of each row, the number of its first word; one more at the end
 
     def hashes(self, data: np.ndarray, table: int = 0) -> np.ndarray:
-        return mix(Prefix.of(byte_values(data, table)).stretch(self.start, self.end))
+        if not len(self.start):
+            return np.zeros(0, _U)
+        place = np.zeros(len(data), np.int64)
+        place[self.start] = self.start
+        place = np.arange(len(data)) - np.maximum.accumulate(place)  # of the byte in its word; elsewhere not used
+        longest = int((self.end - self.start).max())
+        sums = np.zeros(len(data) + 1, _U)
+        np.cumsum(byte_values(data, table) * place_keys(longest, table)[np.minimum(place, longest - 1)], out=sums[1:])
+        return mix(sums[self.end] - sums[self.start])
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -168,6 +191,8 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 def binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """``values[offsets[i]:offsets[i + 1]]`` as the bytes of row ``i``."""
     values = np.ascontiguousarray(values)
+    if values.nbytes >= 1 << 31:
+        raise OverflowError("more than 2 GiB of packed values; the text of one row is too long for them")
     at = (offsets * values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1)).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(at), pa.py_buffer(values)])
 

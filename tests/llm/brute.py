@@ -31,8 +31,8 @@ def shingles(text, n=3):
     return frozenset(tuple(words[k : k + n]) for k in range(len(words) - n + 1))
 
 
-def ngram_join(docs, percent=90):
-    sets = {i: shingles(t) for i, t in docs}
+def ngram_join(docs, percent=90, n=3):
+    sets = {i: shingles(t, n) for i, t in docs}
     linked = [
         (a, b)
         for a in sets

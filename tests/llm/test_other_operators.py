@@ -35,8 +35,11 @@ def test_resample_prefers_target_text_and_takes_a_share(spark):
     docs = [(i, " ".join(rng.choices(bad if i % 5 == 0 else good, k=40))) for i in range(500)]
     labels = [(i, int(i % 5 != 0), 0) for i in range(0, 500, 3)] + [(1, None, None), (None, 1, 0)]
     rows = quality.resample(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
-    assert 400 <= sum(r["selected"] for r in rows) <= 420
-    assert all(r["selected"] for r in rows if r["doc_id"] % 5)
+    # The cut comes from some 27 rows held out; a share of 0.025 of them, at worst about their least, lies below it.
+    assert 360 <= sum(r["selected"] for r in rows) <= 400
+    assert not any(r["selected"] for r in rows if r["doc_id"] % 5 == 0)
+    half = quality.resample(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), keep=0.5)
+    assert 250 <= half.where("selected").count() <= 260
 
 
 def test_resample_edges(spark):
@@ -60,13 +63,25 @@ def test_kth_largest(spark, monkeypatch, few):
 
 def test_resample_on_held_out_labels(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    odd = labels.where("doc_id % 2 = 1").select("doc_id", F.col("quality").alias("q"))
+    odd = labels.where("doc_id % 2 = 1").selectExpr("doc_id", "CASE WHEN quality = 0 THEN 0 WHEN toxic = 0 THEN 1 END AS q").where("q IS NOT NULL")
     found = quality.resample(docs, labels.where("doc_id % 2 = 0")).join(odd, "doc_id").groupBy("q", "selected").count().collect()
     n = {(r["q"], r["selected"]): r["count"] for r in found}
-    assert n[1, True] >= 0.97 * sum(v for (q, _), v in n.items() if q == 1)
+    assert n[1, True] >= 0.9 * sum(v for (q, _), v in n.items() if q == 1)  # some 160 good rows to learn from
     assert n[0, False] >= 0.7 * sum(v for (q, _), v in n.items() if q == 0)
 
 
+def test_resample_rejects_poor_and_toxic_rows_that_it_has_not_seen(spark):
+    """Of the labels one half trains the model, the other judges it."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    odd = labels.where("doc_id % 2 = 1").selectExpr("doc_id", "quality AS q", "toxic AS t")
+    found = quality.resample(docs, labels.where("doc_id % 2 = 0")).join(odd, "doc_id")
+    n = {(r["q"], r["t"], r["selected"]): r["count"] for r in found.groupBy("q", "t", "selected").count().collect()}
+    share = lambda keep, of: sum(v for k, v in n.items() if of(k) and k[2] == keep) / sum(v for k, v in n.items() if of(k))
+    assert share(False, lambda k: k[0] == 0) >= 0.9
+    assert share(False, lambda k: k[1] == 1) >= 0.88  # one toxic row in eight has no word that good text lacks
+    assert share(False, lambda k: k[0] == 1 and k[1] == 0) <= 0.035
+
+
 # --- mixing ------------------------------------------------------------------------------------------------
 
 
@@ -105,6 +120,24 @@ def test_mixing_equals_plain_fitting_and_meets_its_targets(spark):
     assert not any(r["copies"] for r in rows if r["source"] is None)
 
 
+def test_mixing_says_when_targets_cannot_be_met(spark):
+    docs = [(i, "w w", "ab"[i % 2], "xy"[i % 2]) for i in range(40)]  # source and language always go together
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    against = {"source": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.9, "y": 0.1}}
+    with pytest.warns(UserWarning, match="cannot be met together"):
+        mixing.mix_sources(frame, against).count()
+    with pytest.raises(ValueError, match="source by"):
+        mixing.mix_sources(frame, against, strict=True)
+    slow = [(i, "w " * (1 + (i * 37) % 50), "abc"[i % 3], "xyz"[(i // 3) % 3] if i % 11 else "x") for i in range(400)]
+    frame = spark.createDataFrame(slow, "doc_id long, text string, source string, lang string")
+    wanted = {"source": {"a": 0.8, "b": 0.15, "c": 0.05}, "lang": {"x": 0.05, "y": 0.05, "z": 0.9}}
+    rows = mixing.mix_sources(frame, wanted, tolerance=1e-6, strict=True).collect()
+    total = sum(r["n_tokens"] for r in rows)
+    for margin, targets in wanted.items():
+        for value, share in targets.items():
+            assert sum(r["factor"] * r["n_tokens"] for r in rows if r[margin] == value) == pytest.approx(share * total, rel=1e-5)
+
+
 def test_mixing_edges(spark):
     schema = "doc_id long, text string, source string, lang string"
     rows = [(1, None, None, None), (1, None, None, None), (2, "", "a", "en"), (None, "a b", "a", "en")]
@@ -228,6 +261,13 @@ def test_near_duplicates_edges(spark):
     assert neighbour_graph.near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_near_duplicates_of_one_id_with_several_vectors(spark):
+    schema = "vec_id long, embedding array<double>, label int"
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.1], 1), (3, [0.1, 1.0], 1), (4, [-1.0, 0.0], 1)]
+    out = neighbour_graph.near_duplicates(spark.createDataFrame(rows, schema)).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 0, 4)]
+
+
 # --- conversations -----------------------------------------------------------------------------------------
 
 TALKS = [
@@ -312,7 +352,7 @@ def test_pipeline_equals_its_plain_version(spark):
     frame = spark.read.parquet(f"{SF}/documents.parquet")
     selected = {r["doc_id"] for r in quality.resample(frame, spark.read.parquet(f"{SF}/labels.parquet")).where("selected").collect()}
     left = [(i, docs[i]["text"]) for i in sorted(selected)]
-    left = [(i, t) for (i, t), (_, c) in zip(left, brute.ngram_join(left).values(), strict=True) if i == c]
+    left = [(i, t) for (i, t), (_, c) in zip(left, brute.ngram_join(left, percent=80, n=5).values(), strict=True) if i == c]
     hits = brute.contamination(left, items)
     left = [(i, t) for i, t in left if not (hits[i][1] and 20 * hits[i][1] >= hits[i][0])]
     out = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}

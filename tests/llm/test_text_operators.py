@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from dimkeeper.llm import decontamination as dc
 from dimkeeper.llm import fm_index, ngram_join, secret_scan, suffix_dedup
+from dimkeeper.llm import repeats as rp
+from dimkeeper.llm import shuffle as sh
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.substring_dedup import remove_repeated_words
 from dimkeeper.llm.suffix_dedup import remove_repeated_bytes
@@ -185,3 +188,104 @@ def test_empty_tables(spark):
     tests = spark.createDataFrame([(1, "a")], "item_id long, text string")
     for out in (ngram_join.ngram_components(empty), remove_repeated_words(empty), remove_repeated_bytes(empty), dc.find_contamination(empty, tests), secret_scan.find_secrets(empty)):
         assert out.count() == 0
+
+
+# --- hashes, repeated ids, long texts ------------------------------------------------------------------------
+
+
+def thue_morse(n, letters="ab"):
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return "".join(letters[b] for b in bits[:n])
+
+
+@pytest.mark.parametrize("size", [512, 1024, 4096])
+def test_self_similar_words_are_told_apart(spark, size):
+    """A polynomial hash modulo 2**64 takes these two words for one."""
+    one, other = thue_morse(size), thue_morse(size, "ba")
+    filler = [f"w{k}" for k in range(60)]
+    docs = [(1, " ".join([*filler[:20], one, *filler[20:]])), (2, " ".join([*filler[:20], other, *filler[20:]])), (3, one), (4, other), (5, f"{one} {other}"), (6, f"{one} {one} {one}")]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.ngram_components(frame).collect()} == brute.ngram_join(docs)
+    found = remove_repeated_words(frame, 50).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in found} == brute.repeated_words(docs, 50)
+    items = [("x", one), ("y", " ".join([other, *filler[20:40]]))]
+    hits = dc.find_contamination(frame, spark.createDataFrame(items, "item_id string, text string")).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in hits} == brute.contamination(docs, items)
+    kept = remove_repeated_bytes(frame).collect()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in kept} == brute.repeated_bytes(docs)
+
+
+def test_segments_with_one_hash_are_told_apart_by_their_content():
+    unit = rp.Unit(words=False, window=4, gram=2, within=True)
+    payload = np.frombuffer(b"abcdeabcdeabcdXabcde", np.uint8)
+    twin = np.full((4, 2), 7, np.uint64)
+    ids, marks, starts = np.array([1, 2, 3, 3]), np.zeros(4, np.int64), np.array([0, 0, 0, 9])
+    begin, weight = np.arange(4) * 5, np.full(4, 5)
+    done, left = rp.same_segments(twin, ids, marks, starts, unit, payload, begin, weight)
+    assert done.tolist() == [False, True, False, True] and left.tolist() == [True, False, True, False]
+
+
+def test_one_id_with_several_texts_loses_no_link(spark):
+    base = [f"w{k}" for k in range(40)]
+    texts = [" ".join(base), " ".join(base[:-1]), " ".join(reversed(base)), " ".join(list(reversed(base))[:-1])]
+    docs = [(1, texts[0]), (1, texts[2]), (2, texts[1]), (3, texts[3]), (4, "other words")]
+    rows = ngram_join.ngram_components(spark.createDataFrame(docs, SCHEMA)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in rows) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+def test_buckets_are_not_capped():
+    class Conf:
+        conf = {"spark.sql.shuffle.partitions": "50000"}
+
+    n = sh.buckets(Conf)
+    numbers = sh.bucket_of(np.arange(1 << 20, dtype=np.uint64) << np.uint64(32), n)
+    assert n == 200_000 and numbers.max() == n - 1 and numbers.min() == 0
+
+
+def test_secrets_of_a_long_text(spark):
+    """Over 100,000 characters with thousands of spans of all kinds, some of which touch; time follows the length."""
+    rng = random.Random(6)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(rng.randrange(10, 30))) for _ in range(3000)]
+    words = [rng.choice([h, f"password = {h}", f"AKIA{h.upper()}", "plain é words ß"]) for h in hexes]
+    text = rng.choice(["x ", ""]) + " ".join(words)
+    row = secret_scan.find_secrets(spark.createDataFrame([(1, text)], SCHEMA)).select("*", secret_scan.redacted(F.col("text"), F.col("secret_spans")).alias("clean")).first()
+    base = [(s["start"], s["kind"], s["end"]) for s in row["base_spans"]]
+    assert base == sorted(brute.secrets(text)) and len(base) > 2000
+    spans = [(s["start"], s["kind"], s["end"]) for s in row["secret_spans"]]
+    assert spans == sorted(spans) and set(base) <= set(spans)
+    plain, at = "", 0
+    for start, _, end in spans:
+        if start >= at:
+            plain += text[at:start] + "[SECRET]"
+        at = max(at, end)
+    assert row["clean"] == plain + text[at:]
+
+
+def test_model_spans_are_those_of_a_plain_likelihood_ratio(spark):
+    rng = random.Random(12)
+    tokens = ["".join(rng.choice("ABCDEFabcdefXYZxyz0123456789+/") for _ in range(rng.randrange(15, 45))) for _ in range(60)]
+    words = ["international", "characteristically-2024-edition", "configuration_values_2020", "src/main/resources/v2/index"]
+    docs = [(i, " ".join(rng.choice([rng.choice(tokens), rng.choice(words), f"token: {tokens[i % 60]}"]) for _ in range(12))) for i in range(40)]
+    labelled = [(t, 1) for t in tokens[:30]] + [(w, 0) for w in words * 5]
+    frame = spark.createDataFrame(labelled, "string string, label int")
+    ratios = secret_scan.train(frame)
+    size, place = len(secret_scan.ALPHABET), {c: k for k, c in enumerate(secret_scan.ALPHABET)}
+
+    def ratio(string):
+        return sum(ratios[place[a] * size + place[b]] for a, b in zip(string, string[1:], strict=False))
+
+    found = secret_scan.find_secrets(spark.createDataFrame(docs, SCHEMA), labelled=frame).collect()
+    some = 0
+    for row in found:
+        text = row["text"]
+        base = brute.secrets(text)
+        model = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+            apart = not any(s < m.end() and m.start() < e for s, _, e in base)
+            if apart and re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) and ratio(m[0]) > 10:
+                model.append((m.start(), 3, m.end()))
+        some += len(model)
+        assert [(s["start"], s["kind"], s["end"]) for s in row["secret_spans"]] == sorted(base + model)
+    assert some > 20
