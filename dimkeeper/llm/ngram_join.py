@@ -144,11 +144,11 @@ def _summed_counts(table: pa.Table) -> pa.Table:
 def _sets(n: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = sh.columns_of(batch, "doc_id", "text")
+            rows, texts = sh.columns_of(batch, "row", "text")
             for chunk in tx.chunks(texts):
                 values, first = shingles(chunk, n)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(chunk.first, chunk.rows), pa.array(np.diff(first), pa.int64()), tx.binaries(values, first)], names=["row", "n", "grams"]
+                    [rows.slice(chunk.first, chunk.rows), pa.array(np.diff(first), pa.int64()), tx.binaries(values, first)], names=["row", "n", "grams"]
                 )
 
     return run
@@ -291,8 +291,9 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     parts = max(1, buckets // 4)
     profiles = materialise(rows.mapInArrow(_profiles(n), "doc_id long, mark long, n_shingles long, name binary"))
     known = rows.where("doc_id IS NOT NULL")
+    # A set's row has a number of its own: an id may come with several texts. Stored, the numbers stay.
     classes = profiles.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("name", "n_shingles").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
-    classes = materialise(classes.select("name", "n_shingles", F.col("one.doc_id").alias("row"), F.col("one.mark").alias("mark")))
+    classes = materialise(classes.select("name", "n_shingles", "one.doc_id", "one.mark", F.monotonically_increasing_id().alias("row")))
 
     counts = (
         known.mapInArrow(_prefix_columns(n, percent, buckets), "bucket int, gram binary, doc_id binary, mark binary")
@@ -303,9 +304,9 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     )
     # A partner may be smaller, and then only its number is sure to be shared.
     least = F.expr(f"(n_shingles * {percent} + 99) div 100 * {100 - percent} div 200 + 1")
-    left = classes.withColumnRenamed("row", "doc_id").join(counts, ["doc_id", "mark"]).where(F.col("shared") >= least)
-    texts = known.join(left.select("doc_id", "mark"), ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
-    sets = materialise(texts.mapInArrow(_sets(n), "row long, n long, grams binary"))
+    left = classes.join(counts, ["doc_id", "mark"]).where(F.col("shared") >= least)
+    texts = known.join(left.select("doc_id", "mark", "row"), ["doc_id", "mark"]).dropDuplicates(["row"])
+    sets = materialise(texts.select("row", "text").mapInArrow(_sets(n), "row long, n long, grams binary"))
 
     rare = materialise(
         sets.mapInArrow(_columns(buckets), COLUMNS_FORM)
@@ -315,7 +316,7 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
         .applyInArrow(_rare(percent), "row long, gram long")
     )
 
-    # Each row goes beside the first row (by id) that it shares the most rare n-grams with.
+    # Each row goes beside the first row (by number) that it shares the most rare n-grams with.
     heads = rare.groupBy("gram").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     votes = rare.join(heads, "gram").groupBy("row", "head").count()
     beside = votes.groupBy("row").agg(F.max_by("head", F.struct("count", -F.col("head"))).alias("head"))
@@ -342,8 +343,9 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     across = outer.join(sets, "row").groupBy("x", "y").applyInArrow(product, "a long, b long")
 
     groups = components(inner.unionByName(materialise(across)))
-    found = classes.join(groups.withColumnRenamed("node", "row"), "row", "left")
-    found = found.select("name", F.coalesce("component", "row").alias("found"))
+    found = classes.select("name", "doc_id", "row").join(groups.withColumnRenamed("node", "row"), "row", "left")
+    least_id = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    found = found.join(least_id, "component", "left").select("name", F.coalesce("least", "doc_id").alias("found"))
     result = profiles.join(found, "name", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id")
     return result.select("doc_id", "mark", "n_shingles", own)
