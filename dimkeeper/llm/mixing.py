@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,9 @@ from dimkeeper.sources.scratch import materialise
 
 MARGINS = ("source", "lang", "topic")
 
+#: Rounds between two looks at the margins; one plan.
+_ROUNDS_AT_ONCE = 4
+
 NEW = ("topic", "n_tokens", "factor", "copies")
 
 
@@ -41,13 +45,26 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return sums.select(margin, F.pow("n", F.lit(power)).alias("target"))
 
 
-def fit(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12) -> DataFrame:
+def margin_gaps(fitted: DataFrame, margins: list[str], total: float) -> dict[str, float]:
+    """Of each margin the largest relative gap between a value's weight and its target."""
+    gaps = {}
+    for margin in margins:
+        sums = fitted.groupBy(margin).agg(F.sum("weight").alias("have"), F.first(f"__{margin}").alias("share")).where("share > 0")
+        gaps[margin] = sums.agg(F.max(F.abs(F.col("have") / (F.col("share") * F.lit(total)) - 1))).first()[0] or 0.0
+    return gaps
+
+
+def fit(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 200, tolerance: float = 1e-3, strict: bool = False) -> DataFrame:
     """Rake the cells' tokens to the target shares of each margin.
 
     ``cells`` has one row for each combination of the margins, with its tokens; ``targets`` gives
     (margin, target), in any scale. A value without a target gets none of the weight; a target
     without tokens cannot be met and the others keep their proportions. Each round scales the
     weights to one margin after the other. Adds weight, of which the sum is that of the tokens.
+
+    Rounds go on until no value's weight is off its target by more than ``tolerance`` of it. Targets that
+    cannot be met together (the gap no longer shrinks, or ``rounds`` are over) are an error with ``strict``;
+    else a warning names the margins and how far they are off, and the margin raked last is met.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     table = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
@@ -59,12 +76,25 @@ def fit(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12) ->
         table = table.join(share, table[margin].eqNullSafe(share["__value"]), "left").drop("__value").fillna(0.0, [f"__{margin}"])
         shares.append(margin)
     table = materialise(table)
-    for k in range(rounds):
-        for margin in shares:
-            have = F.sum("weight").over(Window.partitionBy(margin))
-            table = table.withColumn("weight", F.when(have > 0, F.col("weight") * F.lit(float(total)) * F.col(f"__{margin}") / have).otherwise(0.0))
-        if k % 4 == 3:
-            table = materialise(table)
+    last = float("inf")
+    for done in range(0, rounds, _ROUNDS_AT_ONCE):
+        for _ in range(_ROUNDS_AT_ONCE):
+            for margin in shares:
+                have = F.sum("weight").over(Window.partitionBy(margin))
+                table = table.withColumn("weight", F.when(have > 0, F.col("weight") * F.lit(float(total)) * F.col(f"__{margin}") / have).otherwise(0.0))
+        table = materialise(table)
+        gaps = margin_gaps(table, shares, float(total)) if total else {}
+        gap = max(gaps.values(), default=0.0)
+        if gap <= tolerance:
+            break
+        if gap > 0.99 * last or done + _ROUNDS_AT_ONCE >= rounds:
+            off = ", ".join(f"{m} by {g:.3%}" for m, g in gaps.items() if g > tolerance)
+            message = f"the targets cannot be met together: after {done + _ROUNDS_AT_ONCE} rounds a value is off its target in {off}"
+            if strict:
+                raise ValueError(message)
+            warnings.warn(message, stacklevel=2)
+            break
+        last = gap
     return table.drop(*(f"__{m}" for m in shares))
 
 
@@ -73,7 +103,9 @@ def mix_sources(
     targets: Mapping[str, Mapping[str, float]] | None = None,
     power: float = 0.7,
     budget: float = 1.0,
-    rounds: int = 12,
+    rounds: int = 200,
+    tolerance: float = 1e-3,
+    strict: bool = False,
     seed: int = 1,
     source: str = "source",
     lang: str = "lang",
@@ -86,7 +118,8 @@ def mix_sources(
     Tokens are summed by cell (source, lang, topic), the cells' weights are raked to the targets, and a
     document of a cell is drawn ``weight / tokens * budget`` times on average: so often for sure as
     that has whole parts, and once more with the rest as probability, decided by a hash of its id. The
-    expected tokens of every margin's value thus meet its target.
+    expected tokens of every margin's value thus meet its target within ``tolerance``; where the targets contradict
+    each other, ``fit`` warns, or with ``strict`` fails.
 
     ``targets`` maps source, lang or topic to shares by value; without it a margin's target is the
     ``power``-th power of its tokens. ``topic`` names a column; without it the form of the text counts.
@@ -109,7 +142,7 @@ def mix_sources(
             wanted[margin] = spark.createDataFrame([(v, float(x)) for v, x in targets[margin].items()], f"{margin} string, target double")
         else:
             wanted[margin] = tempered(cells, margin, power)
-    fitted = fit(cells, wanted, rounds).select(*(F.col(m).alias(f"__cell_{m}") for m in MARGINS), (F.col("weight") / F.col("tokens")).alias("__factor"))
+    fitted = fit(cells, wanted, rounds, tolerance, strict).select(*(F.col(m).alias(f"__cell_{m}") for m in MARGINS), (F.col("weight") / F.col("tokens")).alias("__factor"))
     rows = docs.select(*(c for c in docs.columns if c not in NEW), *(c.alias(f"__{m}") for m, c in names.items()), n_tokens(F.col(text)).alias("n_tokens"))
     same = [F.col(f"__{m}").eqNullSafe(F.col(f"__cell_{m}")) for m in MARGINS]
     mixed = rows.join(fitted, same[0] & same[1] & same[2], "left").withColumn("factor", F.coalesce("__factor", F.lit(1.0)))
