@@ -1,12 +1,15 @@
 """Secret scans: fixed patterns, and random-looking strings by the likelihood ratio of Markov models.
 
 Built-in expressions only. Places come from splitting a text at the matches of a pattern: lengths of
-the pieces between and of the matches add up to code-point offsets.
+the pieces between and of the matches add up to code-point offsets. Sums and maxima over the spans of
+a text are taken by doubling, and pieces of a text are cut from blocks of it, so that the work grows in
+proportion to the length of a text (times the logarithm of the number of its spans).
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,25 +28,70 @@ STRING = "[A-Za-z0-9+/_=-]"
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _places(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
-    """Matches of which the group has a least length, as (start, kind, end)."""
+#: Characters of a block that pieces of a text are cut from; a place in a string is found by counting from its start.
+BLOCK = 512
+
+STRUCT = "struct<start:int,kind:int,end:int>"
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where lambdas use it for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, neutral: int, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` over all values up to each place of an array of int, by doubling the reach: 1, 2, 4, ... places."""
+    none = F.lit(neutral).cast("int")
+
+    def step(acc: Column, reach: Column) -> Column:
+        earlier = F.concat(F.array_repeat(none, reach), F.slice(acc, 1, F.size(acc) - reach))
+        return F.zip_with(acc, earlier, lambda a, b: F.coalesce(join(a, b), none))
+
+    def doubled(held: Column) -> Column:
+        n = F.size(held)
+        return F.aggregate(F.filter(F.array(*(F.lit(1 << k) for k in range(31))), lambda reach: reach < n), held, step)
+
+    return _let(F.transform(values, lambda v: F.coalesce(v.cast("int"), none)), doubled)
+
+
+def _before(running: Column, neutral: int) -> Column:
+    """What ran up to the place before."""
+    none = F.array(F.lit(neutral).cast("int"))
+    return _let(running, lambda r: F.concat(none, F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0)))))
+
+
+def _matches(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
+    """Matches of which the group has a least length, as (span, hit: the matched text)."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     valued = hits if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gaps = F.split(text, pattern, -1)
-    parts = F.arrays_zip(hits.alias("hit"), valued.alias("value"), F.slice(gaps, 1, F.size(hits)).alias("gap"))
-    parts = F.transform(
-        parts,
-        lambda p: F.struct(F.length(p["gap"]).alias("gap"), F.length(p["hit"]).alias("hit"), (F.length(p["value"]) >= least).alias("ok")),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
 
-    def step(acc: Column, p: Column) -> Column:
-        begin = acc["at"] + p["gap"]
-        end = begin + p["hit"]
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(p["ok"], F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
+    def found(p: Column) -> Column:
+        span = F.struct((p["end"] - F.length(p["hit"])).alias("start"), F.lit(kind).alias("kind"), p["end"].alias("end"))
+        return F.struct(span.cast(STRUCT).alias("span"), p["hit"].alias("hit"))
+
+    def located(m: Column) -> Column:
+        lengths = F.zip_with(m["hits"], m["gaps"], lambda hit, gap: F.length(hit) + F.length(gap))  # a last gap without a hit: null
+        parts = F.arrays_zip(m["hits"].alias("hit"), m["values"].alias("value"), _running(lengths, 0, lambda a, b: a + b).alias("end"))
+        return F.transform(F.filter(parts, lambda p: F.length(p["value"]) >= least), found)
+
+    return _let(F.struct(hits.alias("hits"), valued.alias("values"), F.split(text, pattern, -1).alias("gaps")), located)
+
+
+def _places(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
+    """The spans (start, kind, end) alone."""
+    return F.transform(_matches(text, pattern, kind, group, least), lambda m: m["span"])
 
-    return F.aggregate(parts, start, step, lambda acc: acc["found"])
+
+def _blocks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _piece(blocks: Column, start: Column, end: Column) -> Column:
+    """The text from one code point to another, from its blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    last = F.floor((end - 1) / BLOCK).cast("int")
+    near = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+    return F.when(end > start, F.substring(near, start - first * BLOCK + 1, end - start)).otherwise("")
 
 
 def _none() -> Column:
@@ -74,7 +122,7 @@ def samples(found: DataFrame, text: str) -> DataFrame:
     hits = found.where("size(assign_spans) + size(access_spans) + size(hex_spans) > 0")
     spans = F.concat("assign_spans", "access_spans", "hex_spans")
     body = F.col(text)
-    cut = F.transform(spans, lambda s: F.substring(body, s["start"] + 1, s["end"] - s["start"]))
+    cut = _let(_blocks(body), lambda blocks: F.transform(spans, lambda s: _piece(blocks, s["start"], s["end"])))
     value = F.transform(cut, lambda c: F.regexp_extract(c, f"({STRING}+)$", 1))
     secret = hits.select(F.explode(value).alias("string"), F.lit(1).alias("label"))
     words = F.regexp_extract_all(body, F.lit(f"{STRING}{{6,}}"), F.lit(0))
@@ -125,16 +173,26 @@ def likelihood_ratio(string: Column, ratios: list[float]) -> Column:
 
 
 def _markov(text: Column, base: Column, ratios: list[float], least: int, threshold: float) -> Column:
-    """Long strings with a letter and a digit that look random and touch no base span."""
-    found = F.when(text.rlike(f"{STRING}{{{least}}}"), _places(text, f"{STRING}{{{least},}}", 3, 0, least)).otherwise(_none())
+    """Long strings with a letter and a digit that look random and touch no (sorted) base span."""
 
-    def random(span: Column) -> Column:
-        string = F.substring(text, span["start"] + 1, span["end"] - span["start"])
+    def random(match: Column) -> Column:
+        string = match["hit"]
         mixed = string.rlike("[0-9]") & string.rlike("[A-Za-z]")
-        apart = ~F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return mixed & apart & F.coalesce(likelihood_ratio(string, ratios) > threshold, F.lit(False))
+        return mixed & F.coalesce(likelihood_ratio(string, ratios) > threshold, F.lit(False))
+
+    found = F.transform(F.filter(_matches(text, f"{STRING}{{{least},}}", 3, 0, least), random), lambda m: m["span"])
+    most = (1 << 31) - 1
+
+    def apart(every: Column) -> Column:
+        # A string is apart if the base spans before it end by its start, and the next one begins after it.
+        ended = _before(_running(F.transform(every, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), 0, F.greatest), 0)
+        begins = F.transform(F.reverse(every), lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(most))
+        following = F.reverse(_before(_running(begins, most, F.least), most))
+        beside = F.arrays_zip(every.alias("span"), ended.alias("ended"), following.alias("next"))
+        free = F.filter(beside, lambda x: (x["span"]["kind"] == 3) & (x["ended"] <= x["span"]["start"]) & (x["next"] >= x["span"]["end"]))
+        return F.transform(free, lambda x: x["span"])
 
-    return F.filter(found, random)
+    return F.when(text.rlike(f"{STRING}{{{least}}}"), _let(F.array_sort(F.concat(base, found)), apart)).otherwise(_none())
 
 
 def joined(spans: Column) -> Column:
@@ -168,13 +226,12 @@ def find_secrets(docs: DataFrame, text: str = "text", labelled: DataFrame | None
 
 def redacted(text: Column, spans: Column, label: str = "[SECRET]") -> Column:
     """The text with each stretch of sorted spans, where they overlap their union, replaced by a label."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    ends = _running(F.transform(spans, lambda s: s["end"]), 0, F.greatest)
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = (s["start"] >= acc["at"]) | ((acc["at"] == 0) & (s["start"] == 0))
-        between = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        out = F.when(fresh, F.concat(acc["out"], between, F.lit(label))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    def cut(x: Column) -> Column:
+        beside = F.arrays_zip(spans.alias("span"), _before(x["ends"], 0).alias("ended"))
+        first = F.filter(beside, lambda s: s["span"]["start"] >= s["ended"])  # of each union
+        pieces = F.transform(first, lambda s: F.concat(_piece(x["blocks"], s["ended"], s["span"]["start"]), F.lit(label)))
+        return F.concat(F.array_join(pieces, ""), _piece(x["blocks"], F.element_at(x["ends"], -1), F.length(text)))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    return F.when(F.size(spans) > 0, _let(F.struct(_blocks(text).alias("blocks"), ends.alias("ends")), cut)).otherwise(text)
