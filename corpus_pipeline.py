@@ -34,8 +34,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; of repeated rows one."""
-    groups = ngram_components(docs).where("doc_id IS NOT NULL")
+    """One document of each group of near copies (0.8 or more of their five-word shingles), the one with the smallest id; of repeated rows one."""
+    groups = ngram_components(docs, n=5, percent=80).where("doc_id IS NOT NULL")
     first = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", "mark")).alias("one")).select("one.*")
     kept = _chosen(docs.where("doc_id IS NOT NULL"), first, "left_semi").withColumn("__mark", _mark())
     return kept.dropDuplicates(["doc_id", "__mark"]).drop("__mark").unionByName(docs.where("doc_id IS NULL"))
