@@ -48,7 +48,7 @@ from dimkeeper.plans.daily_snapshots import (  # noqa: E402
     orders_days,
     table,
 )
-from dimkeeper.plans.dimension_jobs import run_scd1, run_scd2, run_scd3, run_scd4  # noqa: E402
+from dimkeeper.plans.dimension_jobs import run_feed, run_scd1, run_scd2, run_scd2_any_day, run_scd3, run_scd4  # noqa: E402
 from dimkeeper.plans.fingerprints import diff_by_fingerprint, save_with_fingerprints  # noqa: E402
 from dimkeeper.plans.layers import (  # noqa: E402
     Layers,
@@ -64,7 +64,7 @@ from dimkeeper.plans.layers import (  # noqa: E402
     stamp_source,
 )
 from dimkeeper.plans.ledger import Ledger  # noqa: E402
-from dimkeeper.plans.marts import add_metrics, sales_by_attributes  # noqa: E402
+from dimkeeper.plans.marts import add_metrics, sales_as_of, sales_by_attributes  # noqa: E402
 from dimkeeper.sources.parts import ensure_parted_table, fill_parts, merge_touched_parts, stored_rows  # noqa: E402
 from dimkeeper.sources.read import read_source  # noqa: E402
 from dimkeeper.sources.scratch import materialise, scratch_dir  # noqa: E402
@@ -591,6 +591,16 @@ def q_fact_asof_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts_as_of(_dated_orders(spark, sf_dir), dimension, CUSTOMER_KEYS, "sold_on", ["hometown", "gender"])
 
 
+def q_sales_asof_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by month and by the customer's hometown and gender as of the order's date."""
+    dimension = materialise(_scd2_after(customer_days(spark, sf_dir), CUSTOMER_KEYS))
+    facts = _dated_orders(spark, sf_dir).join(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey")
+    sums = {"n_orders": F.lit(1), "total": F.col("o_totalprice").cast("decimal(18, 2)")}
+    grain = {"month": F.trunc("sold_on", "month")}
+    fact = sales_as_of(facts, dimension, "customer_id", F.col("sold_on"), grain, ["hometown", "gender"], sums)
+    return fact.withColumn("total", F.col("total").cast("double"))
+
+
 def q_layered_run_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Day 2 breaks off in its second mart and is resumed; then the facts change and day 2 is run once more.
 
@@ -651,6 +661,30 @@ def q_scd2_job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def q_scd2_job_late_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored dimension from days 3 and 1, then day 2 with a wrong snapshot, then with its own."""
+    first, second, third = customer_days(spark, sf_dir)
+    name = f"{_new_database(spark)}.customer_dim_scd2"
+    for day, snapshot in [third, first, (second[0], first[1]), second]:
+        run_scd2_any_day(spark, snapshot, name, CUSTOMER_KEYS, day)
+    return spark.table(name)
+
+
+def q_cdc_feed_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of day 1 in 16 parts, brought to day 2 by an ordered feed in two batches that overlap and come late."""
+    (_, first), (_, second) = orders_days(spark, sf_dir)
+    name = f"{_new_database(spark)}.orders"
+    state = feed_state(first)
+    ensure_parted_table(spark, name, state.schema, ORDER_KEYS, 16)
+    fill_parts(spark, state, name, ORDER_KEYS)
+    last = snapshot_diff(first, second, ORDER_KEYS).withColumn("seq", F.lit(2))
+    passing = last.withColumn("o_orderstatus", F.lit("X")).withColumn("op", F.lit("U")).withColumn("seq", F.lit(1))
+    feed = materialise(union_parts([passing, last]))
+    for batch in (feed.where("seq = 2 OR o_orderstatus = 'X'"), feed.where("seq = 1")):
+        run_feed(spark, batch, name, ORDER_KEYS)
+    return live_rows(stored_rows(spark, name))
+
+
 def q_cdc_apply_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changes of days 2 and 3 with sequence numbers: the later ones come first, the earlier ones late, some twice."""
     days = customer_days(spark, sf_dir)

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimkeeper.functions import OPEN_END, parse_run_date
+from dimkeeper.operators.backfill import scd2_backdated
+from dimkeeper.operators.feed import apply_ordered
 from dimkeeper.operators.scd import scd1, scd2, scd3, scd4_parts
+from dimkeeper.sources.parts import merge_touched_parts
 from dimkeeper.sources.scratch import materialised
 from dimkeeper.sources.tables import (
     drop_table,
@@ -96,6 +99,54 @@ def run_scd2(
     return staged_replace(spark, result, table, "end_date", [open_end, day] if again else [open_end], clustered=True, only_if=changes)
 
 
+def run_scd2_any_day(
+    spark: SparkSession,
+    source: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    run_date: dt.date | int | None = None,
+    open_end: dt.date = OPEN_END,
+    buckets: int = 0,
+) -> bool:
+    """Type 2 from snapshots that may come in any order, or again: the result is that of their order by date.
+
+    The days whose snapshots the dimension has seen are kept in ``<table>__days``, as a day without changes leaves
+    no trace in the dimension; so a table must be kept by this job from its first day. The latest day is applied
+    as by ``run_scd2``. An earlier one is spliced in up to the next known day; only partitions that end
+    on it or later are read and replaced. Says whether the table's files were replaced.
+    """
+    day = parse_run_date(run_date)
+    days = f"{table}__days"
+    ensure_table(spark, days, T.StructType([T.StructField("day", T.DateType())]))
+    seen = sorted(r["day"] for r in spark.table(days).distinct().collect())  # one row for each snapshot
+    later = [d for d in seen if d > day]
+    if day not in seen:
+        # Before the dimension: a run that breaks off in between is repeated, and finds its day known already.
+        spark.createDataFrame([(day,)], "day date").write.insertInto(days)
+    if not later:
+        return run_scd2(spark, source, table, keys, day, open_end, buckets)
+    finish_replace(spark, table)
+    _require_known(spark, source, table)
+    stored = spark.table(table).where(F.col("end_date") >= F.lit(day))
+    ends = {r["end_date"] for r in stored.select("end_date").distinct().collect()}
+    with materialised(source) as snapshot:
+        result = scd2_backdated(stored, snapshot, keys, day, later[0], open_end)
+        return staged_replace(spark, result, table, "end_date", sorted({*ends, day, later[0]}))
+
+
+def run_feed(spark: SparkSession, feed: DataFrame, table: str, keys: Sequence[str], seq_col: str = "seq", op_col: str = "op") -> list[int]:
+    """Apply an ordered change feed to a table in parts (see ``sources.parts``) that holds a feed's state.
+
+    Batches may overlap, repeat and come in any order. Only the parts that the feed touches are read and
+    rewritten; returns their numbers.
+    """
+    finish_replace(spark, table)
+    known = {c.lower() for c in spark.table(table).columns}
+    if more := [c for c in feed.columns if c.lower() not in {*known, seq_col.lower(), op_col.lower()}]:
+        raise ValueError(f"{table} lacks feed column(s) {', '.join(more)}")
+    return merge_touched_parts(spark, feed, table, keys, lambda state, changes, k: apply_ordered(state, changes, k, seq_col, op_col))
+
+
 def run_scd3(
     spark: SparkSession,
     source: DataFrame,

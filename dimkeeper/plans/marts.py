@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkeeper.functions import require_free, with_unique_keys
+from dimkeeper.operators.asof import facts_as_of
 
 
 def add_metrics(
@@ -54,3 +55,33 @@ def sales_by_attributes(
         .groupBy(*grain, *[F.coalesce(F.col(a), F.lit(unknown)).alias(a) for a in attributes])
         .agg(*[F.sum(name).alias(name) for name in sums])
     )
+
+
+def sales_as_of(
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    date: Column,
+    grain: Mapping[str, Column],
+    attributes: Sequence[str],
+    sums: Mapping[str, Column],
+    unknown: str = "UNKNOWN",
+    start_col: str = "start_date",
+    end_col: str = "end_date",
+) -> DataFrame:
+    """Sums of the facts by grain columns and by the attributes as they were on each fact's date.
+
+    ``dimension`` is of type 2. Facts are first summed by key, date and grain, so a key with a large
+    share of all facts comes to as many rows as it has dates, and these take the version of their date.
+    Facts before, between and after the versions, without a known key or date, and NULL attributes
+    count under ``unknown``; the sums over the result equal those over the facts.
+    """
+    require_free(["sale__date"], [key, *grain, *sums, *attributes], "facts")
+    daily = facts.groupBy(F.col(key), date.alias("sale__date"), *[col.alias(name) for name, col in grain.items()]).agg(
+        *[F.sum(col).alias(name) for name, col in sums.items()]
+    )
+    versions = dimension.select(key, start_col, end_col, *attributes)
+    dated = facts_as_of(daily, versions, [key], "sale__date", attributes, start_col, end_col)
+    return dated.groupBy(*grain, *[F.coalesce(F.col(a), F.lit(unknown)).alias(a) for a in attributes]).agg(
+        *[F.sum(name).alias(name) for name in sums]
+    )

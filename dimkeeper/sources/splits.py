@@ -10,11 +10,14 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimkeeper.sources.read import JdbcSource, read_source
+
 _KINDS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType)
 
 
@@ -74,6 +77,15 @@ def plan_splits(df: DataFrame, column: str, branches: int) -> list[str]:
     return split_predicates(column, quantile_borders(df, column, branches))
 
 
+def split_source(spark: SparkSession, source: JdbcSource, column: str, branches: int) -> JdbcSource:
+    """A JDBC source with planned predicates in the place of a split that the caller would have to know.
+
+    The planning reads the one column over one connection; a source that reads from a sample or an index is as good.
+    """
+    plain = replace(source, column=None, lower=None, upper=None, partitions=1, predicates=None)
+    return replace(plain, predicates=plan_splits(read_source(spark, plain, [column]), column, branches))
+
+
 def read_branches(df: DataFrame, predicates: Sequence[str], number: str = "branch") -> DataFrame:
     """The rows of all branches, with the branch they were read by."""
     parts = [df.where(p).withColumn(number, F.lit(n)) for n, p in enumerate(predicates)]

@@ -280,6 +280,14 @@ ORACLE_SQL: dict[str, str] = {
         select coalesce(hometown, 'UNKNOWN') hometown, count(*) n_orders,
           cast(sum(cast(o_totalprice as decimal(18, 2))) as double) total, 2 n_stg, 2 n_cur, 2 n_dim, 3 n_sales
         from o2 left join d2 on o_custkey = customer_id group by 1""",
+    "sales_asof_fact": f"""with v as ({_SCD2_ALL}),
+        f as (select o_totalprice, case when o_orderkey % 97 = 0 then null else o_custkey end customer_id,
+                case when o_orderkey % 89 = 0 then null else date '2025-11-30' + cast(o_orderkey % 6 as int) - 2 end sold_on from orders)
+        select cast(date_trunc('month', sold_on) as date) as month, coalesce(hometown, 'UNKNOWN') hometown, coalesce(gender, 'UNKNOWN') gender,
+          count(*) n_orders, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) total
+        from f left join v on v.customer_id = f.customer_id and start_date <= sold_on and sold_on < end_date group by 1, 2, 3""",
+    "scd2_job_late_day": _SCD2_ALL,
+    "cdc_feed_job": f"{_ORDERS} select * from o2",
     "scd2_backfill": _SCD2_ALL,
     "scd2_late_day": _SCD2_ALL,
     "scd2_job_rerun": _SCD2_ALL,

@@ -329,3 +329,56 @@ def test_sketches_of_any_range_of_days_come_near_the_exact_count(spark):
         assert near.keys() == exact.keys()
         assert all(abs(near[k] - n) <= error_bound() * n + 1 for k, n in exact.items())
     assert distinct_estimate(stored.where("false"), ["kind"]).collect() == []
+
+
+# --- stored dimensions, feeds and marts ---------------------------------------------------------------------------------
+
+
+def test_a_stored_dimension_takes_days_in_any_order_and_again(spark, database):
+    from dimkeeper.plans.dimension_jobs import run_scd2_any_day
+
+    days = histories(spark, 12, keys=20, days=5)
+    name = f"{database}.dim"
+    for k in (2, 4, 0, 3, 1, 3, 4):
+        run_scd2_any_day(spark, days[k][1] if k != 1 else days[1][1].limit(2), name, ["id"], days[k][0])
+    run_scd2_any_day(spark, days[1][1], name, ["id"], days[1][0])  # corrected
+    assert rows(spark.table(name)) == rows(day_by_day(spark, days))
+    assert sorted(r["day"] for r in spark.table(f"{name}__days").collect()) == [d for d, _ in days]
+
+
+def test_a_feed_rewrites_the_parts_it_touches(spark, database):
+    from dimkeeper.plans.dimension_jobs import run_feed
+    from dimkeeper.sources.parts import ensure_parted_table, fill_parts, stored_rows
+
+    name = f"{database}.state"
+    state = feed_state(spark.createDataFrame([(k, "a", k) for k in range(100)], SCHEMA))
+    ensure_parted_table(spark, name, state.schema, ["id"], 32)
+    fill_parts(spark, state, name, ["id"])
+    schema = f"{SCHEMA}, seq long, op string"
+    late, now = (7, "late", 0, 1, "U"), (7, "x", 1, 3, "U")
+    assert len(run_feed(spark, spark.createDataFrame([now, (8, "gone", 0, 2, "D"), now], schema), name, ["id"])) <= 2
+    run_feed(spark, spark.createDataFrame([late, (8, "back", 0, 1, "I")], schema), name, ["id"])
+    live = {r["id"]: r["town"] for r in live_rows(stored_rows(spark, name)).collect()}
+    assert live[7] == "x" and 8 not in live and len(live) == 99
+    with pytest.raises(ValueError, match="lacks feed column"):
+        run_feed(spark, spark.createDataFrame([(*now, 1)], f"{schema}, more int"), name, ["id"])
+
+
+def test_sales_by_the_attributes_of_their_date_equal_the_facts_in_sum(spark):
+    from dimkeeper.plans.marts import sales_as_of
+
+    dimension = day_by_day(spark, histories(spark, 5))
+    facts = spark.range(4000).selectExpr("IF(id % 3 = 0, 1, CAST(id % 70 AS int)) AS id", "IF(id % 41 = 0, NULL, date_add(DATE'2024-12-30', CAST(id % 12 AS int))) AS sold", "CAST(id % 9 AS decimal(9,2)) AS amount")
+    fact = sales_as_of(facts, dimension, "id", F.col("sold"), {}, ["town"], {"n_sold": F.lit(1), "total": F.col("amount")})
+    plain = facts_as_of(facts, dimension.select("id", "town", "start_date", "end_date"), ["id"], "sold").groupBy(F.coalesce("town", F.lit("UNKNOWN")).alias("town"))
+    assert rows(fact) == rows(plain.agg(F.count(F.lit(1)).alias("n_sold"), F.sum("amount").alias("total")))
+    assert fact.agg(F.sum("n_sold")).first()[0] == 4000
+
+
+def test_a_jdbc_source_gets_planned_predicates(spark, monkeypatch):
+    from dimkeeper.sources import splits
+    from dimkeeper.sources.read import JdbcSource
+
+    monkeypatch.setattr(splits, "read_source", lambda spark, source, columns: spark.range(100).selectExpr("id AS account"))
+    source = splits.split_source(spark, JdbcSource("jdbc:x", "t", column="old", lower=1, upper=2, partitions=2), "account", 4)
+    assert source.column is None and len(source.predicates) == 5 and source.predicates[-1] == "account IS NULL"
