@@ -17,7 +17,8 @@ from dimkeeper.sources.scratch import materialise
 #: Buckets of the hashed n-grams: the first half for words, the second for pairs of words.
 BUCKETS = 1 << 20
 
-SLICES = 32
+#: Rows in which a task sends its counts.
+SLICES = 128
 
 WEIGHED = "doc_id long, mark long, n_features long, log_ratio double, weight double"
 SCORED = WEIGHED + ", key double"
@@ -51,15 +52,13 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total += np.bincount(features(chunk)[0], minlength=BUCKETS)
     if total.any():
         parts = total.reshape(SLICES, -1)
-        yield pa.RecordBatch.from_pydict({"salt": pa.array([salt] * SLICES, pa.int32()), "slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"salt": pa.array([salt] * SLICES, pa.int32()), "slice": pa.array(range(SLICES), pa.int32()), "counts": pa.array([sh.squeezed(p, random=False) for p in parts], pa.binary())})
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    total = np.zeros(BUCKETS // SLICES, np.int64)
-    for x in table.column("counts"):
-        total += np.frombuffer(x.as_buffer(), np.int64)
+    total = sh.released(table, "counts", np.int64, BUCKETS // SLICES).reshape(-1, BUCKETS // SLICES).sum(axis=0)
     first = table.slice(0, 1)
-    return pa.table({"salt": first.column("salt"), "slice": first.column("slice"), "counts": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({"salt": first.column("salt"), "slice": first.column("slice"), "counts": pa.array([sh.squeezed(total, random=False)], pa.binary())})
 
 
 def model(texts: DataFrame) -> np.ndarray:
@@ -67,8 +66,8 @@ def model(texts: DataFrame) -> np.ndarray:
     form = "salt int, slice int, counts binary"
     sums = texts.mapInArrow(_counts, form).groupBy("salt", "slice").applyInArrow(_summed, form).groupBy("slice").applyInArrow(_summed, form)
     total = np.zeros((SLICES, BUCKETS // SLICES), np.int64)
-    for row in sums.select("slice", "counts").collect():
-        total[row["slice"]] = np.frombuffer(row["counts"], np.int64)
+    for row in sums.select("slice", "counts").toLocalIterator():
+        total[row["slice"]] = sh.released(pa.table({"counts": [bytes(row["counts"])]}), "counts", np.int64)
     return total.ravel()
 
 
