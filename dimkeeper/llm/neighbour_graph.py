@@ -4,10 +4,10 @@ Vectors are compared within their label. Equal vectors are one node. The first n
 random projections: a node is compared with the nodes that fall on the same sides. Each round then
 brings a node's neighbours and the nodes that name it together at that node, where all of them are
 compared; every node keeps the best it has met. A node whose whole list passes the threshold is
-saturated: its list hides further links, so it is enlarged to all saturated nodes of its label and to
-all of its component, which are compared in blocks. An audit compares a stated share of the nodes with
-all others, in blocks; more rounds follow while its recall is too low, and after the last one a
-comparison of all nodes of a label.
+saturated: its list hides further links, so it is enlarged by the best neighbours outside of its
+component, again and again while such links are found, and by all of its component, which is
+compared in blocks. An audit compares a stated share of the nodes with all others, in blocks; more
+rounds follow while its recall is too low, and after the last one a comparison of all nodes of a label.
 """
 
 from __future__ import annotations
@@ -78,29 +78,31 @@ def _codes(trees: int, seed: int, bits: int = 24) -> Callable:
 
 
 def _best(n_best: int) -> Callable:
-    """Within each block, every node's best others."""
+    """Within each block, every node's best others; nodes of one group are not compared."""
 
     def run(table: pa.Table) -> pa.Table:
-        key, nodes = table.column("block").to_numpy(), table.column("node").to_numpy()
+        key, nodes, group = (table.column(c).to_numpy() for c in ("block", "node", "group"))
         order = np.lexsort((nodes, key))
         at = tx.groups(key[order])
         out: list[tuple] = []
         for a, b in zip(at[:-1], at[1:], strict=True):
             mine = order[a:b]
             mine = mine[np.unique(nodes[mine], return_index=True)[1]]
-            if len(mine) < 2:
+            g = group[mine]
+            if len(mine) < 2 or (g == g[0]).all():
                 continue
             x = _matrix(table.column("vector"), mine)
             sims = cosines(x, x)
-            np.fill_diagonal(sims, -np.inf)
+            sims[g[:, None] == g[None, :]] = -np.inf
             k = min(n_best, len(mine) - 1)
             top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-            out.append((nodes[mine], nodes[mine][top], np.take_along_axis(sims, top, axis=1).astype(np.float32)))
-        size = [t.shape[1] for _, t, _ in out for _ in range(len(t))]
+            best = np.take_along_axis(sims, top, axis=1)
+            known = best > -np.inf
+            out.append((nodes[mine], known.sum(axis=1), nodes[mine][top][known], best[known].astype(np.float32)))
+        flat = lambda k, kind: np.concatenate([o[k] for o in out]) if out else np.zeros(0, kind)
+        node, size, ids, sims = flat(0, np.int64), flat(1, np.int64), flat(2, np.int64), flat(3, np.float32)
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-        flat = lambda k, kind: np.concatenate([o[k].ravel() for o in out]) if out else np.zeros(0, kind)
-        ids, sims = flat(1, np.int64), flat(2, np.float32)
-        return pa.table({"node": flat(0, np.int64), "ids": pa.ListArray.from_arrays(offsets, ids), "sims": pa.ListArray.from_arrays(offsets, sims)})
+        return pa.table({"node": node, "ids": pa.ListArray.from_arrays(offsets, ids), "sims": pa.ListArray.from_arrays(offsets, sims)})
 
     return run
 
@@ -171,7 +173,8 @@ class Graph:
         self.nodes = materialise(packed)
         sizes = self.nodes.groupBy("space").agg(F.expr("CAST(greatest(0, least(24, ceil(log2(count(1) / 64.0)))) AS int)").alias("bits"))
         codes = self.nodes.join(sizes, "space").mapInArrow(_codes(trees, seed), "node long, space string, tree int, code long")
-        self.lists = self._improved(self._split(codes, "space", "tree", "code"))
+        self.cells = materialise(self._split(codes, "space", "tree", "code"))
+        self.lists = self._improved(self.cells)
 
     def _split(self, rows: DataFrame, *key: str) -> DataFrame:
         """(block, node): each key's nodes, in parts of bounded size where there are many."""
@@ -181,41 +184,56 @@ class Graph:
         part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("node", *key), F.col("parts")))
         return rows.join(many, list(key), "left").select(F.xxhash64(*key, part).alias("block"), "node")
 
-    def _improved(self, blocks: DataFrame, lists: DataFrame | None = None) -> DataFrame:
-        found = (
-            blocks.join(self.nodes.select("node", "vector"), "node")
-            .withColumn("batch", F.pmod("block", F.lit(self.buckets)))
-            .groupBy("batch")
-            .applyInArrow(_best(self.n_best), LISTS)
-        )
+    def _improved(self, blocks: DataFrame, lists: DataFrame | None = None, apart: DataFrame | None = None) -> DataFrame:
+        """The best that nodes have met in blocks and lists. With ``apart`` (node, group) only its nodes meet,
+        and those of one group do not count."""
+        rows = blocks.join(self.nodes.select("node", "vector"), "node")
+        rows = rows.withColumn("group", F.col("node")) if apart is None else rows.join(apart, "node")
+        found = rows.withColumn("batch", F.pmod("block", F.lit(self.buckets))).groupBy("batch").applyInArrow(_best(self.n_best), LISTS)
         if lists is not None:
             found = found.unionByName(lists)
-        gathered = found.groupBy("node").agg(F.collect_list("ids").alias("ids"), F.collect_list("sims").alias("sims"))
+        gathered = found.where(F.size("ids") > 0).groupBy("node").agg(F.collect_list("ids").alias("ids"), F.collect_list("sims").alias("sims"))
         return materialise(gathered.mapInArrow(_merged(self.n_best), LISTS))
 
-    def descend(self) -> None:
-        """One round: all that meet at a node, as its neighbours or as those that name it, are compared."""
-        pairs = self.lists.select("node", F.explode("ids").alias("other"))
+    def _met(self, lists: DataFrame) -> DataFrame:
+        """All that meet at a node: itself, its neighbours and those that name it."""
+        pairs = lists.select("node", F.explode("ids").alias("other"))
         meet = pairs.select(F.col("node").alias("centre"), F.col("other").alias("node")).unionByName(
             pairs.select(F.col("other").alias("centre"), "node")
         )
-        meet = meet.unionByName(self.lists.select(F.col("node").alias("centre"), "node")).distinct()
-        self.lists = self._improved(self._split(meet, "centre"), self.lists)
+        return self._split(meet.unionByName(lists.select(F.col("node").alias("centre"), "node")).distinct(), "centre")
+
+    def descend(self) -> None:
+        """One round: all that meet at a node are compared."""
+        self.lists = self._improved(self._met(self.lists), self.lists)
+
+    def _near(self, lists: DataFrame) -> DataFrame:
+        """(a, b): a list's entries that may pass the threshold."""
+        near = F.expr(f"filter(arrays_zip(ids, sims), x -> x.sims >= {self.threshold - 1e-4})")
+        return lists.select(F.col("node").alias("a"), F.explode(near).alias("e")).select("a", F.col("e.ids").alias("b"))
 
-    def links(self) -> tuple[DataFrame, DataFrame]:
+    def links(self, rounds: int = 1) -> tuple[DataFrame, DataFrame]:
         """(node, links) and (node, component), by the graph's threshold edges.
 
         A link that the lists lack has two saturated ends, as far as the lists are right otherwise: a list
-        with a worse one at its end has room for every link. So all saturated nodes of a label are compared
-        with each other, and the links found join the components of the lists. Then a component's nodes
-        are compared with each other. Both are in blocks and in double precision.
+        with a worse one at its end has room for every link. So the lists of saturated nodes are enlarged by
+        their best neighbours outside the component that fills them, found by NN-descent in the same way.
+        Links found there join components, which the next lists then leave out, until none is found. Then a
+        component's nodes are compared with each other, in blocks and in double precision.
         """
-        least = self.threshold - 1e-4
-        near = F.expr(f"filter(arrays_zip(ids, sims), x -> x.sims >= {least})")
-        edges = self.lists.select(F.col("node").alias("a"), F.explode(near).alias("e")).select("a", F.col("e.ids").alias("b"))
-        full = self.lists.where((F.size("ids") >= self.n_best) & (F.array_min("sims") >= least)).select("node")
-        met = self._compared(self.nodes.join(full, "node", "left_semi").select("node", F.xxhash64("space").alias("component")))
-        found = components(edges.unionByName(self._spanning(met)))
+        edges = materialise(self._near(self.lists))
+        full = materialise(self.lists.where((F.size("ids") >= self.n_best) & (F.array_min("sims") >= self.threshold - 1e-4)).select("node"))
+        found = components(edges)
+        while not full.isEmpty():
+            apart = materialise(found.join(full, "node", "left_semi").withColumnRenamed("component", "group"))
+            beyond = self._improved(self.cells, apart=apart)
+            for _ in range(rounds):
+                beyond = self._improved(self._met(beyond), beyond, apart)
+            new = materialise(self._near(beyond))
+            if new.isEmpty():
+                break
+            edges = edges.unionByName(new)
+            found = components(edges)
         return self._counted(self._compared(found))
 
     def all_links(self) -> tuple[DataFrame, DataFrame]:
