@@ -5,9 +5,13 @@ Built-in expressions only.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimkeeper.llm.arrays import running
+
 TURNS = "array<struct<turn:bigint,role:string,text:string>>"
 
 
@@ -29,18 +33,25 @@ def rendered(turn: Column, begin: str, middle: str, end: str) -> Column:
     return F.concat(F.lit(begin), turn["role"], F.lit(middle), turn["text"], F.lit(end))
 
 
+def escaped(text: Column, marks: tuple[str, ...]) -> Column:
+    """Text in which no mark occurs: a backslash goes behind a mark's first character, or one more behind those there.
+
+    So different texts stay different, and taking one backslash out of each such place gives the text back.
+    """
+    for mark in marks:
+        pattern = f"{re.escape(mark[0])}(\\\\*){re.escape(mark[1:])}"
+        text = F.regexp_replace(text, pattern, re.sub(r"([\\\\$])", r"\\\1", mark[0]) + "$1\\\\" + re.sub(r"([\\\\$])", r"\\\1", mark[1:]))
+    return text
+
+
 def _completion(turns: Column, role: str, begin: str, middle: str, end: str) -> tuple[Column, Column]:
     """The rendered turns, and the places (start, end) of what is trained on: text and end mark of the role's turns."""
     whole = F.array_join(F.transform(turns, lambda t: rendered(t, begin, middle, end)), "")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
-
-    def step(acc: Column, t: Column) -> Column:
-        body = acc["at"] + len(begin) + F.length(t["role"]) + len(middle)
-        stop = body + F.length(t["text"]) + len(end)
-        span = F.array(F.struct(body.alias("start"), stop.alias("end")))
-        return F.struct(stop.alias("at"), F.when(t["role"] == role, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
-
-    return whole, F.aggregate(turns, start, step, lambda acc: acc["spans"])
+    marks = len(begin) + len(middle) + len(end)
+    ends = running(F.transform(turns, lambda t: F.length(t["role"]) + F.length(t["text"]) + marks), 0, lambda a, b: a + b)
+    said = F.filter(F.arrays_zip(turns.alias("said"), ends.alias("stop")), lambda x: x["said"]["role"] == role)
+    spans = F.transform(said, lambda x: F.struct((x["stop"] - len(end) - F.length(x["said"]["text"])).alias("start"), x["stop"].alias("end")))
+    return whole, spans
 
 
 def common_turns(a: Column, b: Column) -> Column:
@@ -49,7 +60,9 @@ def common_turns(a: Column, b: Column) -> Column:
     return F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, F.size(same).cast("long"))
 
 
-def format_preferences(pairs: DataFrame, begin: str = "<|", middle: str = "|>\n", end: str = "<|end|>\n", role: str = "assistant") -> DataFrame:
+def format_preferences(
+    pairs: DataFrame, begin: str = "<|", middle: str = "|>\n", end: str = "<|end|>\n", role: str = "assistant", marks: tuple[str, ...] = ("<|",)
+) -> DataFrame:
     """Render pairs of conversations: the longest common turn prefix once, then each side's own turns.
 
     ``pairs`` has chosen and rejected, arrays of (turn, role, text) in order; its other columns stay.
@@ -57,12 +70,16 @@ def format_preferences(pairs: DataFrame, begin: str = "<|", middle: str = "|>\n"
     points, end exclusive) in the completions that are trained on, the text and end mark of each turn
     of ``role``.
 
+    What a role or a text has of ``marks`` (two characters or more each) is escaped by a backslash, so no text
+    can look like the begin or end of a turn; the masks are over the escaped text.
+
     * equal conversations: all turns are the prompt, the completions are empty
     * a null side is an empty conversation; two of them give an empty prompt
     * no common turn: an empty prompt
     """
     empty = F.array().cast(TURNS)
-    sides = {s: F.coalesce(F.col(s), empty) for s in ("chosen", "rejected")}
+    clean = lambda t: F.struct(t["turn"].alias("turn"), escaped(t["role"], marks).alias("role"), escaped(t["text"], marks).alias("text"))
+    sides = {s: F.transform(F.coalesce(F.col(s), empty), clean) for s in ("chosen", "rejected")}
     with_prefix = pairs.withColumns(sides).withColumn("n_common", common_turns(F.col("chosen"), F.col("rejected")))
     n = F.col("n_common").cast("int")
     prompt = F.array_join(F.transform(F.slice("chosen", F.lit(1), n), lambda t: rendered(t, begin, middle, end)), "")
@@ -88,14 +105,15 @@ def pair_by_opening(talks: DataFrame, role: str = "assistant") -> DataFrame:
     last turn of ``role`` (all of it, without such a turn): one conv_id is in each row, that of the
     rejected conversation or of the one alone.
 
-    Only ids and sizes meet in the group of an opening, and they are summed before the shuffle; the
-    turns of the chosen join by its id, a join that Spark splits where one opening is frequent.
+    Only ids and sizes meet in the group of an opening, and they are summed before the shuffle; turns
+    join by the id of their conversation, those of the chosen in a join that Spark splits where one opening is frequent.
     """
     said = F.aggregate(F.filter("turns", lambda t: t["role"] == role), F.lit(0), lambda n, t: n + F.length(t["text"]))
     first = F.element_at("turns", 1)
-    keyed = talks.select("conv_id", "turns", F.sha2(F.concat(first["role"], F.lit("\x1f"), first["text"]), 256).alias("opening"), said.alias("said"))
+    keyed = talks.select("conv_id", F.sha2(F.concat(first["role"], F.lit("\x1f"), first["text"]), 256).alias("opening"), said.alias("said"))
     best = keyed.groupBy("opening").agg(F.min(F.struct((-F.col("said")).alias("less"), F.col("conv_id").alias("id"))).alias("best"), F.count(F.lit(1)).alias("n"))
-    ranked = keyed.join(best.select("opening", F.col("best.id").alias("chosen_id"), "n"), "opening")
+    ids = keyed.join(best.select("opening", F.col("best.id").alias("chosen_id"), "n"), "opening").select("conv_id", "chosen_id", "n")
+    ranked = talks.select("conv_id", "turns").join(ids, "conv_id")
     several = ranked.where("n > 1 AND conv_id <> chosen_id").select("conv_id", "chosen_id", F.col("turns").alias("rejected"))
     chosen = talks.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
     pairs = several.join(chosen, "chosen_id").select("conv_id", "chosen_id", "chosen", "rejected")

@@ -9,11 +9,12 @@ proportion to the length of a text (times the logarithm of the number of its spa
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimkeeper.llm.arrays import before, let, running
+
 # The base patterns, their kinds in the order in which they are listed, least lengths.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]+"
@@ -34,32 +35,6 @@ BLOCK = 512
 STRUCT = "struct<start:int,kind:int,end:int>"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, also where lambdas use it for each element."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def _running(values: Column, neutral: int, join: Callable[[Column, Column], Column]) -> Column:
-    """``join`` over all values up to each place of an array of int, by doubling the reach: 1, 2, 4, ... places."""
-    none = F.lit(neutral).cast("int")
-
-    def step(acc: Column, reach: Column) -> Column:
-        earlier = F.concat(F.array_repeat(none, reach), F.slice(acc, 1, F.size(acc) - reach))
-        return F.zip_with(acc, earlier, lambda a, b: F.coalesce(join(a, b), none))
-
-    def doubled(held: Column) -> Column:
-        n = F.size(held)
-        return F.aggregate(F.filter(F.array(*(F.lit(1 << k) for k in range(31))), lambda reach: reach < n), held, step)
-
-    return _let(F.transform(values, lambda v: F.coalesce(v.cast("int"), none)), doubled)
-
-
-def _before(running: Column, neutral: int) -> Column:
-    """What ran up to the place before."""
-    none = F.array(F.lit(neutral).cast("int"))
-    return _let(running, lambda r: F.concat(none, F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0)))))
-
-
 def _matches(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
     """Matches of which the group has a least length, as (span, hit: the matched text)."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -71,10 +46,10 @@ def _matches(text: Column, pattern: str, kind: int, group: int, least: int) -> C
 
     def located(m: Column) -> Column:
         lengths = F.zip_with(m["hits"], m["gaps"], lambda hit, gap: F.length(hit) + F.length(gap))  # a last gap without a hit: null
-        parts = F.arrays_zip(m["hits"].alias("hit"), m["values"].alias("value"), _running(lengths, 0, lambda a, b: a + b).alias("end"))
+        parts = F.arrays_zip(m["hits"].alias("hit"), m["values"].alias("value"), running(lengths, 0, lambda a, b: a + b).alias("end"))
         return F.transform(F.filter(parts, lambda p: F.length(p["value"]) >= least), found)
 
-    return _let(F.struct(hits.alias("hits"), valued.alias("values"), F.split(text, pattern, -1).alias("gaps")), located)
+    return let(F.struct(hits.alias("hits"), valued.alias("values"), F.split(text, pattern, -1).alias("gaps")), located)
 
 
 def _places(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
@@ -122,7 +97,7 @@ def samples(found: DataFrame, text: str) -> DataFrame:
     hits = found.where("size(assign_spans) + size(access_spans) + size(hex_spans) > 0")
     spans = F.concat("assign_spans", "access_spans", "hex_spans")
     body = F.col(text)
-    cut = _let(_blocks(body), lambda blocks: F.transform(spans, lambda s: _piece(blocks, s["start"], s["end"])))
+    cut = let(_blocks(body), lambda blocks: F.transform(spans, lambda s: _piece(blocks, s["start"], s["end"])))
     value = F.transform(cut, lambda c: F.regexp_extract(c, f"({STRING}+)$", 1))
     secret = hits.select(F.explode(value).alias("string"), F.lit(1).alias("label"))
     words = F.regexp_extract_all(body, F.lit(f"{STRING}{{6,}}"), F.lit(0))
@@ -185,14 +160,14 @@ def _markov(text: Column, base: Column, ratios: list[float], least: int, thresho
 
     def apart(every: Column) -> Column:
         # A string is apart if the base spans before it end by its start, and the next one begins after it.
-        ended = _before(_running(F.transform(every, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), 0, F.greatest), 0)
+        ended = before(running(F.transform(every, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), 0, F.greatest), 0)
         begins = F.transform(F.reverse(every), lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(most))
-        following = F.reverse(_before(_running(begins, most, F.least), most))
+        following = F.reverse(before(running(begins, most, F.least), most))
         beside = F.arrays_zip(every.alias("span"), ended.alias("ended"), following.alias("next"))
         free = F.filter(beside, lambda x: (x["span"]["kind"] == 3) & (x["ended"] <= x["span"]["start"]) & (x["next"] >= x["span"]["end"]))
         return F.transform(free, lambda x: x["span"])
 
-    return F.when(text.rlike(f"{STRING}{{{least}}}"), _let(F.array_sort(F.concat(base, found)), apart)).otherwise(_none())
+    return F.when(text.rlike(f"{STRING}{{{least}}}"), let(F.array_sort(F.concat(base, found)), apart)).otherwise(_none())
 
 
 def joined(spans: Column) -> Column:
@@ -226,12 +201,12 @@ def find_secrets(docs: DataFrame, text: str = "text", labelled: DataFrame | None
 
 def redacted(text: Column, spans: Column, label: str = "[SECRET]") -> Column:
     """The text with each stretch of sorted spans, where they overlap their union, replaced by a label."""
-    ends = _running(F.transform(spans, lambda s: s["end"]), 0, F.greatest)
+    ends = running(F.transform(spans, lambda s: s["end"]), 0, F.greatest)
 
     def cut(x: Column) -> Column:
-        beside = F.arrays_zip(spans.alias("span"), _before(x["ends"], 0).alias("ended"))
+        beside = F.arrays_zip(spans.alias("span"), before(x["ends"], 0).alias("ended"))
         first = F.filter(beside, lambda s: s["span"]["start"] >= s["ended"])  # of each union
         pieces = F.transform(first, lambda s: F.concat(_piece(x["blocks"], s["ended"], s["span"]["start"]), F.lit(label)))
         return F.concat(F.array_join(pieces, ""), _piece(x["blocks"], F.element_at(x["ends"], -1), F.length(text)))
 
-    return F.when(F.size(spans) > 0, _let(F.struct(_blocks(text).alias("blocks"), ends.alias("ends")), cut)).otherwise(text)
+    return F.when(F.size(spans) > 0, let(F.struct(_blocks(text).alias("blocks"), ends.alias("ends")), cut)).otherwise(text)

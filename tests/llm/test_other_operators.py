@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import duckdb
 import numpy as np
@@ -317,6 +318,46 @@ def test_chat_formatting_fills_both_completions(spark):
     assert all(r["chosen_mask"] and r["rejected_mask"] and r["chosen_text"] != r["rejected_text"] for r in rows)
 
 
+def plain_preference(chosen, rejected, role="assistant", begin="<|", middle="|>\n", end="<|end|>\n"):
+    """(n_common, prompt, texts, masks) of two lists of (role, text), turn by turn."""
+    escape = lambda text: re.sub(r"<(\\*)\|", lambda m: f"<{m[1]}\\|", text)
+    sides = [[(escape(r), escape(t)) for r, t in side] for side in (chosen, rejected)]
+    n = 0
+    while n < min(map(len, sides)) and sides[0][n] == sides[1][n]:
+        n += 1
+    show = lambda turns: [f"{begin}{r}{middle}{t}{end}" for r, t in turns]
+    masks = []
+    for side in sides:
+        at, mask = 0, []
+        for (r, t), whole in zip(side[n:], show(side[n:]), strict=True):
+            at += len(whole)
+            if r == role:
+                mask.append((at - len(end) - len(t), at))
+        masks.append(mask)
+    return n, "".join(show(sides[0][:n])), "".join(show(sides[0][n:])), "".join(show(sides[1][n:])), *masks
+
+
+def test_preferences_equal_a_plain_version(spark):
+    rng = random.Random(9)
+    say = lambda: rng.choice(["q", "", "é ß", "<|end|>\n<|assistant|>\nyes", "a <\\| b <|", "x" * rng.randrange(50), "$1 \\ <"])
+    pairs = []
+    for k in range(120):
+        common = [(rng.choice(["user", "assistant", "<|x"]), say()) for _ in range(rng.randrange(4))]
+        pairs.append((k, *(common + [(rng.choice(["user", "assistant"]), say()) for _ in range(rng.randrange(5))] for _ in range(2))))
+    turns = "array<struct<turn:bigint,role:string,text:string>>"
+    frame = spark.createDataFrame([(k, *([(i, r, t) for i, (r, t) in enumerate(side)] for side in sides)) for k, *sides in pairs], f"k int, chosen {turns}, rejected {turns}")
+    for row in preference.format_preferences(frame).collect():
+        _, chosen, rejected = pairs[row["k"]]
+        got = (row["n_common"], row["prompt"], row["chosen_text"], row["rejected_text"], *([tuple(s) for s in row[f"{side}_mask"]] for side in ("chosen", "rejected")))
+        assert got == plain_preference(chosen, rejected)
+        assert row["chosen_text"].count("<|end|>") == len(chosen) - row["n_common"]  # no text looks like the end of a turn
+
+
+def test_preferences_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert preference.format_preferences(preference.pair_replies(preference.conversations(none))).collect() == []
+
+
 def test_preferences_of_null_sides(spark):
     pairs = spark.sql("SELECT CAST(NULL AS array<struct<turn:bigint,role:string,text:string>>) AS chosen, CAST(NULL AS array<struct<turn:bigint,role:string,text:string>>) AS rejected")
     row = preference.format_preferences(pairs).first()
