@@ -133,7 +133,8 @@ def _like_first(order: np.ndarray, at: np.ndarray, payload: np.ndarray, begin: n
     first = np.repeat(order[at[:-1]], np.diff(at))
     out = weight[order] == weight[first]
     other = np.flatnonzero(out & (order != first))
-    for part in np.array_split(other, max(1, int(weight[order[other]].sum()) >> 22)):
+    # In small pieces: the places of all bytes at once would take many times the payload's memory.
+    for part in np.array_split(other, 1 + (int(weight[order[other]].sum()) >> 18)):
         if not len(part):
             continue
         mine, size = order[part], weight[order[part]]
