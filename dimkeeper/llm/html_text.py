@@ -19,7 +19,14 @@ RESULT = "page_id long, url string, title string, text string"
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist select area param".split())
+UNSEEN = frozenset(
+    "head script style template noscript iframe noembed noframes audio video canvas datalist area param rp meter progress annotation annotation-xml".split()
+)
+#: Within a drawing only these show text, and these do not even there.
+DRAWN = frozenset("text foreignobject".split())
+UNDRAWN = frozenset("title desc metadata defs style script symbol clippath mask pattern marker lineargradient radialgradient filter".split())
+#: Kinds of input whose value is not shown as text.
+MUTE = frozenset("hidden checkbox radio file color range password".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul tr thead tbody tfoot".split()
@@ -47,10 +54,15 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:
 LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 SPACE = re.compile(r"[ \t\n\f\r]+")
-HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+GONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\b", re.I)
+
+#: A table with a longer line in a cell, or with blocks side by side of which one is longer, lays out a page:
+#: its cells follow one another. In other tables cells are aligned.
+WIDEST = 120
 
-#: Cells are padded to the width of their column, up to this many characters.
-WIDEST = 40
+# The most columns and rows that a cell may span.
+COLUMNS, ROWS = 1000, 65_534
 
 
 class Node:
@@ -212,74 +224,170 @@ class Out:
         return "".join(self.parts)
 
 
+def _span(value: str | None, most: int) -> int:
+    """A colspan or rowspan; 0 stands for all that follows."""
+    number = int(value) if value and value.isdecimal() and len(value) < 9 else 1
+    return most if not number and most == ROWS else min(max(number, 1), most)
+
+
 class Table:
-    def __init__(self) -> None:
-        self.rows: list[list[str]] = []
+    """Cells by row and column, each a list of lines."""
 
-    def cell(self, value: str, span: str | None) -> None:
+    def __init__(self) -> None:
+        self.rows: list[dict[int, tuple[list[str], int]]] = []  # by first column: lines, columns
+        self.taken: dict[int, tuple[int, int]] = {}  # of cells that reach into this row: rows left, columns
+        self.below: dict[int, tuple[int, int]] = {}  # and into the next one
+        self.at = 0
+
+    def row(self) -> None:
+        self.rows.append({})
+        self.at = 0
+        self.taken, self.below = self.below, {}
+        for column, (left, wide) in self.taken.items():
+            self.rows[-1][column] = ([], wide)
+            if left > 1:
+                self.below[column] = (left - 1, wide)
+
+    def cell(self, value: str, colspan: str | None, rowspan: str | None) -> None:
         if not self.rows:
-            self.rows.append([])
-        more = int(span) - 1 if span and span.isdigit() and len(span) < 3 else 0
-        self.rows[-1] += [" ".join(x.strip() for x in value.split("\n") if x.strip())] + [""] * max(0, more)
+            self.row()
+        while self.at in self.taken:
+            self.at += self.taken[self.at][1]
+        wide, high = _span(colspan, COLUMNS), _span(rowspan, ROWS)
+        self.rows[-1][self.at] = ([x.rstrip() for x in value.split("\n") if x.strip()], wide)
+        if high > 1:
+            self.below[self.at] = (high - 1, wide)
+        self.at += wide
 
     def lines(self) -> list[str]:
-        rows = [r for r in self.rows if any(r)]
-        widths: list[int] = []
+        rows = [r for r in self.rows if any(lines for lines, _ in r.values())]
+        cells = [cell for row in rows for cell in row.values()]
+        if any(len(x) > WIDEST for lines, _ in cells for x in lines) and any(len([c for c in row.values() if c[0]]) > 1 for row in rows):
+            return [x for row in rows for k in sorted(row) for x in row[k][0]]
+        columns = sorted({k for row in rows for k in row})
+        place = {column: k for k, column in enumerate(columns)}
+        widths = [0] * len(columns)
+        several = []
         for row in rows:
-            for k, cell in enumerate(row):
-                if k == len(widths):
-                    widths.append(0)
-                if len(cell) <= WIDEST:
-                    widths[k] = max(widths[k], len(cell))
-        return [" | ".join(c.ljust(w) for c, w in zip(r, widths, strict=False)).rstrip() for r in rows]
-
-
-def visible(node: Node) -> bool:
+            for column, (lines, wide) in row.items():
+                if wide > 1:
+                    several.append((column, max(map(len, lines), default=0), wide))
+                else:
+                    widths[place[column]] = max(widths[place[column]], *map(len, lines), 0)
+        for column, length, wide in several:  # a cell over several columns widens the last of them
+            over = [k for k in range(place[column], len(columns)) if columns[k] < column + wide]
+            widths[over[-1]] += max(0, length - sum(widths[k] for k in over) - 3 * (len(over) - 1))
+        starts = [0]
+        for width in widths:
+            starts.append(starts[-1] + width + 3)
+        out = []
+        for row in rows:
+            cells_of = sorted(row.items())
+            for k in range(max(len(lines) for lines, _ in row.values())):
+                last = max(n for n, (_, (lines, _)) in enumerate(cells_of) if len(lines) > k)
+                line = ""
+                for n, (column, (lines, _)) in enumerate(cells_of[: last + 1]):
+                    line = line.ljust(starts[place[column]] - 3) + " | " if n else line
+                    line += lines[k] if k < len(lines) else ""
+                out.append(line)
+        return out
+
+
+def shown(node: Node) -> bool:
+    """Whether an element has a box at all."""
     if node.tag in UNSEEN:
         return False
+    if node.tag == "dialog":
+        return node.get("open") is not None
+    if node.tag == "object":
+        return node.get("data") is None  # else its resource is shown, not its content
     low = node.attributes.lower()
     if "hidden" in low or "none" in low:
-        if node.get("hidden") is not None or HIDDEN.search(node.get("style") or ""):
-            return False
-        return not (node.tag == "input" and (node.get("type") or "").lower() == "hidden")
+        return node.get("hidden") is None and not GONE.search(node.get("style") or "")
     return True
 
 
+def inked(node: Node, before: bool) -> bool:
+    """Whether its text is painted: visibility is inherited, and may be set anew within."""
+    if "visibility" not in node.attributes.lower():
+        return before
+    found = VISIBILITY.findall(node.get("style") or "")
+    return found[-1].lower() == "visible" if found else before
+
+
+def _plain(node: Node) -> str:
+    parts, todo = [], list(reversed(node.children))
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            parts.append(x)
+        else:
+            todo += reversed(x.children)
+    return SPACE.sub(" ", "".join(parts)).strip()
+
+
+def choices(select: Node) -> list[str]:
+    """What a select shows: the chosen option, by default the first; all of them in a list box."""
+    options, todo = [], list(reversed(select.children))
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            continue
+        if x.tag == "option":
+            options.append(x)
+        else:
+            todo += reversed(x.children)
+    size = select.get("size") or ""
+    if select.get("multiple") is None and not (size.isdecimal() and size.strip("0") not in ("", "1")):
+        chosen = [x for x in options if x.get("selected") is not None]
+        options = chosen[-1:] or options[:1]
+    return [x.get("label") or _plain(x) for x in options]
+
+
 def render(root: Node) -> tuple[str, str]:
     """Title and visible text."""
     title = ""
     outs, tables, lists, pre = [Out()], [], [], 0
-    todo: list[tuple[Node | str, bool]] = [(root, True)]
+    todo: list[tuple[Node | str, bool, bool, bool]] = [(root, True, True, False)]  # node, opening, painted, only drawn text counts
     while todo:
-        node, opening = todo.pop()
+        node, opening, ink, drawing = todo.pop()
         out = outs[-1]
         if isinstance(node, str):
-            out.keep(node) if pre else out.text(node)
+            if ink and not drawing:
+                out.keep(node) if pre else out.text(node)
             continue
         tag = node.tag
         if opening:
-            if tag in ("head", "title"):
+            if tag in ("head", "title") and not drawing:
                 for child in [node] if tag == "title" else node.children:
                     if not isinstance(child, str) and child.tag == "title" and not title:
                         title = SPACE.sub(" ", "".join(c for c in child.children if isinstance(c, str))).strip()
                 continue
-            if not visible(node):
+            if not shown(node) or (drawing and tag in UNDRAWN):
                 continue
+            ink = inked(node, ink)
             if tag == "br":
                 out.breaks = out.breaks + 1 if out.parts else 0
                 out.space = False
                 continue
             if tag == "hr":
                 out.line(1)
-                out.text("---")
+                out.text("---" if ink else "")
                 out.line(1)
                 continue
             if tag in ("img", "input"):
-                label = node.get("alt") if tag == "img" else node.get("value")
-                if label:
-                    out.text(label)
+                kind = (node.get("type") or "").lower() if tag == "input" else "image"
+                label = node.get("alt") if kind == "image" else None if kind in MUTE else node.get("value")
+                if label and ink:
+                    out.text(f" {label} " if tag == "input" else label)
+                continue
+            if tag == "select":
+                options = choices(node) if ink else []
+                for k, option in enumerate(options):
+                    out.line(1) if k else None
+                    out.text(f" {option} ")
                 continue
-            if tag in BLOCK:
+            if tag in BLOCK or (drawing and tag in DRAWN):
                 out.line(2 if tag in SPACED and not (tag in ("ul", "ol") and lists) else 1)
             if tag in ("ul", "ol", "menu", "dir"):
                 start = node.get("start") if tag == "ol" else None
@@ -298,16 +406,20 @@ def render(root: Node) -> tuple[str, str]:
             elif tag == "table":
                 tables.append(Table())
             elif tag == "tr" and tables:
-                tables[-1].rows.append([])
+                tables[-1].row()
             elif tag in ("td", "th") and tables:
                 outs.append(Out())
-            elif tag == "q":
+            elif tag == "q" and ink:
                 out.text('"')
-            todo.append((node, False))
-            todo += [(child, True) for child in reversed(node.children)]
+            inside = tag == "svg" or (drawing and tag not in DRAWN)
+            children = node.children
+            if tag == "details" and node.get("open") is None:
+                children = [x for x in children if not isinstance(x, str) and x.tag == "summary"][:1]
+            todo.append((node, False, ink, drawing))
+            todo += [(child, True, ink, inside) for child in reversed(children)]
             continue
         if tag in ("td", "th") and tables:
-            tables[-1].cell(outs.pop().value(), node.get("colspan"))
+            tables[-1].cell(outs.pop().value(), node.get("colspan"), node.get("rowspan"))
             continue
         if tag == "table" and tables:
             for row in tables.pop().lines():
@@ -321,9 +433,9 @@ def render(root: Node) -> tuple[str, str]:
             out.marker = ""
         elif tag == "pre":
             pre -= 1
-        elif tag == "q":
+        elif tag == "q" and ink:
             out.text('"')
-        if tag in BLOCK:
+        if tag in BLOCK or (drawing and tag in DRAWN):
             out.line(2 if tag in SPACED and not (tag in ("ul", "ol") and lists) else 1)
     return title, outs[0].value().strip("\n")
 
@@ -341,8 +453,14 @@ def extract_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", s
     """The title and all visible text of each page: (page_id, url, title, text), one row for each row.
 
     Blocks are on lines of their own, paragraphs, headings, lists and tables after an empty line. List
-    items have their mark or number, table cells are aligned by column, preformatted text keeps its
-    lines. Elements that a browser does not show give no text.
+    items have their mark or number, preformatted text keeps its lines. Table cells are aligned by column,
+    with their blocks as lines side by side, over several columns or rows where they span them; a table with
+    lines of more than ``WIDEST`` characters beside other cells lays out a page, and its cells follow one another.
+
+    Text counts as visible as in a browser without scripts and style sheets: ``hidden``, ``display: none`` and
+    ``visibility`` of style attributes (inherited, and set anew within), closed details and dialogs, the shown option
+    of a select, the text of drawings and formulas, the content of an object without a resource. No text is taken
+    from noscript, from fallback content of audio, video, canvas, iframe, meter and progress, nor from style sheets.
 
     * null or empty page: empty title and text; null id or url stay null
     * unclosed, stray or wrongly nested tags: as far as a browser's rules are followed, else ignored

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
+from html.parser import HTMLParser
 
 import duckdb
 import numpy as np
@@ -157,7 +159,19 @@ def test_mixing_edges(spark):
     [
         ("<p>One <b>two</b><p>Three<ul><li>a<li>b<ol start=3><li>x<li>y</ol><li>c</ul>", "One two\n\nThree\n\n- a\n- b\n  3. x\n  4. y\n- c"),
         ("<table><tr><td>1<td>long cell<tr><th>22<td>z</table>", "1  | long cell\n22 | z"),
-        ("<table><tr><td>a<table><tr><td>in<td>ner</table><td>b</table>c", "a in | ner | b\n\nc"),
+        ("<table><tr><td>a<table><tr><td>in<td>ner</table><td>b</table>c", "a        | b\nin | ner\n\nc"),
+        ("<table><tr><td><p>one<p>two<ul><li>a<li>b</ul><td>z</table>", "one | z\ntwo\n- a\n- b"),
+        ("<table><tr><td>x<td><pre>1\n  2</pre><tr><td>yy<td>3</table>", "x  | 1\n   |   2\nyy | 3"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d</table>", "a | b\n  | c\nd"),
+        ("<table><tr><td colspan=2>wide title<td>x<tr><td>1<td>2<td>3</table>", "wide title | x\n1 | 2      | 3"),
+        ("<table><tr><td colspan=100>a<td>b<tr><td rowspan=0>c<td>d<tr><td>e</table>", "a     | b\nc | d\n  | e"),
+        (f"<table><tr><td>{'x' * 45}<td>z<tr><td>k<td>y</table>", f"{'x' * 45} | z\n{'k'.ljust(45)} | y"),
+        (f"<table><tr><td>nav<td>{'word ' * 40}<tr><td>k<td>y</table>", "nav\n" + ("word " * 40).strip() + "\nk\ny"),
+        ("<svg><title>t</title><text>dr<tspan>awn</tspan></text><desc>d</desc>no</svg>x<math><mi>a</mi><mo>+</mo></math>", "drawn\nxa+"),
+        ("a <select><optgroup><option>b<option selected>c</optgroup></select> d<select multiple><option>e<option>f</select>", "a c d e\nf"),
+        ("<object>shown</object><object data=x>not</object><details><summary>s</summary>not</details><details open><summary>t</summary>u</details>", "shown\ns\nt\nu"),
+        ("<div style='visibility: hidden'>not<b style='x:y;visibility:visible'>yes<i style=visibility:hidden>not</i></b></div><dialog>not</dialog><dialog open>d</dialog>", "yes\nd"),
+        ("<input value=v><input type=checkbox value=not><input type=submit value=go><meter>not</meter>", "v go"),
         ("<div>a</div><div style='display: none'>b</div><i hidden>c</i><script>'</p>'</script><!-- d -->e", "a\ne"),
         ("<pre>a\n  b\n\nc</pre>d", "a\n  b\n\nc\n\nd"),
         ("a &lt; b < c &amp; d<br>e<br><br>f", "a < b < c & d\ne\n\nf"),
@@ -172,6 +186,53 @@ def test_pages(page, text):
     assert html_text.render(html_text.parse(page))[1] == text
 
 
+class Seen(HTMLParser):
+    """A plain reading of well-formed pages: all words outside of what is hidden, in order."""
+
+    def __init__(self):
+        super().__init__()
+        self.words, self.hidden = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if self.hidden or tag in ("script", "style", "noscript", "template") or "hidden" in dict(attrs) or "none" in (dict(attrs).get("style") or ""):
+            self.hidden.append(tag)
+
+    def handle_endtag(self, tag):
+        if self.hidden:
+            self.hidden.pop()
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.words += data.split()
+
+
+def random_page(rng, depth=0):
+    if depth > 4 or rng.random() < 0.25:
+        return " ".join(rng.choice(["w&amp;", "é", "x y", "&lt;b&gt;", "12", "long" * 5]) + str(rng.randrange(99)) for _ in range(rng.randrange(1, 6)))
+    inner = lambda: random_page(rng, depth + 1)
+    kind = rng.choice(["div", "p", "span", "ul", "table", "hide", "script", "pre", "blockquote"])
+    if kind == "ul":
+        return "<ul>" + "".join(f"<li><div>{inner()}</div></li>" for _ in range(rng.randrange(1, 4))) + "</ul>"
+    if kind == "table":
+        rows = "".join("<tr>" + "".join(f"<td colspan={rng.choice([1, 1, 2])} rowspan={rng.choice([1, 1, 1, 3])}>{inner()}</td>" for _ in range(rng.randrange(1, 4))) + "</tr>" for _ in range(rng.randrange(1, 4)))
+        return f"<table><tbody>{rows}</tbody></table>"
+    if kind == "hide":
+        return f"<div {rng.choice(['hidden', 'style=display:none'])}>{inner()}</div> "
+    if kind == "script":
+        return "<script>var a = '<p>not</p>';</script> "
+    return f" <{'div' if kind == 'p' else kind}>{inner()}{inner() if kind == 'div' else ''}</{'div' if kind == 'p' else kind}> "
+
+
+def test_pages_keep_every_visible_word():
+    rng = random.Random(21)
+    for _ in range(300):
+        page = "".join(random_page(rng) for _ in range(rng.randrange(1, 4)))
+        plain = Seen()
+        plain.feed(page)
+        found = [w for w in html_text.render(html_text.parse(page))[1].split() if w not in ("|", "-")]
+        assert Counter("".join(found)) == Counter("".join(plain.words)), page
+
+
 def test_pages_of_any_depth_and_rows(spark):
     assert html_text.render(html_text.parse("<div>" * 30_000 + "x"))[1] == "x"
     rows = [(1, "u", "<title> A  &amp; B</title><p>x"), (1, "u", "<title> A  &amp; B</title><p>x"), (None, None, None)]
