@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimkeeper.sources.scratch import materialise
 
+#: Names from here downwards stand for contents that share their id with another one.
+FURTHER = -(1 << 62)
+
+
+def node_name(own_id: str, content: list[str]) -> Column:
+    """A name for each content of an id: the id itself for the least content, for others a hash below ``FURTHER``.
+
+    So names tell contents apart where an id is repeated, and are the ids where it is not (ids are above ``FURTHER``).
+    """
+    first = F.struct(*content) == F.min(F.struct(*content)).over(Window.partitionBy(own_id))
+    other = F.lit(FURTHER) - F.pmod(F.xxhash64(own_id, *content), F.lit(1 << 61))
+    return F.when(first, F.col(own_id)).otherwise(other)
+
+
+def least_ids(found: DataFrame, own_id: str) -> DataFrame:
+    """``found`` (node named by ``node_name``, component, own_id) with the component's smallest id as component.
+
+    A component's label is its smallest name; that is its smallest id unless one of its names is a further one.
+    """
+    plain = found.where(F.col("component").isNull() | (F.col("component") > FURTHER))
+    others = found.where(F.col("component") <= FURTHER)
+    least = others.groupBy("component").agg(F.min(own_id).alias("least"))
+    mended = others.join(least, "component").withColumn("component", F.col("least")).select(*found.columns)
+    return plain.select(*found.columns).unionByName(mended)
+
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): each node of a link, with the smallest node that links reach.

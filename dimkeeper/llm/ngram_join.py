@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from dimkeeper.llm import shuffle as sh
 from dimkeeper.llm import text as tx
-from dimkeeper.llm.components import components
+from dimkeeper.llm.components import components, least_ids, node_name
 from dimkeeper.llm.repeats import ranges
 from dimkeeper.sources.scratch import materialise
 
@@ -291,9 +291,9 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     parts = max(1, buckets // 4)
     profiles = materialise(rows.mapInArrow(_profiles(n), "doc_id long, mark long, n_shingles long, name binary"))
     known = rows.where("doc_id IS NOT NULL")
-    # A set's row has a number of its own: an id may come with several texts. Stored, the numbers stay.
+    # A set's row goes by its least id, or by a name of its own where that id has another set too.
     classes = profiles.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("name", "n_shingles").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
-    classes = materialise(classes.select("name", "n_shingles", "one.doc_id", "one.mark", F.monotonically_increasing_id().alias("row")))
+    classes = materialise(classes.select("name", "n_shingles", "one.doc_id", "one.mark").withColumn("row", node_name("doc_id", ["mark"])))
 
     counts = (
         known.mapInArrow(_prefix_columns(n, percent, buckets), "bucket int, gram binary, doc_id binary, mark binary")
@@ -305,7 +305,7 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     # A partner may be smaller, and then only its number is sure to be shared.
     least = F.expr(f"(n_shingles * {percent} + 99) div 100 * {100 - percent} div 200 + 1")
     left = classes.join(counts, ["doc_id", "mark"]).where(F.col("shared") >= least)
-    texts = known.join(left.select("doc_id", "mark", "row"), ["doc_id", "mark"]).dropDuplicates(["row"])
+    texts = known.join(left.select("doc_id", "mark", "row"), ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
     sets = materialise(texts.select("row", "text").mapInArrow(_sets(n), "row long, n long, grams binary"))
 
     rare = materialise(
@@ -344,8 +344,7 @@ def ngram_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
 
     groups = components(inner.unionByName(materialise(across)))
     found = classes.select("name", "doc_id", "row").join(groups.withColumnRenamed("node", "row"), "row", "left")
-    least_id = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
-    found = found.join(least_id, "component", "left").select("name", F.coalesce("least", "doc_id").alias("found"))
+    found = least_ids(found, "doc_id").select("name", F.coalesce("component", "doc_id").alias("found"))
     result = profiles.join(found, "name", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id")
     return result.select("doc_id", "mark", "n_shingles", own)
