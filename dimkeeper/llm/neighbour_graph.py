@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimkeeper.llm import text as tx
-from dimkeeper.llm.components import components
+from dimkeeper.llm.components import components, least_ids, node_name
 from dimkeeper.llm.ngram_join import forest
 from dimkeeper.llm.ship import ship
 from dimkeeper.sources.scratch import materialise
@@ -166,9 +166,9 @@ class Graph:
         self.threshold, self.n_best, self.seed = threshold, n_best, seed
         self.spark = vectors.sparkSession
         self.buckets = 4 * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        # A vector's node has a number of its own: an id may come with several vectors. Stored, the numbers stay.
+        # A vector's node goes by its least id, or by a name of its own where that id has another vector too.
         good = vectors.where("usable").groupBy("space", "vector").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("copies"))
-        self.members = materialise(good.withColumn("node", F.monotonically_increasing_id()))
+        self.members = materialise(good.withColumn("node", node_name("first", ["space", "vector"])))
         packed = self.members.select("node", "vector", "space").mapInArrow(_packed, "node long, space string, vector binary")
         self.nodes = materialise(packed)
         sizes = self.nodes.groupBy("space").agg(F.expr("CAST(greatest(0, least(24, ceil(log2(count(1) / 64.0)))) AS int)").alias("bits"))
@@ -336,10 +336,9 @@ def near_duplicates(
         if done >= most_rounds:
             counts, found = graph.all_links()
             break
-    members = graph.members.join(found, "node", "left")
-    least_id = members.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("least"))
-    of_node = members.join(least_id, "component", "left").join(counts, "node", "left").select(
-        "space", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("least", "first").alias("c")
+    members = least_ids(graph.members.join(found, "node", "left"), "first")
+    of_node = members.join(counts, "node", "left").select(
+        "space", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "first").alias("c")
     )
     keyed = rows.withColumn("usable", F.coalesce("usable", F.lit(False)))
     joined = keyed.where("usable").join(of_node, ["space", "vector"]).select("vec_id", F.col("n").alias("n_links"), F.col("c").alias("component_id"))
