@@ -14,6 +14,7 @@ from dimkeeper.llm import shuffle as sh
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.fm_index import FMIndex
 from dimkeeper.llm.repeats import ranges
+from dimkeeper.sources.scratch import materialise
 
 #: Words are stretches of 0-9, a-z (A-Z lowered) and of all that is not ASCII.
 WORDS = tx.separators((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
@@ -24,8 +25,8 @@ RESULT = f"doc_id long, mark long, n_words long, n_hit long, spans {SPAN}, items
 #: Bytes of documents that one index covers.
 SHARD = 4 << 20
 
-#: Bytes of test texts that are searched for in one pass.
-BLOCK = 16 << 20
+#: Bytes of different test texts that are searched for in one pass; the driver makes a table of 13 numbers for each of their words.
+BLOCK = 4 << 20
 
 
 @dataclass
@@ -37,11 +38,11 @@ class Phrases:
     patterns: np.ndarray  # a row for each window: numbers of words, from 1, padded in front
     sizes: np.ndarray
     owner_first: np.ndarray  # of each window, its first owner; one more at the end
-    owners: np.ndarray  # numbers of items
-    items: list[str | None]
+    owners: np.ndarray  # numbers of texts
+    items: list[list[str]]  # ids of the items that have a text
 
 
-def phrases(rows: list[tuple[str | None, str | None]], window: int) -> Phrases:
+def phrases(rows: list[tuple[list[str], str | None]], window: int) -> Phrases:
     chunk = next(tx.chunks(pa.array([text for _, text in rows], pa.string()), 1 << 62))
     data = tx.lowered(chunk.data)
     found = tx.words(tx.Chunk(0, chunk.offsets, data), WORDS)
@@ -134,7 +135,7 @@ def _scan(wanted: Callable[[], Phrases]) -> Callable:
                     row = chunk.first + int(hits.row[mine[0]])
                     spans[row] = _merged(hits.start[mine], hits.end[mine])
                     owners = {int(o) for p in np.unique(hits.phrase[mine]) for o in block.owners[block.owner_first[p] : block.owner_first[p + 1]]}
-                    items[row] = sorted({block.items[o] for o in owners} - {None})
+                    items[row] = sorted({item for o in owners for item in block.items[o]})
             yield _rows(ids, marks, n_words, spans, items)
 
     return run
@@ -168,7 +169,8 @@ def find_contamination(
 
     Every shard of documents gets an FM-index over its runs of benchmark words; backward search over
     wavelet-tree ranks finds the phrases, sampled suffix places locate them. The benchmark is the
-    stated query set: it goes to the tasks in blocks of about ``block`` bytes, each in its own pass.
+    stated query set: its different texts go to the tasks in blocks of about ``block`` bytes (of one text at
+    least), each in its own pass over ``docs``, of which the result is stored before the next block is made.
 
     * null or empty text: no words, no hit; null doc_id: a row like any other
     * an empty benchmark, or one without words: no hit
@@ -178,15 +180,21 @@ def find_contamination(
     spark = docs.sparkSession
     rows = sh.with_mark(docs, doc_id, text)
     tests = benchmark.select(F.col(item_id).cast("string").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text IS NOT NULL")
-    total = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # Each different text once, whatever the number of items that have it.
+    texts = tests.groupBy("text").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block))
+    if n_blocks > 1:
+        texts = materialise(texts)
     passes = []
     for number in range(n_blocks):
-        part = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == number)
-        wanted = spark.sparkContext.broadcast(phrases([tuple(r) for r in part.collect()] or [(None, "")], window))
-        passes.append(rows.mapInArrow(_scan(lambda b=wanted: b.value), RESULT))
-    if n_blocks == 1:
-        return passes[0]
+        part = texts.where(F.pmod(F.xxhash64("text"), F.lit(n_blocks)) == number).select("ids", "text").collect()
+        wanted = spark.sparkContext.broadcast(phrases([tuple(r) for r in part] or [([], "")], window))
+        found = rows.mapInArrow(_scan(lambda b=wanted: b.value), RESULT)
+        if n_blocks == 1:
+            return found
+        passes.append(materialise(found))  # so that one block at a time is held
+        wanted.destroy()
     every = passes[0]
     for one in passes[1:]:
         every = every.unionByName(one)
